@@ -57,27 +57,28 @@ def close_pairs(df: DataFrame, keys: list[str], threshold: float, order: str) ->
     def cell(centre: Column, at: Column) -> Column:
         return F.floor(centre / F.pow(F.lit(2.0), at + 1))
 
+    def side(prefix: str) -> list[Column]:
+        return [F.col(n).alias(f"_{prefix}_{n}") for n in names]
+
+    def spots(centre: Column, length: Column) -> Column:
+        return F.flatten(F.transform(_levels(length, threshold), lambda at: F.transform(
+            _cells(centre, length, at, threshold), lambda c: F.struct(at.alias("at"), c.alias("c")))))
+
     left = solid.select(
         *keys, level(w).alias("_lw"), level(h).alias("_lh"),
-        cell(cx, level(w)).alias("_cx"), cell(cy, level(h)).alias("_cy"),
-        F.struct(*names).alias("a"),
+        cell(cx, level(w)).alias("_cx"), cell(cy, level(h)).alias("_cy"), *side("a"),
     )
-    spots_x = F.flatten(F.transform(_levels(w, threshold), lambda at: F.transform(
-        _cells(cx, w, at, threshold), lambda c: F.struct(at.alias("at"), c.alias("c")))))
-    spots_y = F.flatten(F.transform(_levels(h, threshold), lambda at: F.transform(
-        _cells(cy, h, at, threshold), lambda c: F.struct(at.alias("at"), c.alias("c")))))
     right = (
-        solid.select(*keys, F.struct(*names).alias("b"), spots_x.alias("_sx"), spots_y.alias("_sy"))
-        .withColumn("_x", F.explode("_sx")).withColumn("_y", F.explode("_sy"))
+        solid.withColumn("_x", F.explode(spots(cx, w))).withColumn("_y", F.explode(spots(cy, h)))
         .select(*keys, F.col("_x.at").alias("_lw"), F.col("_y.at").alias("_lh"),
-                F.col("_x.c").alias("_cx"), F.col("_y.c").alias("_cy"), "b")
+                F.col("_x.c").alias("_cx"), F.col("_y.c").alias("_cy"), *side("b"))
     )
-    value = B.iou(B.corner_columns("a"), B.corner_columns("b"))
+    corners = [tuple(F.col(f"_{p}_{c}") for c in CORNERS) for p in "ab"]
     return (
         left.join(right, [*keys, "_lw", "_lh", "_cx", "_cy"])
-        .where(F.col(f"a.{order}") < F.col(f"b.{order}"))
-        .select(*keys, "a", "b", value.alias("iou"))
-        .where(F.col("iou") >= threshold)
+        .where(F.col(f"_a_{order}") < F.col(f"_b_{order}"))
+        .withColumn("iou", B.iou(*corners)).where(F.col("iou") >= threshold)
+        .select(*keys, *[F.struct(*[F.col(f"_{p}_{n}").alias(n) for n in names]).alias(p) for p in "ab"], "iou")
     )
 
 
@@ -252,14 +253,14 @@ def _same_class_hot(df: DataFrame, keys: list[str]) -> DataFrame:
     """Boxes meet in x-columns as wide as the wider of the two."""
     width, centre = F.col("x2") - F.col("x1"), (F.col("x1") + F.col("x2")) / 2
     level = F.floor(F.log2(width)).cast("int")
-    top = df.select(level.alias("l")).agg(F.max("l").alias("_top"))
+    top = df.agg(F.max(level)).scalar()
     size = F.pow(F.lit(2.0), level + 1)
     wide = df.select(
         *keys, level.alias("_l"), F.struct(*CORNERS).alias("a"),
         F.explode(F.sequence(F.floor(centre / size) - 1, F.floor(centre / size) + 1)).alias("_c"),
     )
     narrow = (
-        df.join(top).withColumn("_l", F.explode(F.sequence(level, F.col("_top"))))
+        df.withColumn("_l", F.explode(F.sequence(level, top)))
         .select(*keys, "_l", F.floor(centre / F.pow(F.lit(2.0), F.col("_l") + 1)).alias("_c"),
                 F.struct(*CORNERS).alias("b"))
     )

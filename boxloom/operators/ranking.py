@@ -93,31 +93,34 @@ def rank(df: DataFrame, keys: list[str], order: list[str], out: str, bound: int
     return cold if hot is None else cold.unionByName(range_rank(hot, keys, order, out))
 
 
-def running_max_before(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, bound: int = GROUP_BOUND
+def running_before(
+    df: DataFrame, keys: list[str], order: list[str], values: dict[str, tuple[str, Column]],
+    bound: int = GROUP_BOUND,
 ) -> DataFrame:
-    """Largest ``value`` among the earlier rows of the key (null for the first row)."""
-    df = df.withColumn("_v", value)
+    """Running aggregates over the earlier rows of the key (null for the first row).
+
+    ``values`` maps an output name to ("max" | "min" | "sum", column).
+    """
+    fold = {"max": F.max, "min": F.min, "sum": F.sum}
+    pair = {"max": F.greatest, "min": F.least, "sum": lambda a, b: a + b}
+    df = df.withColumns({f"_v_{n}": c for n, (_, c) in values.items()})
     cold, hot = split_hot(df, keys, bound)
+    temporary = [f"_v_{n}" for n in values]
     earlier = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    cold = cold.withColumn(out, F.max("_v").over(earlier)).drop("_v")
+    cold = cold.withColumns({n: fold[k](f"_v_{n}").over(earlier) for n, (k, _) in values.items()}).drop(*temporary)
     if hot is None:
         return cold
     rows = in_blocks(hot, [*keys, *order])
     before = W.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(W.unboundedPreceding, -1)
-    blocks = (
-        rows.groupBy(*keys, _BLOCK).agg(F.max("_v").alias("_top"))
-        .withColumn("_prev", F.max("_top").over(before)).drop("_top")
-    )
+    blocks = rows.groupBy(*keys, _BLOCK).agg(*[fold[k](f"_v_{n}").alias(f"_t_{n}") for n, (k, _) in values.items()])
+    blocks = blocks.select(*keys, _BLOCK, *[fold[k](f"_t_{n}").over(before).alias(f"_p_{n}") for n, (k, _) in values.items()])
     local = W.partitionBy(*keys, _BLOCK).orderBy(_MID).rowsBetween(W.unboundedPreceding, -1)
-    hot = (
-        rows.withColumn("_local", F.max("_v").over(local)).join(blocks, [*keys, _BLOCK])
-        .withColumn(out, F.when(F.col("_local").isNull(), F.col("_prev"))
-                    .when(F.col("_prev").isNull(), F.col("_local"))
-                    .otherwise(F.greatest("_local", "_prev")))
-        .drop(_BLOCK, _MID, "_prev", "_local", "_v")
-    )
-    return cold.unionByName(hot)
+    rows = rows.withColumns({f"_l_{n}": fold[k](f"_v_{n}").over(local) for n, (k, _) in values.items()})
+    rows = rows.join(blocks, [*keys, _BLOCK])
+    for n, (k, _) in values.items():
+        mine, prior = F.col(f"_l_{n}"), F.col(f"_p_{n}")
+        rows = rows.withColumn(n, F.when(mine.isNull(), prior).when(prior.isNull(), mine).otherwise(pair[k](mine, prior)))
+    return cold.unionByName(rows.select(*cold.columns))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column], descending: bool = False) -> DataFrame:

@@ -41,10 +41,11 @@ select image_id, label, k.score as score, k.pos as pos, k.source as source, k.x1
 from (select image_id, label, unnest(kept) as k from suppression where step = len(boxes))"""
 
 
-def nms_oracle(needs: list[str], source: str, final: str, more: dict | None = None) -> str:
+def nms_oracle(needs: list[str], source: str, final: str, more: dict | None = None, after: dict | None = None) -> str:
     steps = dict(more or {})
     steps["suppression"] = nms_sql(source)
     steps["kept"] = NMS_KEPT_SQL
+    steps |= after or {}
     return compose(needs, final, steps, recursive=True)
 
 
@@ -151,7 +152,7 @@ def conflicts(i: Inputs):
     return D.conflicts(i.mapped_boxes())
 
 
-SAME_CLASS_SQL = compose(["mapped_boxes"], """
+SAME_CLASS_BODY = """
 select distinct image_id from (
   select image_id, shared, area_a, area_b, dx, dy, shared / least(area_a, area_b) as cover,
     case when area_a + area_b - shared > 0 then shared / (area_a + area_b - shared) else 0 end as iou,
@@ -161,10 +162,10 @@ select distinct image_id from (
       greatest(a.w * a.h, 1e-6) as area_a, greatest(b.w * b.h, 1e-6) as area_b,
       abs(a.xc - b.xc) / greatest(least(a.w, b.w), 1e-6) as dx, abs(a.yc - b.yc) / greatest(least(a.h, b.h), 1e-6) as dy
     from mapped_boxes a join mapped_boxes b on a.image_id = b.image_id and a.class_id = b.class_id and a.line_no < b.line_no))
-where shared > 0 and (cover >= 0.72 or iou >= 0.45 or (ratio <= 1.8 and dx <= 0.35 and dy <= 0.35))""")
+where shared > 0 and (cover >= 0.72 or iou >= 0.45 or (ratio <= 1.8 and dx <= 0.35 and dy <= 0.35))"""
 
 
-@query("same_class_overlap", SAME_CLASS_SQL)
+@query("same_class_overlap", compose(["mapped_boxes"], SAME_CLASS_BODY))
 def same_class_overlap(i: Inputs):
     return D.same_class_overlaps(i.boxes())
 

@@ -1,4 +1,4 @@
 """Imports all query modules, which fills the registry."""
 
-from boxloom.plans import box_queries  # noqa: F401
+from boxloom.plans import box_queries, image_queries  # noqa: F401
 from boxloom.plans.catalog import ORACLES, QUERIES  # noqa: F401
