@@ -72,9 +72,10 @@ def flickr_json_urls(html: Column) -> Column:
                          "array<struct<farm:string,server:string,id:string,secret:string>>")
 
     def whole(p: Column) -> Column:
-        test = F.lit(True)
-        for c in ("farm", "server", "id", "secret"):
-            test = test & ~F.coalesce(p[c], F.lit("")).isin("", "0")
+        # farm is a number, the others are text
+        test = ~F.coalesce(p["farm"], F.lit("")).isin("", "0")
+        for c in ("server", "id", "secret"):
+            test = test & (F.coalesce(p[c], F.lit("")) != "")
         return test
 
     urls = F.transform(F.filter(photos, whole), lambda p: F.concat(

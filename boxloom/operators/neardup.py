@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,6 +14,8 @@ from boxloom import vocabulary as V
 from boxloom.cluster import cut
 
 BLOCK_ROWS = 2048
+MASKS = (0, 16, 512)  # mean, left against right, top against bottom of a 32x32 picture
+LOCAL_EDGES = 200_000
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -38,62 +41,89 @@ def distinct_vectors(df: DataFrame) -> DataFrame:
     return df.groupBy("folder", "vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
 
 
-def similar_pairs(reps: DataFrame, threshold: float = V.NEAR_COSINE, masks: tuple[int, ...] = (0, 16, 512),
-                  block_rows: int = BLOCK_ROWS) -> DataFrame:
+def projected(reps: DataFrame, masks: tuple[int, ...] = MASKS) -> DataFrame:
+    """Add the projections _p0, _p1, ... of unit vectors and write the table once for its several readers."""
+    return cut(reps.withColumns({f"_p{k}": _projection(F.col("vector"), m) for k, m in enumerate(masks)}))
+
+
+def similar_pairs(points: DataFrame, threshold: float = V.NEAR_COSINE, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(folder, a, b, sim): all pairs a < b of a folder with cosine >= ``threshold``.
 
-    Over (folder, rep, vector) with unit vectors. Unit vectors with cosine t lie within
-    r = sqrt(2 - 2t) of each other, and so do their projections on any unit vector. A few
-    sign projections make a grid with cells of 4r; one side goes to its own cell, the other
-    to the one or two cells per axis within r of it. No pair is lost and none is found twice.
-    A cell with more than ``block_rows`` rows is cut into blocks, and each pair of blocks
-    is one task's matrix product; only pairs at the threshold leave it.
+    Over ``projected`` rows (folder, rep, vector, _p0, ...). Unit vectors with cosine t lie
+    within r = sqrt(2 - 2t) of each other, and so do their projections on any unit vector. A
+    few sign projections make a grid with cells of 4r; one side goes to its own cell, the
+    other to the one or two cells per axis within r of it. No pair is lost and none is found
+    twice. A cell with more than ``block_rows`` rows is cut into blocks. Each pair of blocks is
+    one matrix product; only pairs at the threshold leave it.
     """
     r = math.sqrt(max(0.0, 2.0 - 2.0 * threshold)) + 1e-9
     width = 4.0 * r
-    cells = [f"_c{m}" for m in range(len(masks))]
+    axes = [c for c in points.columns if c.startswith("_p")]
+    cells = [f"_c{k}" for k in range(len(axes))]
     keys = ["folder", *cells]
-    points = reps.select("folder", "rep", "vector", *[_projection(F.col("vector"), m).alias(c) for m, c in zip(masks, cells)])
 
-    home = points.withColumns({c: F.floor(F.col(c) / width) for c in cells})
+    home = points.withColumns({c: F.floor(F.col(p) / width) for c, p in zip(cells, axes)})
     guest = points
-    for c in cells:
-        spots = F.sequence(F.floor((F.col(c) - r) / width), F.floor((F.col(c) + r) / width))
+    for c, p in zip(cells, axes):
+        spots = F.sequence(F.floor((F.col(p) - r) / width), F.floor((F.col(p) + r) / width))
         guest = guest.withColumn(c, F.explode(spots))
-    # crowded cells only: the number of blocks each is cut into
     sizes = (
         home.groupBy(*keys).agg(F.count(F.lit(1)).alias("_h"), F.lit(0).cast("long").alias("_g"))
         .union(guest.groupBy(*keys).agg(F.lit(0).cast("long"), F.count(F.lit(1))))
         .groupBy(*keys).agg(F.max("_h").alias("_h"), F.max("_g").alias("_g"))
-        .where((F.col("_h") > 0) & (F.col("_g") > 0))
+        .where((F.col("_h") > 0) & (F.col("_g") > 1))
         .select(*keys, F.ceil(F.greatest("_h", "_g") / block_rows).alias("_blocks"))
     )
 
-    def place(df: DataFrame, mine: str, other: str, is_home: bool) -> DataFrame:
-        return (
-            df.join(sizes, keys)
-            .withColumn(mine, F.pmod(F.xxhash64("rep"), "_blocks"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
-            .select(*keys, "_a", "_b", "rep", "vector", F.lit(is_home).alias("is_home"))
-        )
-
-    both = place(home, "_a", "_b", True).unionByName(place(guest, "_b", "_a", False))
-
-    def multiply(part: pd.DataFrame) -> pd.DataFrame:
-        left, right = part[part["is_home"]], part[~part["is_home"]]
-        if left.empty or right.empty:
-            return pd.DataFrame({"folder": [], "a": [], "b": [], "sim": []})
-        sims = np.stack(left["vector"].to_numpy()) @ np.stack(right["vector"].to_numpy()).T
-        a, b = left["rep"].to_numpy(), right["rep"].to_numpy()
-        at = np.nonzero((sims >= threshold) & (a[:, None] < b[None, :]))
-        return pd.DataFrame({"folder": part["folder"].iloc[0], "a": a[at[0]], "b": b[at[1]], "sim": sims[at]})
-
-    kind = reps.schema["rep"].dataType.simpleString()
-    return both.groupBy(*keys, "_a", "_b").applyInPandas(multiply, f"folder string, a {kind}, b {kind}, sim double")
-
-
-def near_decisions(df: DataFrame, threshold: float = V.NEAR_COSINE, masks: tuple[int, ...] = (0, 16, 512),
-                   block_rows: int = BLOCK_ROWS) -> DataFrame:
+    at = F.pmod(F.xxhash64("rep"), "_blocks")
+    every = F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)
+    both = (
+        home.select(*keys, "rep", "vector", F.lit(True).alias("is_home"))
+        .unionByName(guest.select(*keys, "rep", "vector", F.lit(False).alias("is_home")))
+        .join(sizes, keys).withColumn("_mine", at).withColumn("_other", F.explode(every))
+        .select(*keys, F.when(F.col("is_home"), F.col("_mine")).otherwise(F.col("_other")).alias("_a"),
+                F.when(F.col("is_home"), F.col("_other")).otherwise(F.col("_mine")).alias("_b"), "is_home", "rep", "vector")
+    )
+    group = [*keys, "_a", "_b"]
+    kind = points.schema["rep"].dataType.simpleString()
+    return both.repartition(*group).sortWithinPartitions(*group).mapInPandas(
+        lambda frames: _multiply(frames, group, threshold), f"folder string, a {kind}, b {kind}, sim double")
+
+
+def _multiply(frames: Iterator[pd.DataFrame], group: list[str], threshold: float) -> Iterator[pd.DataFrame]:
+    """Matrix product of each group's two sides; groups come sorted, at most one is open at a time."""
+    rest = None
+    for frame in frames:
+        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        if frame.empty:
+            continue
+        new = (frame[group] != frame[group].shift()).any(axis=1).to_numpy()
+        starts = np.flatnonzero(new)
+        yield from _products(frame, starts, threshold)
+        rest = frame.iloc[starts[-1]:]
+    if rest is not None and not rest.empty:
+        yield from _products(rest, np.array([0, len(rest)]), threshold)
+
+
+def _products(frame: pd.DataFrame, starts: np.ndarray, threshold: float) -> Iterator[pd.DataFrame]:
+    """Pairs at the threshold between consecutive ``starts``."""
+    home, rep, folder = frame["is_home"].to_numpy(), frame["rep"].to_numpy(), frame["folder"].to_numpy()
+    vectors = frame["vector"].to_numpy()
+    out = []
+    for lo, hi in zip(starts[:-1], starts[1:]):
+        left, right = lo + np.flatnonzero(home[lo:hi]), lo + np.flatnonzero(~home[lo:hi])
+        if len(left) == 0 or len(right) == 0:
+            continue
+        sims = np.stack(vectors[left]) @ np.stack(vectors[right]).T
+        x, y = np.nonzero((sims >= threshold) & (rep[left][:, None] < rep[right][None, :]))
+        if len(x):
+            out.append(pd.DataFrame({"folder": folder[lo], "a": rep[left][x], "b": rep[right][y], "sim": sims[x, y]}))
+    if out:
+        yield pd.concat(out, ignore_index=True)
+
+
+def near_decisions(df: DataFrame, threshold: float = V.NEAR_COSINE, masks: tuple[int, ...] = MASKS,
+                   block_rows: int = BLOCK_ROWS, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """(folder, remove_id, keep_id, score): greedy resolution of near duplicates per folder.
 
     Over (folder, vec_id, vector, quality) with unit vectors; ``vec_id`` gives the order and
@@ -107,40 +137,39 @@ def near_decisions(df: DataFrame, threshold: float = V.NEAR_COSINE, masks: tuple
     """
     place = F.struct(F.col("quality"), F.col("vec_id"))
     groups = df.groupBy("folder", "vector").agg(
-        F.min(F.struct("vec_id", "quality")).alias("_first"), F.max(place).alias("_best"), F.count(F.lit(1)).alias("_n"),
-    )
-    groups = cut(groups.withColumn("rep", F.col("_first.vec_id")))
+        F.min(F.struct("vec_id", "quality")).alias("_first"), F.max(place).alias("_best"), F.count(F.lit(1)).alias("_n"))
+    groups = projected(groups.withColumn("rep", F.col("_first.vec_id")), masks)
+    pairs = similar_pairs(groups, threshold, block_rows)
     # runner-up where the first copy is the best one
-    led = groups.where((F.col("_n") > 1) & (F.col("_first.vec_id") == F.col("_best.vec_id"))).select("folder", "vector", "rep")
+    led = groups.where((F.col("_n") > 1) & (F.col("rep") == F.col("_best.vec_id"))).select("folder", "vector", "rep")
     second = (
         df.join(led, ["folder", "vector"]).where(F.col("vec_id") != F.col("rep"))
         .groupBy("folder", "rep").agg(F.max(place).alias("_second"))
     )
-    groups = cut(groups.join(second, ["folder", "rep"], "left"))
-    partner = F.when(F.col("_n") > 1, F.coalesce("_second", "_best"))
-    pairs = cut(similar_pairs(groups.select("folder", "rep", "vector"), threshold, masks, block_rows))
-
-    nodes = groups.select(
-        "folder", "rep", F.explode(F.array_compact(F.array(
-            F.struct(F.col("_first.quality").alias("quality"), F.col("_first.vec_id").alias("vec_id")), partner))).alias("_n"),
-    ).select("folder", "rep", F.col("_n.vec_id").alias("id"), F.col("_n.quality").alias("q"))
-    one = nodes.select("folder", F.col("rep").alias("a"), F.struct("id", "q").alias("x"))
-    two = nodes.select("folder", F.col("rep").alias("b"), F.struct("id", "q").alias("y"))
-    across = pairs.join(one, ["folder", "a"]).join(two, ["folder", "b"])
-    within = one.join(two.withColumnRenamed("b", "a"), ["folder", "a"]).where(F.col("x.id") < F.col("y.id"))
-    edges = across.select("folder", "x", "y").unionByName(within.select("folder", "x", "y"))
-    edges = edges.select(
-        "folder", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")
-    ).select("folder", F.col("x.id").alias("a"), F.col("x.q").alias("qa"), F.col("y.id").alias("b"), F.col("y.q").alias("qb"))
-
-    removed = _greedy_rounds(edges)
-    if removed is None:
-        return df.limit(0).select(
-            "folder", F.col("vec_id").alias("remove_id"), F.col("vec_id").alias("keep_id"), F.lit(0.0).alias("score"))
+    groups = groups.join(second, ["folder", "rep"], "left").withColumn(
+        "_partner", F.when(F.col("_n") > 1, F.coalesce("_second", "_best")))
+
+    nodes = groups.select("folder", "rep", F.inline(F.array_compact(F.array(
+        F.struct(F.col("_first.vec_id").alias("id"), F.col("_first.quality").alias("q")),
+        F.when(F.col("_n") > 1, F.struct(F.col("_partner.vec_id").alias("id"), F.col("_partner.quality").alias("q")))))))
+    node = F.struct("id", "q")
+    across = (
+        pairs.join(nodes.select("folder", F.col("rep").alias("a"), node.alias("x")), ["folder", "a"])
+        .join(nodes.select("folder", F.col("rep").alias("b"), node.alias("y")), ["folder", "b"])
+        .select("folder", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    )
+    within = groups.where(F.col("_n") > 1).select(
+        "folder", F.struct(F.col("rep").alias("id"), F.col("_first.quality").alias("q")).alias("x"),
+        F.struct(F.col("_partner.vec_id").alias("id"), F.col("_partner.quality").alias("q")).alias("y"))
+    edges = across.unionByName(within).select(
+        "folder", F.col("x.id").alias("a"), F.col("x.q").alias("qa"), F.col("y.id").alias("b"), F.col("y.q").alias("qb"))
+
+    removed = _resolve(edges, local_edges)
     # the other copies go with the worse of their two stand-ins
+    first_is_best = F.col("rep") == F.col("_best.vec_id")
     worse = groups.where(F.col("_n") > 2).select(
-        "folder", "vector", "rep", partner["vec_id"].alias("_other"),
-        F.when(F.col("_first.vec_id") == F.col("_best.vec_id"), partner["vec_id"]).otherwise(F.col("rep")).alias("remove_id"))
+        "folder", "vector", "rep", F.col("_partner.vec_id").alias("_other"),
+        F.when(first_is_best, F.col("_partner.vec_id")).otherwise(F.col("rep")).alias("remove_id"))
     followers = (
         df.select("folder", "vector", "vec_id").join(worse, ["folder", "vector"])
         .where((F.col("vec_id") != F.col("rep")) & (F.col("vec_id") != F.col("_other")))
@@ -153,15 +182,16 @@ def near_decisions(df: DataFrame, threshold: float = V.NEAR_COSINE, masks: tuple
         "folder", "remove_id", "keep_id", dot(F.col("_v"), F.col("_w")).alias("score"))
 
 
-def _greedy_rounds(edges: DataFrame) -> DataFrame | None:
+def _resolve(edges: DataFrame, local_edges: int) -> DataFrame:
     """Settle edges (folder, a, qa, b, qb), a before b; returns (folder, remove_id, keep_id).
 
     A round settles every image that no earlier open image can reach or share a neighbour
-    with; those gather disjoint groups, so they act at once exactly as in order.
+    with; those gather disjoint groups, so they act at once exactly as in order. Once at
+    most ``local_edges`` edges are left, each folder's rest is walked in order in one task.
     """
     edges = cut(edges.distinct())
     removed = None
-    while not edges.isEmpty():
+    while edges.count() > local_edges:
         first = edges.groupBy("folder", "b").agg(F.min("a").alias("_lead"))
         reached = first.select("folder", F.col("b").alias("a"))
         contested = edges.join(first, ["folder", "b"]).where(F.col("_lead") < F.col("a")).select("folder", "a")
@@ -180,4 +210,26 @@ def _greedy_rounds(edges: DataFrame) -> DataFrame | None:
             .join(names.withColumnRenamed("n", "a"), ["folder", "a"], "left_anti")
             .join(names.withColumnRenamed("n", "b"), ["folder", "b"], "left_anti")
         )
-    return removed
+    kind = edges.schema["a"].dataType.simpleString()
+    rest = cut(edges.groupBy("folder").applyInPandas(_walk, f"folder string, remove_id {kind}, keep_id {kind}"))
+    return rest if removed is None else removed.unionByName(rest)
+
+
+def _walk(edges: pd.DataFrame) -> pd.DataFrame:
+    """The same rule for one folder's remaining edges, in order."""
+    def quality(q: object) -> tuple:
+        return tuple(q.values()) if isinstance(q, dict) else tuple(q) if hasattr(q, "__iter__") and not isinstance(q, str) else (q,)
+
+    later: dict = {}
+    rank: dict = {}
+    for a, qa, b, qb in edges[["a", "qa", "b", "qb"]].itertuples(index=False):
+        later.setdefault(a, []).append(b)
+        rank[a], rank[b] = (quality(qa), a), (quality(qb), b)
+    gone: dict = {}
+    for base in sorted(later):
+        if base in gone:
+            continue
+        group = [base, *(b for b in later[base] if b not in gone)]
+        keep = max(group, key=rank.__getitem__)
+        gone.update({m: keep for m in group if m != keep})
+    return pd.DataFrame({"folder": edges["folder"].iloc[0], "remove_id": list(gone), "keep_id": list(gone.values())})

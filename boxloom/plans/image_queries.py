@@ -183,7 +183,7 @@ def _vectors(i: Inputs):
 @query("near_dup_pairs", compose(["vectors"], "select folder, a, b, round(sim, 6) as sim from near", {"unit": UNIT_SQL, "near": NEAR_PAIRS_SQL}))
 def near_dup_pairs(i: Inputs):
     reps = neardup.distinct_vectors(_vectors(i))
-    return neardup.similar_pairs(reps, masks=MASKS).select("folder", "a", "b", F.round("sim", 6).alias("sim"))
+    return neardup.similar_pairs(neardup.projected(reps, MASKS)).select("folder", "a", "b", F.round("sim", 6).alias("sim"))
 
 
 # The greedy walk of a folder: one position per step, with the list of removed rows as state.

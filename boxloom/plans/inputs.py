@@ -158,6 +158,7 @@ class Inputs:
         media = F.regexp_replace(h, r'href="/([^"/?&]{1,40})"', r'"murl":"https://img.example.com/$1.jpg"')
         media = F.regexp_replace(media, r'href="https?://([^"/]+)/([^"?&]{1,60})[^"]*"',
                                  r'murl&quot;:&quot;https://$1/$2.png&quot; mediaurl=https%3a%2f%2f$1%2fthumb%2f$2.webp&')
+        media = F.replace(media, F.lit("example.com/t"), F.lit("example.com/thumb/t"))
         cdn = F.regexp_replace(
             h, r'href="/([^"/?&]{1,40})"',
             r'data-src="https://st.hzcdn.com/simgs/$1_4_8.jpg" "https://static.dezeen.com/uploads/2020/01/$1-411x274.jpg" '

@@ -107,9 +107,9 @@ CTES = {
           from labels)"""),
     "search_pages": ([], r"""
         select page_id, 'q' || (page_id // 8) as query, (page_id % 8)::int as page_no,
-          regexp_replace(regexp_replace(html, 'href="/([^"/?&]{1,40})"', '"murl":"https://img.example.com/\1.jpg"', 'g'),
+          replace(regexp_replace(regexp_replace(html, 'href="/([^"/?&]{1,40})"', '"murl":"https://img.example.com/\1.jpg"', 'g'),
             'href="https?://([^"/]+)/([^"?&]{1,60})[^"]*"',
-            'murl&quot;:&quot;https://\1/\2.png&quot; mediaurl=https%3a%2f%2f\1%2fthumb%2f\2.webp&', 'g') as html,
+            'murl&quot;:&quot;https://\1/\2.png&quot; mediaurl=https%3a%2f%2f\1%2fthumb%2f\2.webp&', 'g'), 'example.com/t', 'example.com/thumb/t') as html,
           cdn as cdn_html,
           case when page_id % 3 = 0 then printf('"photos":{"page":1,"photo":[{"farm":%d,"server":"s%d","id":"%d","secret":"x%d"},{"farm":0,"server":"","id":"1"}]}',
             page_id % 9 + 1, page_id % 77, page_id, page_id * 7) || cdn else cdn end as flickr_html
