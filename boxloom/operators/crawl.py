@@ -27,7 +27,7 @@ FLICKR_INLINE = r'(?:src=|displayUrl\\":|url\\":)"?(?:https?:)?(//live\.staticfl
 DEZEEN_PATTERN = r"""(https://static\.dezeen\.com/uploads/\d{4}/\d{2}/[^"'<>\s]+?\.(?:jpg|jpeg|webp))"""
 NOISE = ["thumb", "small", "icon", "60x", "80x", "100x"]
 ENTITIES = [("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
-            ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&amp;", "&")]
+            ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
 # source, per-query target, page limit, results a page needs for the next one to be fetched
 SOURCES = [("bing", 120, None, 20), ("houzz", 80, 2, 0), ("flickr", 60, 5, 0), ("dezeen", 40, 4, 0)]
 

@@ -7,11 +7,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from boxloom import vocabulary as V
+from boxloom.cluster import cut
 from boxloom.functions import boxes as B
 from boxloom.operators import graphs
 from boxloom.operators.ranking import GROUP_BOUND, split_hot
 
 CORNERS = ["x1", "y1", "x2", "y2"]
+PAIR_BOUND = 256
 
 
 def with_corners(df: DataFrame) -> DataFrame:
@@ -36,15 +38,35 @@ def _cells(centre: Column, side: Column, level: Column, threshold: float) -> Col
     return F.sequence(F.floor((centre - reach) / size), F.floor((centre + reach) / size))
 
 
-def close_pairs(df: DataFrame, keys: list[str], threshold: float, order: str) -> DataFrame:
+def close_pairs(df: DataFrame, keys: list[str], threshold: float, order: str, bound: int = PAIR_BOUND) -> DataFrame:
     """Pairs of boxes of one key with IoU >= ``threshold``, as structs ``a``, ``b`` and ``iou``.
 
-    ``order`` decides which of the two is ``a``. An IoU of t bounds the ratio of
-    the sides by t and the distance of the centres by (1 - t) of the larger side,
-    so every pair meets in a cell of a size-dependent grid: the join is an equi-join
-    on (keys, level, cell), the boxes of a crowded image spread over its cells, and
-    pairs that are far apart are never formed. ``a`` goes to its own cell, ``b`` to
-    all cells a partner can be in, so each pair is found once.
+    ``order`` decides which of the two is ``a``. Keys with at most ``bound`` boxes meet in a
+    plain equi-join with the test in its condition; larger ones meet in grid cells.
+    """
+    cold, hot = split_hot(df, keys, bound)
+    names = df.columns
+    corners = [tuple(F.col(f"_{p}_{c}") for c in CORNERS) for p in "ab"]
+
+    def renamed(prefix: str) -> DataFrame:
+        return cold.select(*keys, *[F.col(n).alias(f"_{prefix}_{n}") for n in names])
+
+    plain = (
+        renamed("a").join(renamed("b"), keys).where(F.col(f"_a_{order}") < F.col(f"_b_{order}"))
+        .withColumn("iou", B.iou(*corners)).where(F.col("iou") >= threshold)
+    )
+    found = plain if hot is None else plain.unionByName(_grid_pairs(hot, keys, threshold, order).select(*plain.columns))
+    return found.select(*keys, *[F.struct(*[F.col(f"_{p}_{n}").alias(n) for n in names]).alias(p) for p in "ab"], "iou")
+
+
+def _grid_pairs(df: DataFrame, keys: list[str], threshold: float, order: str) -> DataFrame:
+    """The same pairs for crowded keys.
+
+    An IoU of t bounds the ratio of the sides by t and the distance of the centres by
+    (1 - t) of the larger side, so every pair meets in a cell of a size-dependent grid: the
+    join is an equi-join on (keys, level, cell), the boxes of a crowded image spread over
+    its cells, and pairs that are far apart are never formed. ``a`` goes to its own cell, ``b``
+    to all cells a partner can be in, so each pair is found once.
     """
     names = df.columns
     w, h = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
@@ -78,7 +100,6 @@ def close_pairs(df: DataFrame, keys: list[str], threshold: float, order: str) ->
         left.join(right, [*keys, "_lw", "_lh", "_cx", "_cy"])
         .where(F.col(f"_a_{order}") < F.col(f"_b_{order}"))
         .withColumn("iou", B.iou(*corners)).where(F.col("iou") >= threshold)
-        .select(*keys, *[F.struct(*[F.col(f"_{p}_{n}").alias(n) for n in names]).alias(p) for p in "ab"], "iou")
     )
 
 
@@ -95,7 +116,6 @@ def suppress(df: DataFrame, threshold: float = V.NMS_IOU, bound: int = GROUP_BOU
     cold, hot = split_hot(df, keys, bound)
     rest = [c for c in df.columns if c not in keys]
     row = F.struct((-F.col("score")).alias("_neg"), F.col("pos").alias("_pos"), *rest)
-    ordered = F.array_sort(F.collect_list(row))
 
     def corners(s: Column) -> B.Corners:
         return tuple(s[c] for c in CORNERS)
@@ -104,10 +124,11 @@ def suppress(df: DataFrame, threshold: float = V.NMS_IOU, bound: int = GROUP_BOU
         blocked = F.exists(kept, lambda k: B.iou(corners(k), corners(box)) >= threshold)
         return F.when(blocked, kept).otherwise(F.concat(kept, F.array(box)))
 
+    folded = F.when(F.size("_all") == 1, F.col("_all")).otherwise(F.aggregate("_all", F.slice("_all", 1, 0), step))
     out = (
-        cold.groupBy(*keys).agg(ordered.alias("_all"))
-        .select(*keys, F.inline(F.aggregate("_all", F.slice("_all", 1, 0), step)))
-        .select(*df.columns)
+        cold.groupBy(*keys).agg(F.collect_list(row).alias("_raw"))
+        .withColumn("_all", F.when(F.size("_raw") == 1, F.col("_raw")).otherwise(F.array_sort("_raw")))
+        .select(*keys, F.inline(folded)).select(*df.columns)
     )
     return out if hot is None else out.unionByName(_suppress_hot(hot, keys, threshold))
 
@@ -219,20 +240,16 @@ def conflict_images(df: DataFrame, threshold: float = V.MERGE_IOU) -> DataFrame:
     return pairs.where(F.col("a.target_class") != F.col("b.target_class")).select("image_id").distinct()
 
 
-def same_class_overlaps(df: DataFrame, bound: int = GROUP_BOUND) -> DataFrame:
+def same_class_overlaps(df: DataFrame, bound: int = PAIR_BOUND) -> DataFrame:
     """Images with a suspicious pair of one class.
 
-    Equal boxes collapse first (two copies of a box with an area are a suspicious
-    pair). Up to ``bound`` different boxes are compared inside an array without
-    forming rows; beyond that boxes meet in columns of a size-dependent grid.
+    Up to ``bound`` boxes of a class are compared inside an array without forming rows. Beyond
+    that equal boxes collapse first (two copies of a box with an area are a suspicious pair)
+    and the rest meets in columns of a size-dependent grid.
     """
     keys = ["image_id", "class_id"]
-    df = with_corners(df)
-    firsts = df.groupBy(*keys, *CORNERS).agg(F.count(F.lit(1)).alias("_n"))
-    solid = (F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1"))
-    twins = firsts.where((F.col("_n") > 1) & solid).select("image_id")
-    boxes = firsts.where(solid).drop("_n")
-    cold, hot = split_hot(boxes, keys, bound)
+    df = with_corners(df).select(*keys, "line_no", *CORNERS)
+    cold, hot = split_hot(df, keys, bound)
 
     def corners(s: Column) -> B.Corners:
         return tuple(s[c] for c in CORNERS)
@@ -240,12 +257,13 @@ def same_class_overlaps(df: DataFrame, bound: int = GROUP_BOUND) -> DataFrame:
     any_pair = F.exists("_all", lambda a: F.exists(
         "_all", lambda b: (a < b) & B.suspicious_same_class(corners(a), corners(b))))
     found = (
-        cold.groupBy(*keys).agg(F.collect_list(F.struct(*CORNERS)).alias("_all"))
-        .where((F.size("_all") > 1) & any_pair).select("image_id")
+        cold.groupBy(*keys).agg(F.collect_list(F.struct("line_no", *CORNERS)).alias("_all"))
+        .where(F.size("_all") > 1).where(any_pair).select("image_id")
     )
-    found = found.union(twins)
     if hot is not None:
-        found = found.union(_same_class_hot(hot, keys))
+        solid = hot.where((F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1")))
+        firsts = cut(solid.groupBy(*keys, *CORNERS).agg(F.count(F.lit(1)).alias("_n")))
+        found = found.union(firsts.where(F.col("_n") > 1).select("image_id")).union(_same_class_hot(firsts.drop("_n"), keys))
     return found.distinct()
 
 

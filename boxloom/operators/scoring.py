@@ -45,7 +45,8 @@ def score_images(
     """Apply a scorer to (image_id, width, height, prompt, ...) in batches within both limits.
 
     ``load`` runs once per task and returns the scorer, so a model is read once per task.
-    Batches form inside an Arrow batch: memory is bounded by the Arrow batch size.
+    Batches form inside an Arrow batch: memory is bounded by the Arrow batch size. Rows are
+    spread by image first (ids and sizes only, no pixels), since a model outweighs a shuffle.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,7 +58,7 @@ def score_images(
             for _, part in frame.groupby(pd.Series(batch, index=frame.index), sort=True):
                 yield scorer(part)[[f.name for f in BOXES]]
 
-    return images.mapInPandas(run, BOXES)
+    return images.repartition("image_id").mapInPandas(run, BOXES)
 
 
 def missing_expected(images: DataFrame, boxes: DataFrame, floor: float | None = None) -> DataFrame:

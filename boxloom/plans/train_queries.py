@@ -30,11 +30,12 @@ from parsed where source_class is null or not ok""", {"parsed": f"""
     try_cast(f[3] as double) as yc, try_cast(f[4] as double) as w, try_cast(f[5] as double) as h
   from fields left join class_map m on m.class_id = trunc(try_cast(f[1] as double))::int where len(f) = 5"""}))
 def parse_labels_strict(i: Inputs):
-    boxes, rejects = L.parse_strict(i.label_files(), V.class_map(i.spark))
-    none = [F.lit("").alias(c) for c in ("source_class", "target_class")] + [F.lit(-1.0).alias(c) for c in ("xc", "yc", "w", "h")]
-    line = F.col("line_no").cast("long").alias("line_no")
-    return boxes.select("image_id", line, F.lit("box").alias("outcome"), "source_class", "target_class", "xc", "yc", "w", "h").unionByName(
-        rejects.select("image_id", line, F.col("reason").alias("outcome"), *none))
+    rows = L.parsed_strict(i.label_files(), V.class_map(i.spark))
+    good = F.col("reason").isNull()
+    names = [F.when(good, F.col(c)).otherwise("").alias(c) for c in ("source_class", "target_class")]
+    numbers = [F.when(good, F.col(c)).otherwise(-1.0).alias(c) for c in ("xc", "yc", "w", "h")]
+    return rows.select("image_id", F.col("line_no").cast("long").alias("line_no"),
+                       F.coalesce("reason", F.lit("box")).alias("outcome"), *names, *numbers)
 
 
 @query("parse_labels_tolerant", compose(["fields"], f"""
@@ -246,12 +247,12 @@ select 'target_instances', target_class, count(*) from merged where image_id in
     STATUS_SQL, recursive=True))
 def dataset_summary(i: Inputs):
     status, merged, boxes = _status(i)
-    return M.training_summary(status, merged, D.conflicts(boxes), boxes)
+    return M.training_summary(cut(status), merged, D.conflicts(boxes), boxes)
 
 
 @query("label_text", compose(["mapped_boxes"], """
 select image_id, 0::bigint as part, string_agg(target_id || ' ' || printf('%.6f', xc) || ' ' || printf('%.6f', yc) || ' ' || printf('%.6f', w) || ' ' || printf('%.6f', h),
   chr(10) order by target_id, line_no) || chr(10) as label_text from merged group by image_id""", COMPONENTS_SQL, recursive=True))
 def label_text(i: Inputs):
-    merged = D.merge_overlaps(i.mapped_boxes())
+    merged = cut(D.merge_overlaps(i.mapped_boxes()))
     return L.label_text(merged.select("image_id", "target_id", "line_no", L.box_line(F.col("target_id")).alias("line")), ["target_id", "line_no"])

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from boxloom.functions import boxes as B
 from boxloom.functions import text as X
 
-LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
-NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+SPACE = r"[\s\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 
 
 def read_label_files(spark: SparkSession, root: str) -> DataFrame:
@@ -43,43 +44,45 @@ def lines(files: DataFrame, text: str = "text") -> DataFrame:
     return files.select(*kept, F.posexplode(F.split(text, LINE_BREAK)).alias("line_no", "line"))
 
 
-def _fields(df: DataFrame) -> DataFrame:
-    return df.withColumn("_f", F.split(F.trim(F.regexp_replace("line", r"(?U)\s+", " ")), " "))
+def _boxes(df: DataFrame) -> DataFrame:
+    """Lines split into fields: ``five`` (exactly five), ``readable`` (all numbers) and the values or nulls."""
+    line = F.regexp_replace("line", f"{SPACE}+", " ")
+    f = F.split(F.trim("line"), " ")
+    values = dict(zip(("class_id", "xc", "yc", "w", "h"), [F.get(f, k).try_cast("double") for k in range(5)]))
+    # a class id may be written as a float
+    values["class_id"] = values["class_id"].try_cast("int")
+    return df.withColumn("line", line).withColumns({
+        "five": F.col("line").rlike(r"^ ?[^ ]+(?: [^ ]+){4} ?$"),
+        "readable": F.col("line").rlike(f"^ ?{NUMBER}(?: {NUMBER}){{4}} ?$"),
+    } | {k: F.when(F.col("line").rlike(r"^ ?[^ ]+(?: [^ ]+){4} ?$"), v) for k, v in values.items()})
 
 
-def _boxes(f: Column) -> tuple[list[Column], Column]:
-    """(class id and four numbers, all five readable)."""
-    readable = F.forall(F.slice(f, 1, 5), lambda x: x.rlike(NUMBER))
-    numbers = [f[k].try_cast("double") for k in range(5)]
-    return [numbers[0].try_cast("int"), *numbers[1:]], readable
+def parsed_strict(files: DataFrame, class_map: DataFrame) -> DataFrame:
+    """Lines with exactly five fields; ``reason`` is null for boxes and says why the others are rejected.
 
+    A class id outside ``class_map`` or an unreadable number rejects the line instead of failing the run.
+    """
+    rows = _boxes(lines(files)).where("five").join(F.broadcast(class_map), "class_id", "left")
+    return rows.withColumn(
+        "reason", F.when(~F.col("readable"), "unreadable_number").when(F.col("source_class").isNull(), "unknown_class")
+    ).drop("five", "readable")
 
-def parse_strict(files: DataFrame, class_map: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(boxes, rejects) of whole label files.
 
-    Lines without exactly five fields are skipped. Lines with a class id outside
-    ``class_map`` or an unreadable number are rejected with a reason instead of failing the run.
-    """
-    rows = _fields(lines(files)).where(F.size("_f") == 5)
-    values, readable = _boxes(F.col("_f"))
-    named = dict(zip(("class_id", "xc", "yc", "w", "h"), values))
-    rows = rows.withColumns(named | {"_ok": readable}).join(F.broadcast(class_map), "class_id", "left").drop("_f")
-    reason = F.when(~F.col("_ok"), "unreadable_number").when(F.col("source_class").isNull(), "unknown_class")
-    rows = rows.withColumn("reason", reason)
+def parse_strict(files: DataFrame, class_map: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(boxes, rejects) of whole label files."""
+    rows = parsed_strict(files, class_map)
     return (
-        rows.where(F.col("reason").isNull()).drop("line", "reason", "_ok"),
+        rows.where(F.col("reason").isNull()).drop("line", "reason"),
         rows.where(F.col("reason").isNotNull()).select(*[c for c in files.columns if c != "text"], "line_no", "line", "reason"),
     )
 
 
 def parse_tolerant(files: DataFrame) -> DataFrame:
     """Non-blank lines with ``valid``; valid ones carry a class id and numbers clamped to [0, 1]."""
-    rows = _fields(lines(files)).where(F.col("_f") != F.array(F.lit("")))
-    values, readable = _boxes(F.col("_f"))
-    valid = (F.size("_f") == 5) & readable
-    named = {n: F.when(valid, v if n == "class_id" else B.clamp(v)) for n, v in
-             zip(("class_id", "xc", "yc", "w", "h"), values)}
-    return rows.withColumns({"valid": valid} | named).drop("_f", "line")
+    rows = _boxes(lines(files)).where(~F.col("line").isin("", " "))
+    numbers = {n: F.when(F.col("readable"), B.clamp(F.col(n))) for n in ("xc", "yc", "w", "h")}
+    return rows.withColumns(numbers | {"class_id": F.when(F.col("readable"), F.col("class_id"))}).withColumnRenamed(
+        "readable", "valid").drop("five", "line")
 
 
 def class_dictionary(text: DataFrame, default: list[str] | None = None) -> DataFrame:
