@@ -18,7 +18,7 @@ def list_images(spark: SparkSession, root: str, suffixes: list[str] | None = Non
     """
     base = root.rstrip("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(base)
-    path = relative(_decoded(F.col("path")), base).alias("path")
+    path = relative(F.col("path"), base).alias("path")
     return files.select(path, F.col("length").alias("file_size"), F.col("modificationTime").alias("modified")).where(
         X.suffix(F.col("path")).isin(suffixes or V.SCAN_SUFFIXES))
 
@@ -46,7 +46,7 @@ def decoded(spark: SparkSession, root: str) -> DataFrame:
     """
     base = root.rstrip("/")
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select(
-        relative(_decoded(F.col("path")), base).alias("path"), F.col("length").alias("file_size"), F.sha1("content").alias("sha1"))
+        relative(F.col("path"), base).alias("path"), F.col("length").alias("file_size"), F.sha1("content").alias("sha1"))
     shown = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(base)
     image = F.col("image")
     pixel = shown.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,21 +23,24 @@ def read_label_files(spark: SparkSession, root: str) -> DataFrame:
     """
     base = root.rstrip("/")
     found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(base, wholetext=True)
-    full = found.select(F.col("_metadata.file_path").alias("_path"), F.col("value").alias("text"))
+    full = found.select(relative(_decoded(F.col("_metadata.file_path")), base).alias("path"), F.col("value").alias("text"))
     listed = spark.createDataFrame([(p,) for p in found.inputFiles()], "_path string")
-    return listed.withColumn("_path", _decoded(F.col("_path"))).join(
-        full.withColumn("_path", _decoded(F.col("_path"))), "_path", "left"
-    ).select(relative(F.col("_path"), base).alias("path"), F.coalesce("text", F.lit("")).alias("text"))
+    listed = listed.select(relative(_decoded(F.col("_path")), base).alias("path"))
+    return listed.join(full, "path", "left").withColumn("text", F.coalesce("text", F.lit("")))
 
 
 def _decoded(path: Column) -> Column:
+    """A file URL as a plain path; Spark's metadata and file index show URLs."""
     return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
 
 
 def relative(path: Column, root: str) -> Column:
-    """The part of a full path (or file: URL) after the root folder."""
+    """The part of a full path after the root folder; a root without a scheme fits paths of any scheme."""
+    base = re.sub(r"^file:/+", "/", root.rstrip("/"))
     plain = F.regexp_replace(path, r"^file:/+", "/")
-    return F.substring(plain, len(root.rstrip("/")) + 2, 1 << 20)
+    if base.startswith("/"):
+        plain = F.regexp_replace(plain, r"^[A-Za-z0-9+.-]+://[^/]*", "")
+    return F.substring(plain, len(base) + 2, 1 << 20)
 
 
 def lines(files: DataFrame, text: str = "text") -> DataFrame:
