@@ -46,6 +46,15 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """For heavy row-local work: spread an input with fewer partitions than the cluster has cores.
+
+    Inputs of a cluster's size have more partitions than that and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fresh_path(spark: SparkSession, what: str) -> str:
     return os.path.join(shared_dir(spark), f"boxloom-{what}-{uuid.uuid4().hex}")
 

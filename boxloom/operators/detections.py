@@ -1,4 +1,8 @@
-"""Boxes within an image: close pairs, suppression, merging, conflicts, selection."""
+"""Boxes within an image: close pairs, suppression, merging, conflicts, selection.
+
+Where boxes are gathered into arrays the rows are repartitioned first: gathering reduces
+nothing, so a map-side pass would only build the arrays twice and ship them.
+"""
 
 from __future__ import annotations
 
@@ -126,7 +130,7 @@ def suppress(df: DataFrame, threshold: float = V.NMS_IOU, bound: int = GROUP_BOU
 
     folded = F.when(F.size("_all") == 1, F.col("_all")).otherwise(F.aggregate("_all", F.slice("_all", 1, 0), step))
     out = (
-        cold.groupBy(*keys).agg(F.collect_list(row).alias("_raw"))
+        cold.repartition(*keys).groupBy(*keys).agg(F.collect_list(row).alias("_raw"))
         .withColumn("_all", F.when(F.size("_raw") == 1, F.col("_raw")).otherwise(F.array_sort("_raw")))
         .select(*keys, F.inline(folded)).select(*df.columns)
     )
@@ -182,7 +186,7 @@ def merge_overlaps(df: DataFrame, threshold: float = V.MERGE_IOU, bound: int = G
         F.size("_all") == 1, F.array(F.col("_all"))
     ).otherwise(F.aggregate("_all", F.slice(F.array(F.col("_all")), 1, 0), step))
     out = (
-        cold.groupBy(*keys).agg(F.collect_list(row).alias("_all"))
+        cold.repartition(*keys).groupBy(*keys).agg(F.collect_list(row).alias("_all"))
         .withColumn("_group", F.explode(folded))
         .select(*keys, F.array_max("_group").alias("_best"), F.size("_group").cast("long").alias("merged_from"))
         .select(*keys, *[F.col(f"_best.{c}") for c in rest], "merged_from")
@@ -227,17 +231,33 @@ def conflicts(df: DataFrame, threshold: float = V.MERGE_IOU) -> DataFrame:
     return pairs.select("image_id", *side, F.bround("iou", 6).alias("overlap_ratio"))
 
 
-def conflict_images(df: DataFrame, threshold: float = V.MERGE_IOU) -> DataFrame:
+def conflict_images(df: DataFrame, threshold: float = V.MERGE_IOU, bound: int = PAIR_BOUND) -> DataFrame:
     """Images with at least one conflict.
 
-    Equal boxes of one class collapse first: only whether a pair exists matters.
+    Only whether a pair exists matters, so no pair is formed for images of up to ``bound``
+    boxes; in larger ones equal boxes of one class collapse before they meet.
     """
-    firsts = (
-        df.groupBy("image_id", "target_class", "xc", "yc", "w", "h").agg(F.min("line_no").alias("line_no"))
+    cold, hot = split_hot(df, ["image_id"], bound)
+
+    def corners(s: Column) -> B.Corners:
+        return tuple(s[c] for c in CORNERS)
+
+    clash = F.exists("_all", lambda a: F.exists(
+        "_all", lambda b: (a["target_class"] < b["target_class"]) & (B.iou(corners(a), corners(b)) >= threshold)))
+    found = (
+        with_corners(cold).repartition("image_id").groupBy("image_id")
+        .agg(F.collect_list(F.struct("target_class", *CORNERS)).alias("_all"))
+        .where(F.size("_all") > 1).where(clash).select("image_id")
+    )
+    if hot is None:
+        return found
+    firsts = cut(
+        with_corners(hot).groupBy("image_id", "target_class", *CORNERS).agg(F.min("line_no").alias("line_no"))
         .withColumn("_node", F.struct("line_no", "target_class"))
     )
-    pairs = close_pairs(with_corners(firsts), ["image_id"], threshold, "_node")
-    return pairs.where(F.col("a.target_class") != F.col("b.target_class")).select("image_id").distinct()
+    pairs = _grid_pairs(firsts, ["image_id"], threshold, "_node")
+    clashing = pairs.where(F.col("_a_target_class") != F.col("_b_target_class")).select("image_id").distinct()
+    return found.unionByName(clashing)
 
 
 def same_class_overlaps(df: DataFrame, bound: int = PAIR_BOUND) -> DataFrame:
@@ -257,7 +277,7 @@ def same_class_overlaps(df: DataFrame, bound: int = PAIR_BOUND) -> DataFrame:
     any_pair = F.exists("_all", lambda a: F.exists(
         "_all", lambda b: (a < b) & B.suspicious_same_class(corners(a), corners(b))))
     found = (
-        cold.groupBy(*keys).agg(F.collect_list(F.struct("line_no", *CORNERS)).alias("_all"))
+        cold.repartition(*keys).groupBy(*keys).agg(F.collect_list(F.struct("line_no", *CORNERS)).alias("_all"))
         .where(F.size("_all") > 1).where(any_pair).select("image_id")
     )
     if hot is not None:

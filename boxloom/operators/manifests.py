@@ -107,9 +107,12 @@ def training_status(images: DataFrame, boxes: DataFrame, merged: DataFrame, iou:
     """(image_id, path, source_folder, status, source_box_count, export_box_count).
 
     Splits are planned over all images; images with a conflict then leave their split for
-    ``review_conflicts``. ``images`` carries image_id and path; ``merged`` is the merge of ``boxes``.
+    ``review_conflicts``. ``images`` carries image_id, path and perhaps source_folder (else the
+    first folder of the path); ``merged`` is the merge of ``boxes``.
     """
-    planned = splits.plan(images.withColumn("source_folder", X.top_folder(F.col("path"))), "source_folder", "path", seed)
+    if "source_folder" not in images.columns:
+        images = images.withColumn("source_folder", X.top_folder(F.col("path")))
+    planned = splits.plan(images, "source_folder", "path", seed)
     counts = merged.groupBy("image_id").agg(F.count(F.lit(1)).alias("_kept"), F.sum("merged_from").alias("_all"))
     clash = D.conflict_images(boxes, iou).withColumn("_clash", F.lit(True))
     return (

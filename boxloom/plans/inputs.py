@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxloom import vocabulary as V
+from boxloom.cluster import spread
 from boxloom.functions import boxes as B
 
 WIDTH, HEIGHT = 1024, 768
@@ -111,12 +112,12 @@ class Inputs:
             .when(case == 6, F.concat_ws("\n", F.lit("1 0.5 x 0.25 0.25"), unix))
             .otherwise(unix)
         )
-        return self.table("orders").select(key.alias("image_id"), text.alias("text"))
+        return spread(self.table("orders")).select(key.alias("image_id"), text.alias("text"))
 
     # near-equal vectors from embeddings: each with two growing perturbations
     def vectors(self) -> DataFrame:
         """(vec_id, folder, vector, quality): unit vectors; a base and two jittered versions each."""
-        base = self.table("embeddings").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(2))))
+        base = spread(self.table("embeddings")).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(2))))
         e = F.col("embedding").cast("array<double>")
         shifted = F.concat(F.slice(e, 2, 4096), F.slice(e, 1, 1))
         raw = F.zip_with(e, shifted, lambda a, b: a + F.col("k") * F.lit(0.07) * b)
@@ -166,7 +167,7 @@ class Inputs:
         photos = F.format_string(
             '"photos":{"page":1,"photo":[{"farm":%d,"server":"s%d","id":"%d","secret":"x%d"},{"farm":0,"server":"","id":"1"}]}',
             F.col("page_id") % 9 + 1, F.col("page_id") % 77, F.col("page_id"), F.col("page_id") * 7)
-        return self.table("pages").select(
+        return spread(self.table("pages")).select(
             "page_id", F.concat(F.lit("q"), F.floor(F.col("page_id") / 8).cast("string")).alias("query"),
             (F.col("page_id") % 8).cast("int").alias("page_no"), media.alias("html"), cdn.alias("cdn_html"),
             F.when(F.col("page_id") % 3 == 0, F.concat(photos, cdn)).otherwise(cdn).alias("flickr_html"),

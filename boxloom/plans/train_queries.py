@@ -209,7 +209,8 @@ STATUS_NEEDS = ["mapped_boxes", "scenes"]
 
 def _status(i: Inputs):
     """(status, merged boxes, boxes). The merge is written once: the status and the counts read it."""
-    images = i.scenes().select("image_id", F.concat_ws("/", "expected_class", F.concat(F.col("image_id").cast("string"), F.lit(".jpg"))).alias("path"))
+    images = i.scenes().select("image_id", F.concat_ws("/", "expected_class", F.concat(F.col("image_id").cast("string"), F.lit(".jpg"))).alias("path"),
+                               F.col("expected_class").alias("source_folder"))
     boxes = i.mapped_boxes()
     merged = cut(D.merge_overlaps(boxes))
     return M.training_status(images, boxes, merged), merged, boxes

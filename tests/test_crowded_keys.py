@@ -66,6 +66,11 @@ def test_merge(inputs):
     assert any(r[3] > 2 for r in rows)
 
 
+def test_conflict_images(inputs):
+    boxes = inputs.mapped_boxes()
+    assert same(D.conflict_images(boxes), D.conflict_images(boxes, bound=1), "image_id")
+
+
 def test_same_class(inputs):
     boxes = inputs.boxes()
     assert same(D.same_class_overlaps(boxes), D.same_class_overlaps(boxes, bound=1), "image_id")
