@@ -25,7 +25,8 @@ def dot(a: Column, b: Column) -> Column:
 def unit(vector: Column) -> Column:
     """The vector at length one (a zero vector stays zero)."""
     length = F.greatest(F.sqrt(dot(vector, vector)), F.lit(1e-12))
-    return F.transform(vector, lambda x: x / length)
+    # as an array the length is computed once per row; inside a lambda it would be once per element
+    return F.zip_with(vector, F.array_repeat(length, F.size(vector)), lambda x, n: x / n)
 
 
 def _projection(vector: Column, mask: int) -> Column:
@@ -56,7 +57,7 @@ def similar_pairs(points: DataFrame, threshold: float = V.NEAR_COSINE, block_row
     twice. A cell with more than ``block_rows`` rows is cut into blocks. Each pair of blocks is
     one matrix product; only pairs at the threshold leave it.
     """
-    r = math.sqrt(max(0.0, 2.0 - 2.0 * threshold)) + 1e-9
+    r = _reach(threshold)
     width = 4.0 * r
     axes = [c for c in points.columns if c.startswith("_p")]
     cells = [f"_c{k}" for k in range(len(axes))]
@@ -133,13 +134,14 @@ def near_decisions(df: DataFrame, threshold: float = V.NEAR_COSINE, masks: tuple
 
     Rows with equal vectors collapse to two: the first, and the best (or the runner-up when
     the first is the best). The first image that gathers any of them gathers all, so every
-    other copy goes at that moment, along with the worse of the two.
+    other copy goes at that moment, along with the worse of the two. Crowded cells are
+    thinned before pairs are formed (see ``_thin``).
     """
     place = F.struct(F.col("quality"), F.col("vec_id"))
+    df = df.where(dot(F.col("vector"), F.col("vector")) > 0.5)  # a zero vector is similar to nothing
     groups = df.groupBy("folder", "vector").agg(
         F.min(F.struct("vec_id", "quality")).alias("_first"), F.max(place).alias("_best"), F.count(F.lit(1)).alias("_n"))
     groups = projected(groups.withColumn("rep", F.col("_first.vec_id")), masks)
-    pairs = similar_pairs(groups, threshold, block_rows)
     # runner-up where the first copy is the best one
     led = groups.where((F.col("_n") > 1) & (F.col("rep") == F.col("_best.vec_id"))).select("folder", "vector", "rep")
     second = (
@@ -148,23 +150,22 @@ def near_decisions(df: DataFrame, threshold: float = V.NEAR_COSINE, masks: tuple
     )
     groups = groups.join(second, ["folder", "rep"], "left").withColumn(
         "_partner", F.when(F.col("_n") > 1, F.coalesce("_second", "_best")))
-
-    nodes = groups.select("folder", "rep", F.inline(F.array_compact(F.array(
-        F.struct(F.col("_first.vec_id").alias("id"), F.col("_first.quality").alias("q")),
-        F.when(F.col("_n") > 1, F.struct(F.col("_partner.vec_id").alias("id"), F.col("_partner.quality").alias("q")))))))
-    node = F.struct("id", "q")
-    across = (
-        pairs.join(nodes.select("folder", F.col("rep").alias("a"), node.alias("x")), ["folder", "a"])
-        .join(nodes.select("folder", F.col("rep").alias("b"), node.alias("y")), ["folder", "b"])
-        .select("folder", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    axes = [c for c in groups.columns if c.startswith("_p") and c != "_partner"]
+    nodes = cut(groups.select("folder", "vector", *axes, F.inline(F.array_compact(F.array(
+        F.struct(F.col("_first.vec_id").alias("rep"), F.col("_first.quality").alias("q")),
+        F.when(F.col("_n") > 1, F.struct(F.col("_partner.vec_id").alias("rep"), F.col("_partner.quality").alias("q"))))))))
+
+    nodes, early = _thin(nodes, threshold, block_rows)
+    quality = nodes.select("folder", "rep", "q")
+    edges = (
+        similar_pairs(nodes.drop("q"), threshold, block_rows)
+        .join(quality.select("folder", F.col("rep").alias("a"), F.col("q").alias("qa")), ["folder", "a"])
+        .join(quality.select("folder", F.col("rep").alias("b"), F.col("q").alias("qb")), ["folder", "b"])
+        .select("folder", "a", "qa", "b", "qb")
     )
-    within = groups.where(F.col("_n") > 1).select(
-        "folder", F.struct(F.col("rep").alias("id"), F.col("_first.quality").alias("q")).alias("x"),
-        F.struct(F.col("_partner.vec_id").alias("id"), F.col("_partner.quality").alias("q")).alias("y"))
-    edges = across.unionByName(within).select(
-        "folder", F.col("x.id").alias("a"), F.col("x.q").alias("qa"), F.col("y.id").alias("b"), F.col("y.q").alias("qb"))
-
     removed = _resolve(edges, local_edges)
+    if early is not None:
+        removed = removed.unionByName(early)
     # the other copies go with the worse of their two stand-ins
     first_is_best = F.col("rep") == F.col("_best.vec_id")
     worse = groups.where(F.col("_n") > 2).select(
@@ -182,6 +183,62 @@ def near_decisions(df: DataFrame, threshold: float = V.NEAR_COSINE, masks: tuple
         "folder", "remove_id", "keep_id", dot(F.col("_v"), F.col("_w")).alias("score"))
 
 
+def _reach(threshold: float) -> float:
+    """Largest distance of two unit vectors at the threshold."""
+    return math.sqrt(max(0.0, 2.0 - 2.0 * threshold)) + 1e-9
+
+
+def _around(df: DataFrame, cells: list[str]) -> DataFrame:
+    """Each row in its own cell and in all adjacent ones."""
+    for c in cells:
+        df = df.withColumn(c, F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)))
+    return df
+
+
+def _thin(nodes: DataFrame, threshold: float, crowd: int) -> tuple[DataFrame, DataFrame | None]:
+    """Settle what can be settled around cells with more than ``crowd`` rows, without forming their pairs.
+
+    Over (folder, rep, q, vector, _p0, ...); returns the rows still open and the removals. Cells
+    are 4r wide, so whatever shares a neighbour with a row lies in its own or an adjacent cell.
+    The first row of a cell that is also first among the adjacent cells is therefore next in
+    order: it gathers its neighbours in one join, the best stays, the others go. A dense group
+    of near copies vanishes in one round. Ends when no cell is crowded, or when a
+    round removes little: then the rows there are mostly not similar and give few pairs.
+    """
+    width = 4.0 * _reach(threshold)
+    axes = [c for c in nodes.columns if c.startswith("_p")]
+    cells = [f"_c{k}" for k in range(len(axes))]
+    keys = ["folder", *cells]
+    removed = None
+    while True:
+        placed = nodes.withColumns({c: F.floor(F.col(p) / width) for c, p in zip(cells, axes)})
+        leads = placed.groupBy(*keys).agg(F.min("rep").alias("_lead"), F.count(F.lit(1)).alias("_n"))
+        if not leads.where(F.col("_n") > crowd).head(1):
+            return nodes, removed
+        leads = cut(leads)
+        near = _around(leads, cells).groupBy(*keys).agg(F.min("_lead").alias("_near"), F.max("_n").alias("_most"))
+        first = leads.join(near, keys).where((F.col("_lead") == F.col("_near")) & (F.col("_most") > crowd))
+        pivots = cut(placed.join(first.select(*keys, F.col("_lead").alias("rep")), [*keys, "rep"], "left_semi").select(*keys, "rep", "q", "vector"))
+        spots = _around(pivots.select(*keys, F.col("rep").alias("a"), F.col("q").alias("qa"), F.col("vector").alias("_v")), cells)
+        members = cut(
+            placed.join(spots, keys)
+            .where((F.col("rep") > F.col("a")) & (dot(F.col("vector"), F.col("_v")) >= threshold))
+            .select("folder", "a", "qa", "rep", "q")
+        )
+        top = members.groupBy("folder", "a", "qa").agg(F.max(F.struct("q", "rep")).alias("_top")).select(
+            "folder", "a", F.greatest("_top", F.struct(F.col("qa").alias("q"), F.col("a").alias("rep")))["rep"].alias("keep_id"))
+        gone = members.select("folder", "a", F.col("rep").alias("remove_id")).join(top, ["folder", "a"]).select("folder", "remove_id", "keep_id")
+        gone = gone.unionByName(top.select("folder", F.col("a").alias("remove_id"), "keep_id")).where(F.col("remove_id") != F.col("keep_id"))
+        gone = cut(gone)
+        removed = gone if removed is None else removed.unionByName(gone)
+        # a gathering row is done: kept or not, no later row can reach it
+        done = gone.select("folder", F.col("remove_id").alias("rep")).unionByName(pivots.select("folder", "rep")).distinct()
+        nodes = cut(nodes.join(done, ["folder", "rep"], "left_anti"))
+        crowded = leads.where(F.col("_n") > crowd).agg(F.sum("_n")).first()[0]
+        if gone.count() * 20 < crowded:
+            return nodes, removed
+
+
 def _resolve(edges: DataFrame, local_edges: int) -> DataFrame:
     """Settle edges (folder, a, qa, b, qb), a before b; returns (folder, remove_id, keep_id).
 

@@ -172,6 +172,24 @@ def test_near_decisions_with_many_copies(spark, seed, local_edges):
     assert got == sorted(want) and len(got) > 30
 
 
+def test_dense_near_copies_vanish_without_pairs(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=16)
+    m = np.concatenate([centre + rng.normal(size=(150, 16)) * 0.01, rng.normal(size=(60, 16)), np.zeros((3, 16))])
+    m = m[rng.permutation(len(m))]
+    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+    rows = [("f", n, [float(x) for x in v], (int(rng.integers(5)), n)) for n, v in enumerate(m)]
+    df = spark.createDataFrame(rows, "folder string, vec_id long, vector array<double>, quality struct<p:int,v:long>")
+    pairs = []
+    real = neardup.similar_pairs
+    monkeypatch.setattr(neardup, "similar_pairs", lambda *a: pairs.append(real(*a).cache()) or pairs[-1])
+    got = sorted((r.remove_id, r.keep_id) for r in neardup.near_decisions(df, 0.97, masks=(0, 4, 8), block_rows=20).collect())
+    assert got == walk([(r[1], r[3]) for r in rows], m @ m.T, 0.97) and len(got) == 149
+    assert pairs[0].count() < 200  # of 11 175
+
+
 def test_near_pairs_lose_nothing(spark):
     import numpy as np
 
