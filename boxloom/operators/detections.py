@@ -14,7 +14,7 @@ from boxloom import vocabulary as V
 from boxloom.cluster import cut
 from boxloom.functions import boxes as B
 from boxloom.operators import graphs
-from boxloom.operators.ranking import GROUP_BOUND, split_hot
+from boxloom.operators.ranking import split_hot
 
 CORNERS = ["x1", "y1", "x2", "y2"]
 PAIR_BOUND = 256
@@ -109,7 +109,7 @@ def _grid_pairs(df: DataFrame, keys: list[str], threshold: float, order: str) ->
 
 # ---- suppression -----------------------------------------------------------
 
-def suppress(df: DataFrame, threshold: float = V.NMS_IOU, bound: int = GROUP_BOUND) -> DataFrame:
+def suppress(df: DataFrame, threshold: float = V.NMS_IOU, bound: int = PAIR_BOUND) -> DataFrame:
     """Class-wise greedy suppression over (image_id, label, score, pos, x1, y1, x2, y2).
 
     By score from high to low (ties by ``pos``) a box stays when its IoU with
@@ -158,7 +158,7 @@ def _suppress_hot(df: DataFrame, keys: list[str], threshold: float) -> DataFrame
 
 # ---- merging ---------------------------------------------------------------
 
-def merge_overlaps(df: DataFrame, threshold: float = V.MERGE_IOU, bound: int = GROUP_BOUND) -> DataFrame:
+def merge_overlaps(df: DataFrame, threshold: float = V.MERGE_IOU, bound: int = PAIR_BOUND) -> DataFrame:
     """One box per connected component of same-target boxes with IoU >= ``threshold``.
 
     Over (image_id, line_no, target_class, xc, yc, w, h and more). The box that stays is

@@ -120,7 +120,7 @@ SEEN_SQL = {
 
 def _arrivals(i: Inputs):
     a = i.arrivals()
-    early = F.col("ts") < F.lit(CUTOFF).cast("timestamp")
+    early = F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz")
     return a.where(early), a.where(~early)
 
 

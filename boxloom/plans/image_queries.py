@@ -180,8 +180,10 @@ def _vectors(i: Inputs):
     return i.vectors().withColumn("vector", neardup.unit(F.col("vector")))
 
 
-@query("near_dup_pairs", compose(["vectors"], "select folder, a, b, round(sim, 6) as sim from near", {"unit": UNIT_SQL, "near": NEAR_PAIRS_SQL}))
+@query("near_dup_pairs", compose(["vectors"], "select folder, a, b, round(sim, 6) as sim from near", {
+    "every": UNIT_SQL, "unit": "select folder, vector, min(vec_id) as vec_id from every group by folder, vector", "near": NEAR_PAIRS_SQL}))
 def near_dup_pairs(i: Inputs):
+    """Pairs of different vectors; rows with equal vectors are stood for by the smallest id."""
     reps = neardup.distinct_vectors(_vectors(i))
     return neardup.similar_pairs(neardup.projected(reps, MASKS)).select("folder", "a", "b", F.round("sim", 6).alias("sim"))
 
@@ -273,7 +275,7 @@ def group_split(i: Inputs):
     return splits.group_split(i.images(), idx).select("image_id", "sha1", "split")
 
 
-# half of the folders have no val rows, a third no test rows
+# no test rows at all
 FALLBACK_SQL = {"sets": """select folder, image_id, case when image_id % 4 = 0 then 'val' else 'train' end as split from images"""}
 
 

@@ -11,7 +11,7 @@ import __spark_entry__ as entry  # noqa: E402
 from boxloom.cluster import local_session  # noqa: E402
 from side_by_side import compare, connect  # noqa: E402
 
-folder = f"/root/testdata/sf{sys.argv[1]}"
+folder = sys.argv[1] if "/" in sys.argv[1] else f"/root/testdata/sf{sys.argv[1]}"
 wanted = sys.argv[2:]
 spark = local_session(8, 8)
 spark.sparkContext.setLogLevel("ERROR")
