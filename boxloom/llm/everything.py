@@ -1,7 +1,7 @@
 """All queries of the subpackage and the pipeline."""
 
 import corpus_pipeline
-from boxloom.llm import decontaminate, mixing, quality, sharding, simhash  # noqa: F401
+from boxloom.llm import decontaminate, licenses, mixing, quality, quotes, secrets, sharding, simhash, substrings  # noqa: F401
 from boxloom.llm.catalog import ORACLES, QUERIES
 
 QUERIES["pipeline"] = corpus_pipeline.run

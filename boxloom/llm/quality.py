@@ -124,7 +124,9 @@ def assess(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, least: i
         .withColumn("base_failed", (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * n))
         .withColumn(found, total)
         .withColumn("ratio", F.when(n > 0, F.floor(F.col(found) / (2 * n - 1))))
-        .withColumn("kept", ~F.col("base_failed") & (F.col(found) >= least * (2 * n - 1)))
+        # always true, but not to be moved: a filter on the verdict would be pushed below the steps above and with it
+        # all of their expressions, nested into one
+        .withColumn("kept", ~F.col("base_failed") & (F.col(found) >= least * (2 * n - 1)) & (F.monotonically_increasing_id() >= 0))
         .drop(text, words, lines, found)
     )
 

@@ -1,0 +1,201 @@
+"""Secret scans over a text and everything encoded in it.
+
+A worklist holds layers of a text: first the text, then whatever URL, Unicode, base64 or compressed encodings in a layer
+unwrap to, until nothing new appears. A layer whose text was seen before is not opened again, which ends cycles. Each
+layer is scanned by the same rules; every character of a layer knows the stretch of the original it came from, so
+findings are reported as spans of the original.
+
+Work is local to a row: no shuffle, and a lost executor costs only its rows.
+"""
+
+from __future__ import annotations
+
+import base64
+import binascii
+import bz2
+import hashlib
+import lzma
+import re
+import zlib
+from collections import deque
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from boxloom.llm.catalog import query, table
+
+KINDS = ("assign", "access", "hex")
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
+HEX = re.compile(r"[0-9a-f]{24,}")
+#: a text without these in any case has no assignment
+KEYWORDS = ("passw", "secret", "token", "api")
+PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#(?:x([0-9A-Fa-f]{1,6})|([0-9]{1,7}));")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+#: bytes of one unpacked stream; a longer one stays packed
+MOST_UNPACKED = 1 << 26
+
+
+def scan(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, kind) of the findings in one layer; leftmost, not overlapping within a kind."""
+    out = []
+    small = text.lower()
+    if any(k in small for k in KEYWORDS):
+        out += [(*m.span(), 0) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    if "AKIA" in text:
+        out += [(*m.span(), 1) for m in ACCESS.finditer(text)]
+    return out + [(*m.span(), 2) for m in HEX.finditer(text)]
+
+
+class Layer:
+    """A text and, for each of its characters, where in the original it begins and ends."""
+
+    __slots__ = ("text", "starts", "ends")
+
+    def __init__(self, text, starts, ends):
+        self.text, self.starts, self.ends = text, starts, ends
+
+    def span(self, a: int, b: int) -> tuple[int, int]:
+        return self.starts[a], self.ends[b - 1]
+
+    def replaced(self, parts: list[tuple[int, int, str, list[tuple[int, int]]]]):
+        """A new layer with stretches (a, b) replaced by texts, each of whose characters has a stretch of this layer."""
+        text, starts, ends, at = [], [], [], 0
+        for a, b, new, places in parts:
+            text += [self.text[at:a], new]
+            starts += [*self.starts[at:a], *(self.starts[i] for i, _ in places)]
+            ends += [*self.ends[at:a], *(self.ends[j - 1] for _, j in places)]
+            at = b
+        return Layer("".join([*text, self.text[at:]]), starts + [*self.starts[at:]], ends + [*self.ends[at:]])
+
+
+def characters(raw: bytes, place) -> tuple[str, list[tuple[int, int]]] | None:
+    """UTF-8 bytes as characters, each with the stretch from its first to its last byte; None if they are no text."""
+    try:
+        text = raw.decode()
+    except UnicodeDecodeError:
+        return None
+    places, at = [], 0
+    for c in text:
+        n = len(c.encode())
+        places.append((place(at)[0], place(at + n - 1)[1]))
+        at += n
+    return text, places
+
+
+def unpercent(layer: Layer) -> Layer | None:
+    parts = []
+    for m in PERCENT.finditer(layer.text):
+        got = characters(bytes.fromhex(m[0].replace("%", "")), lambda i, s=m.start(): (s + 3 * i, s + 3 * i + 3))
+        if got:
+            parts.append((*m.span(), *got))
+    return layer.replaced(parts) if parts else None
+
+
+def unescape(layer: Layer) -> Layer | None:
+    parts, held = [], None
+    for m in ESCAPE.finditer(layer.text):
+        code = int(m[1] or m[2] or m[3] or "0", 16) or int(m[4] or "0")
+        if held and held[1] == m.start() and 0xDC00 <= code < 0xE000:  # the second half of a pair
+            parts.append((held[0], m.end(), chr(0x10000 + ((held[2] - 0xD800) << 10) + code - 0xDC00), [(held[0], m.end())]))
+        elif 0 < code < 0x110000 and not 0xD800 <= code < 0xE000:
+            parts.append((*m.span(), chr(code), [m.span()]))
+        held = (*m.span(), code) if 0xD800 <= code < 0xDC00 else None
+    return layer.replaced(parts) if parts else None
+
+
+def unpacked(raw: bytes, most: int) -> bytes | None:
+    """The content of a zlib, gzip, bz2 or xz stream; None if it is none of them, is damaged or is longer than ``most``."""
+    try:
+        if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] * 256 + raw[1]) % 31 == 0):
+            return _rest(zlib.decompressobj(47), raw, most)
+        if raw[:3] == b"BZh":
+            return _rest(bz2.BZ2Decompressor(), raw, most)
+        if raw[:6] == b"\xfd7zXZ\x00":
+            return _rest(lzma.LZMADecompressor(), raw, most)
+    except (zlib.error, OSError, EOFError, lzma.LZMAError):
+        pass
+    return None
+
+
+def _rest(machine, raw: bytes, most: int) -> bytes | None:
+    out = machine.decompress(raw, most)
+    return out if machine.eof else None
+
+
+def unbase64(layer: Layer, most: int) -> list[Layer]:
+    """One layer for each stretch that decodes to text, or to packed text."""
+    out = []
+    for m in BASE64.finditer(layer.text):
+        body = m[0].rstrip("=")
+        if len(body) % 4 == 1:
+            continue
+        try:
+            raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
+        except (binascii.Error, ValueError):
+            continue
+        packed = False
+        inside = set()  # a stream can unpack to itself
+        while raw not in inside and (inner := unpacked(raw, most)) is not None:
+            inside.add(raw)
+            raw, packed = inner, True
+        whole = m.span()
+        got = characters(raw, (lambda i, w=whole: w) if packed else (
+            lambda i, s=m.start(), n=len(body): (s + i * 8 // 6, min(s + n, s + (i * 8 + 7) // 6 + 1))))
+        if got and got[0] and sum(c.isprintable() or c in "\t\r\n" for c in got[0]) >= 0.95 * len(got[0]):
+            text, places = got
+            out.append(Layer(text, [layer.starts[a] for a, _ in places], [layer.ends[b - 1] for _, b in places]))
+    return out
+
+
+def spans_of(text: str, most: int = MOST_UNPACKED) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(findings in the text itself, findings in all layers), as (start, end, kind) of the original, sorted and distinct."""
+    base = sorted(scan(text), key=lambda x: (x[0], x[2]))
+    every = set(base)
+    if "%" in text or "\\" in text or "&#" in text or BASE64.search(text):
+        work = deque([Layer(text, range(len(text)), range(1, len(text) + 1))])
+        seen = {text}
+        while work:
+            layer = work.popleft()
+            for new in [unpercent(layer), unescape(layer), *unbase64(layer, most)]:
+                if new is not None and new.text not in seen:
+                    seen.add(new.text)
+                    work.append(new)
+                    every.update((*new.span(a, b), k) for a, b, k in scan(new.text))
+    return base, sorted(every, key=lambda x: (x[0], x[2], x[1]))
+
+
+def joined(spans) -> str:
+    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in spans)
+
+
+def find_secrets(docs: DataFrame, most: int = MOST_UNPACKED) -> DataFrame:
+    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans``, one row for each row of ``docs``.
+
+    Counts and digest are of the findings in the text itself; ``spans`` has those of all layers, mapped to the text.
+    Null and empty texts have none: counts 0 and the digest of the empty string. Findings of one kind that map to the
+    same stretch are listed once. Packed streams that unpack to more than ``most`` bytes stay packed.
+    """
+    columns = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
+
+    def made(batches):
+        for b in batches:
+            ids, rows = b.column(0), []
+            for text in b.column(1):
+                base, every = spans_of(text.as_py() or "", most)
+                counts = [sum(k == n for *_, k in base) for n in range(3)]
+                rows.append((*counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(every)))
+            got = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [ids, *(pa.array(c, pa.int64()) for c in got[:3]), *(pa.array(c, pa.string()) for c in got[3:])],
+                [x.split()[0] for x in columns.split(", ")],
+            )
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(made, columns)
+
+
+@query("op6_secrets")
+def op6_secrets(spark, folder):
+    return find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
