@@ -24,7 +24,8 @@ from boxloom.llm.catalog import query, table
 from boxloom.llm.words import NOT_WORD, lower_ascii, runs, split_words
 
 SHINGLE, CONTAINED, MISSED = 5, 0.8, 1e-4
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: the words that are hashed, in a text as it is
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 # Notices and opening clauses as their licences publish them.
 TEMPLATES = {
