@@ -90,26 +90,27 @@ def minimax_cuts(ends: DataFrame, total: int, shards: int, knots: int = KNOTS) -
                  and any(a < known.at[i] and known.at[i - 1] <= b for a, b in zip(low, high, strict=True))]
         if not doubt:
             return known.even_cuts(enough, shards)
-        stretches: list[list[int]] = []
-        for i in doubt:
-            a, b = int(known.at[i - 1]), int(known.at[i])
-            if stretches and stretches[-1][1] == a:
-                stretches[-1][1] = b
-            else:
-                stretches.append([a, b])
+        # joined where they are closest, so that the condition stays short; each is read at least 4 times finer
+        stretches = [[int(known.at[i - 1]), int(known.at[i]), int(known.at[i] - known.at[i - 1])] for i in doubt]
+        while len(stretches) > 2 * shards or any(x[1] == y[0] for x, y in zip(stretches, stretches[1:], strict=False)):
+            k = min(range(1, len(stretches)), key=lambda k: stretches[k][0] - stretches[k - 1][1])
+            a, b, widest = stretches.pop(k)
+            stretches[k - 1][1:] = b, max(widest, stretches[k - 1][2])
         share = max(2, knots // len(stretches))
-        widths = [max(1, -(-(b - a) // share)) for a, b in stretches]
-        inside = [(F.col("end") > a) & (F.col("end") <= b) for a, b in stretches]
+        widths = [max(1, min(-(-(b - a) // share), widest // 4)) for a, b, widest in stretches]
+        inside = [(F.col("end") > a) & (F.col("end") <= b) for a, b, _ in stretches]
         bucket = F.coalesce(*(
             F.when(within, F.struct(F.lit(n).alias("n"), F.floor((F.col("end") - 1 - a) / w).alias("k")))
-            for n, (within, (a, _), w) in enumerate(zip(inside, stretches, widths, strict=True))
+            for n, (within, (a, *_), w) in enumerate(zip(inside, stretches, widths, strict=True))
         ))
         found = (
             ends.where(reduce(or_, inside)).groupBy(bucket.alias("_b"))
-            .agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("n")).select("end", "n").collect()
-        )  # at most ``share`` rows for each stretch
-        fresh = {r["end"]: r["n"] > 1 for r in found}
-        old = {int(known.at[i]): bool(known.open[i]) for i in range(len(known.at)) if int(known.at[i]) not in fresh}
+            .agg(F.min("end").alias("low"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n")).collect()
+        )
+        # between the last place of a bucket and the first of the next there is none: large groups leave no doubt
+        fresh = {r["low"]: False for r in found} | {r["end"]: r["n"] > 2 for r in found}
+        old = {int(at): bool(o) for at, o in zip(known.at, known.open, strict=True)
+               if not any(a < at <= b for a, b, _ in stretches)}
         both = dict(sorted({**old, **fresh}.items()))
         known = Knots(np.array(list(both)), np.array(list(both.values())))
 
