@@ -35,11 +35,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 
-    Only a session that names none (a test) gets a folder of its own.
+    Only a local session that names none (a test) gets a folder of its own; on a cluster the driver's disk would not
+    be seen by the executors.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
+    if not named and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not named:
         named = tempfile.mkdtemp(prefix="spark-boxloom-")
         spark.conf.set("spark.checkpoint.dir", named)

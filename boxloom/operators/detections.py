@@ -30,6 +30,8 @@ def with_corners(df: DataFrame) -> DataFrame:
 
 def _levels(side: Column, threshold: float) -> Column:
     """Power-of-two size levels a partner of this side length can have."""
+    if threshold <= 0:
+        raise ValueError("the threshold must be above 0: boxes that need not overlap have no nearest cells")
     low = F.floor(F.log2(side * F.lit(threshold * (1 - 1e-9)))).cast("int")
     high = F.floor(F.log2(side / F.lit(threshold * (1 - 1e-9)))).cast("int")
     return F.sequence(low, high)

@@ -119,7 +119,7 @@ class Inputs:
         """(vec_id, folder, vector, quality): unit vectors; a base and two jittered versions each."""
         base = spread(self.table("embeddings")).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(2))))
         e = F.col("embedding").cast("array<double>")
-        shifted = F.concat(F.slice(e, 2, 4096), F.slice(e, 1, 1))
+        shifted = F.concat(F.slice(e, 2, F.size(e)), F.slice(e, 1, 1))
         raw = F.zip_with(e, shifted, lambda a, b: a + F.col("k") * F.lit(0.07) * b)
         ident = F.col("vec_id") * 3 + F.col("k")
         return base.select(
