@@ -56,6 +56,25 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     their own text. Items without words have no window; items that are equal all count. An empty benchmark hits
     nothing: then items_sha256 is that of the empty list.
     """
+    met, held = candidates(docs, benchmark)
+    verified = with_hits(docs.select("doc_id", "text"), met)
+    return _report(verified.select(F.col("doc_id").alias("_doc"), "_n_words", "_n_hit", "_wins"), held)
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the benchmark does not contaminate, with all their columns, after one shuffle of them."""
+    verified = with_hits(docs, candidates(docs, benchmark)[0])
+    clean = (F.col("_n_hit") == 0) | (SHARE * F.col("_n_hit") < F.col("_n_words"))
+    # always true, but a filter on it stays above the steps that count the hits
+    kept = verified.withColumn("_clean", clean & (F.monotonically_increasing_id() >= 0))
+    return kept.where("_clean").select(*docs.columns)
+
+
+def candidates(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """(_to, _met: for each document id the places where windows may occur), and the items of the windows.
+
+    None for the first if no item has words.
+    """
     windows, held = benchmark_windows(benchmark)
     shingled = windows.withColumn("_bw", F.split("_line", " ")).withColumn("_s", F.least(F.lit(SHINGLE), F.col("_k")))
     widths = [r[0] for r in shingled.select("_s").distinct().collect()]  # five values at most
@@ -67,8 +86,7 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         tokens = part if tokens is None else tokens.union(part)
     worded = docs.select(F.col("doc_id").alias("_doc"), token_words(F.col("text")).alias("_w"))
     if tokens is None:
-        return _report(worded.select("_doc", F.size("_w").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
-                                     F.array().cast("array<bigint>").alias("_wins")), held)
+        return None, held
     tokens = cut(tokens)
     known = tokens.select("_h").distinct()
     if known.count() <= BROADCAST_ROWS:
@@ -94,23 +112,30 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .join(windows, "_win").groupBy("_doc")
         .agg(F.sort_array(F.collect_list(F.struct("_at", "_k", "_win", "_line"))).alias("_met"))
     )
+    return met.withColumnRenamed("_doc", "_to"), held
+
+
+def with_hits(docs: DataFrame, met: DataFrame | None) -> DataFrame:
+    """``docs`` with _n_words, _n_hit and _wins: words that lie in an occurrence, and the windows that occur."""
+    if met is None:
+        return docs.withColumn("_n_words", F.size(token_words(F.col("text"))).cast("long")).withColumn(
+            "_n_hit", F.lit(0).cast("long")).withColumn("_wins", F.array().cast("array<bigint>"))
+    own = [c for c in docs.columns if c.lower() not in ("_to", "_met", "_w", "_true", "_n_words", "_n_hit", "_wins")]
     there = lambda m: F.concat_ws(" ", F.slice("_w", m["_at"] + 1, m["_k"])) == m["_line"]
-    verified = (
-        docs.select(F.col("doc_id").alias("_doc"), "text")
-        .join(met.withColumnRenamed("_doc", "_to"), F.col("_doc").eqNullSafe(F.col("_to")), "left")
-        .select("_doc", "_met", token_words(F.col("text")).alias("_w"))
-        .select("_doc", F.size("_w").cast("long").alias("n_words"),
+    return (
+        docs.select(*own).join(met, F.col("doc_id").eqNullSafe(F.col("_to")), "left")
+        .select(*own, "_met", token_words(F.col("text")).alias("_w"))
+        .select(*own, F.size("_w").cast("long").alias("_n_words"),
                 F.filter(F.coalesce("_met", F.array().cast(met.schema["_met"].dataType)), there).alias("_true"))
         # the occurrences are in place order: each adds the words that lie beyond those before it
-        .select("_doc", "n_words", F.aggregate(
+        .select(*own, "_n_words", F.aggregate(
             "_true", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")),
             lambda a, m: F.struct(
                 (a["n"] + F.greatest(F.lit(0), m["_at"] + m["_k"] - F.greatest(m["_at"], a["end"]))).alias("n"),
                 F.greatest(a["end"], m["_at"] + m["_k"]).alias("end"),
             ), lambda a: a["n"],
-        ).alias("n_hit"), F.array_distinct(F.transform("_true", lambda m: m["_win"])).alias("_wins"))
+        ).alias("_n_hit"), F.array_distinct(F.transform("_true", lambda m: m["_win"])).alias("_wins"))
     )
-    return _report(verified, held)
 
 
 def _report(verified: DataFrame, held: DataFrame) -> DataFrame:
@@ -121,9 +146,9 @@ def _report(verified: DataFrame, held: DataFrame) -> DataFrame:
     )
     listed = F.coalesce("_items", F.array().cast("array<string>"))
     return rows.join(items, "_row", "left").select(
-        F.col("_doc").alias("doc_id"), "n_words", "n_hit", F.size(listed).cast("long").alias("n_items"),
+        F.col("_doc").alias("doc_id"), F.col("_n_words").alias("n_words"), F.col("_n_hit").alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
         F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        ((F.col("_n_hit") > 0) & (SHARE * F.col("_n_hit") >= F.col("_n_words"))).alias("contaminated"),
     )
 
 
