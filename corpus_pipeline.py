@@ -32,16 +32,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark does not contaminate."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    hit = decontaminate.hits(docs.select("doc_id", "text"), benchmark)
-    out = hit.where("contaminated").select(F.col("doc_id").alias("_out")).distinct()
-    return docs.select(*COLUMNS).join(out, F.col("doc_id").eqNullSafe(F.col("_out")), "left_anti")
+    return decontaminate.uncontaminated(docs.select(*COLUMNS), benchmark)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     taken = mixing.mix(docs.select("doc_id", "source", "text")).groupBy(F.col("doc_id").alias("_id")).agg(
         F.max("copies").alias("_n")
-    ).where("_n > 0")
+    ).where("_n > 0").hint("merge")  # as large as the documents' ids: never a broadcast
     return docs.select(*COLUMNS).join(taken, F.col("doc_id").eqNullSafe(F.col("_id"))).withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))
     ).select(*COLUMNS)
