@@ -26,7 +26,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component; one row of it if the id repeats."""
     marked = simhash.near_duplicates(docs.select("doc_id", "text"))
     stay = marked.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_stay")).distinct()
-    return docs.select(*COLUMNS).join(stay, F.col("doc_id") == F.col("_stay"), "left_semi").dropDuplicates(["doc_id"])
+    rows = docs.select(*COLUMNS)
+    # as large as the documents' ids: never a broadcast; the removal of repeats goes on from the join's partitions
+    named = rows.join(stay.hint("merge"), F.col("doc_id") == F.col("_stay"), "left_semi").dropDuplicates(["doc_id"])
+    return named.union(rows.where(F.col("doc_id").isNull()))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,3 +40,11 @@ def test_stages_without_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = cut(stage(spark, docs, SF))
         assert docs.count() == 0
+
+
+def test_near_dedup_keeps_rows_without_id(spark):
+    text = " ".join(f"w{n}" for n in range(60))
+    rows = [(1, text, "en", "a", 1), (2, text, "en", "b", 1), (None, text, "en", "a", 1), (None, "x y", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_dedup(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, text), (0, "x y"), (1, text)]
