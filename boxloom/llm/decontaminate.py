@@ -123,7 +123,8 @@ def with_hits(docs: DataFrame, met: DataFrame | None) -> DataFrame:
     own = [c for c in docs.columns if c.lower() not in ("_to", "_met", "_w", "_true", "_n_words", "_n_hit", "_wins")]
     there = lambda m: F.concat_ws(" ", F.slice("_w", m["_at"] + 1, m["_k"])) == m["_line"]
     return (
-        docs.select(*own).join(met, F.col("doc_id").eqNullSafe(F.col("_to")), "left")
+        # candidates grow with the documents: never a broadcast
+        docs.select(*own).join(met.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_to")), "left")
         .select(*own, "_met", token_words(F.col("text")).alias("_w"))
         .select(*own, F.size("_w").cast("long").alias("_n_words"),
                 F.filter(F.coalesce("_met", F.array().cast(met.schema["_met"].dataType)), there).alias("_true"))
