@@ -43,7 +43,7 @@ from arrivals group by label"""))
 def stream_quota(i: Inputs):
     table, checkpoint = fresh_path(i.spark, "accepted"), fresh_path(i.spark, "accepted-state")
     ingest.collect_until_full(_events(i), table, checkpoint, TARGET).awaitTermination()
-    accepted = i.spark.read.schema(f"{ingest.ACCEPTED}, batch bigint").parquet(table)
+    accepted = i.spark.read.schema(f"{ingest.ACCEPTED}, {ingest.FILED}").parquet(table)
     counts = accepted.groupBy("label").agg(F.count(F.lit(1)).alias("accepted"))
     return counts.withColumn("completed", F.col("accepted") >= TARGET)
 

@@ -1,13 +1,17 @@
 """Incremental ingest: what was unseen, once, up to the quota, across restarts.
 
 State lives in the query's checkpoint and in tables written per micro-batch, so a lost
-executor or a restart repeats a batch without changing the result.
+executor or a restart repeats a batch without changing the result. Batches are filed by run: a
+stream that has lost its checkpoint counts batches from 0 again, but in a run of its own, and
+knows all that earlier runs have written.
 """
 
 from __future__ import annotations
 
 import os
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,58 +29,71 @@ def landed(spark: SparkSession, path: str, schema, files_per_batch: int | None =
     return reader.parquet(path)
 
 
-def landed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Landed binary files as a stream of (path, length, modificationTime, content)."""
-    return (
-        spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
-        .schema("path string, modificationTime timestamp, length long, content binary").load(path)
-    )
-
-
 def seen_once(stream: DataFrame, key: str = "content_key", salts: int = 64, watermark: tuple[str, str] | None = None) -> DataFrame:
     """The keys of a stream, each once over its whole life.
 
-    A key that arrives very often is first reduced under ``salts`` salted copies, so the second
-    step sees at most that many rows of it. The state holds every key ever seen; with
-    ``watermark`` (time column, delay) it forgets keys older than the delay.
+    Repeats within an Arrow batch go before the shuffle, so a key that arrives very often does not
+    meet in one task with all its rows. The state holds every key ever seen, in one row each. With
+    ``watermark`` (time column, delay) it forgets keys older than the delay; there a key is first
+    reduced under ``salts`` salted copies, since the time has to stay with the rows.
     """
     if watermark:
         time, delay = watermark
         rows = stream.select(key, time).withWatermark(time, delay)
         salted = rows.withColumn("_salt", F.pmod(F.xxhash64(time), F.lit(salts)))
         return salted.dropDuplicatesWithinWatermark([key, "_salt"]).dropDuplicatesWithinWatermark([key]).select(key)
-    salted = stream.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in stream.columns if c != key]), F.lit(salts)))
-    return salted.select(key, "_salt").dropDuplicates([key, "_salt"]).select(key).dropDuplicates([key])
 
+    def once(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pc.unique(b.column(0))], [key])
+
+    keys = stream.select(key)
+    return keys.mapInArrow(once, keys.schema).dropDuplicates([key])
 
-def _batches(spark: SparkSession, table: str, before: int, schema: str) -> DataFrame:
-    """Rows of batches before this one; rows of a repeated batch do not count as seen."""
-    if not _has_batches(spark, table):
+
+FILED = "run string, batch bigint"
+
+
+def _batches(spark: SparkSession, table: str, run: str, batch: int, schema: str) -> DataFrame:
+    """Rows of all batches but this one; rows of a repeated batch do not count as seen."""
+    if not _runs(spark, table):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(f"{schema}, batch bigint").parquet(table).where(F.col("batch") < before).drop("batch")
+    this = (F.col("run") == run) & (F.col("batch") == batch)
+    return spark.read.schema(f"{schema}, {FILED}").parquet(table).where(~this).drop("run", "batch")
 
 
-def _has_batches(spark: SparkSession, table: str) -> bool:
+def _runs(spark: SparkSession, table: str) -> list[str]:
+    """Runs that have written to the table: one for each checkpoint the stream has had."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+    return sorted(n.removeprefix("run=") for n in names if n.startswith("run="))
+
+
+def current_run(spark: SparkSession, table: str) -> str:
+    """The run of the stream that is calling: the same after every restart from its checkpoint, else the next one."""
+    stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "no-stream"
+    runs = _runs(spark, table)
+    return next((r for r in runs if r.endswith(f"_{stream}")), f"{len(runs):06d}_{stream}")
 
 
-def write_batch(df: DataFrame, table: str, batch: int) -> None:
+def write_batch(df: DataFrame, table: str, run: str, batch: int) -> None:
     """A repeated batch replaces its own rows only."""
-    df.write.mode("overwrite").parquet(os.path.join(table, f"batch={batch}"))
+    df.write.mode("overwrite").parquet(os.path.join(table, f"run={run}", f"batch={batch}"))
 
 
 ACCEPTED = "arrival_id bigint, label string, content_key string"
 
 
-def accept(batch: DataFrame, number: int, table: str, target: int = V.TARGET_PER_CLASS) -> None:
+def accept(batch: DataFrame, number: int, table: str, target: int = V.TARGET_PER_CLASS, run: str | None = None) -> None:
     """One micro-batch of the quota rule: new content only, in arrival order, until each class is full."""
     spark = batch.sparkSession
-    accepted = _batches(spark, table, number, ACCEPTED)
+    run = run or current_run(spark, table)
+    accepted = _batches(spark, table, run, number, ACCEPTED)
     have = accepted.groupBy("label").agg(F.count(F.lit(1)).alias("have"))
     fresh = crawl.unseen(batch, accepted)
     taken = crawl.within_quota(fresh, have, target)
-    write_batch(taken.select("arrival_id", "label", "content_key"), table, number)
+    write_batch(taken.select("arrival_id", "label", "content_key"), table, run, number)
 
 
 def collect_until_full(stream: DataFrame, table: str, checkpoint: str, target: int = V.TARGET_PER_CLASS) -> StreamingQuery:
@@ -91,9 +108,9 @@ def progress(accepted: DataFrame, classes: DataFrame, target: int = V.TARGET_PER
     """(class_id, label, count, completed) and the items gained in the latest batch."""
     from boxloom.operators.stats import zero_filled
 
-    last = accepted.agg(F.max("batch")).scalar()
+    last = accepted.agg(F.max(F.struct("run", "batch"))).scalar()
     counts = accepted.groupBy("label").agg(
-        F.count(F.lit(1)).alias("count"), F.count_if(F.col("batch") == last).alias("gained"))
+        F.count(F.lit(1)).alias("count"), F.count_if(F.struct("run", "batch") == last).alias("gained"))
     return zero_filled(classes, counts, ["label"], ["count", "gained"]).withColumn("completed", F.col("count") >= target)
 
 
@@ -102,13 +119,14 @@ def detect_new(stream: DataFrame, cache: str, boxes: str, checkpoint: str, score
 
     ``score`` maps a frame of pending images to boxes; both tables grow by one batch folder each.
     """
-    def run(batch: DataFrame, number: int) -> None:
+    def detect(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        known = _batches(spark, cache, number, schema)
+        run = current_run(spark, cache)
+        known = _batches(spark, cache, run, number, schema)
         keys = ["export_stem", "sha1", "source_class"]
         _, pending = manifests.split_cache(first_per_key(batch, keys, [F.col("image_id")]).select(*batch.columns), known)
-        write_batch(score(pending), boxes, number)
+        write_batch(score(pending), boxes, run, number)
         # the cache entry comes last: an image is known only once its boxes are stored
-        write_batch(pending.select(*[c.split()[0] for c in schema.split(", ")]), cache, number)
+        write_batch(pending.select(*[c.split()[0] for c in schema.split(", ")]), cache, run, number)
 
-    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(detect).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
