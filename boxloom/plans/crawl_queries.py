@@ -91,6 +91,7 @@ def page_take_while(i: Inputs):
 UNION_SQL = MEDIA_SQL | CDN_SQL | {
     "offers": """select query, 'bing' as source, 1 as source_rank, 120 as target, page_no, pos, url from media_urls where not regexp_matches(lower(url), 'thumb|small|icon|60x|80x|100x')
       union all select p.query, 'houzz', 2, 80, p.page_no, h.pos, h.url from houzz h join search_pages p using (page_id)
+      union all select p.query, 'flickr', 3, 60, p.page_no, f.pos, f.url from (select page_id, unnest(range(len(urls)))::int as pos, unnest(urls) as url from flickr_used) f join search_pages p using (page_id)
       union all select p.query, 'dezeen', 4, 40, p.page_no, d.pos, d.url from (select page_id, unnest(range(len(urls)))::int as pos, unnest(urls) as url from dezeen) d join search_pages p using (page_id)""",
     "firsts": "select * from (select *, row_number() over (partition by query, source, url order by page_no, pos) as rn from offers) where rn = 1",
     "ranked_offers": "select *, row_number() over (partition by query, source order by page_no, pos, url)::int as rank from firsts",
@@ -103,9 +104,11 @@ select query, url, source, source_rank, rank from (select *, row_number() over (
 def source_union(i: Inputs):
     pages = i.search_pages()
     bing = _media(i).where(~C.is_noise(F.col("url"))).select("query", F.lit("bing").alias("source"), "page_no", "pos", "url")
+    flickr = C.flickr_pages(pages, "flickr_html")
     out = bing
-    for name, urls in (("houzz", C.houzz_urls(F.col("cdn_html"))), ("dezeen", C.dezeen_urls(F.col("cdn_html")))):
-        out = out.unionByName(pages.select("query", F.lit(name).alias("source"), "page_no", F.posexplode(urls).alias("pos", "url")))
+    for name, df, urls in (("houzz", pages, C.houzz_urls(F.col("cdn_html"))), ("flickr", flickr, F.col("urls")),
+                           ("dezeen", pages, C.dezeen_urls(F.col("cdn_html")))):
+        out = out.unionByName(df.select("query", F.lit(name).alias("source"), "page_no", F.posexplode(urls).alias("pos", "url")))
     return C.union_sources(out)
 
 

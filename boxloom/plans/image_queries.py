@@ -289,25 +289,22 @@ def split_fallback(i: Inputs):
     return splits.fill_empty_splits(sets)
 
 
-# ---- the label stage on documents as images --------------------------------
+# ---- the label stage on all scenes -----------------------------------------
 
 def labelled_images(i: Inputs):
     """Images with suppressed boxes, quality and duplicate flags, routing, split."""
-    images = i.images().withColumn("expected_class", F.col("label"))
-    boxes = D.suppress(i.detections().join(images.select("image_id"), "image_id", "left_semi"))
+    images = i.scene_images().withColumn("expected_class", F.col("label"))
+    boxes = D.suppress(i.detections())
     flagged = flags.quality_flags(images, boxes)
     both = flags.duplicate_flags(flagged).withColumn("flags", F.sort_array(F.array_union("flags", "dup_flags")))
     return flags.route(both)
 
 
-LABELLED_SQL = {
-    "wanted": "select d.* from detections d semi join images i on i.image_id = d.image_id",
-}
 LABELLED_MORE = {
     "described": f"""select i.*, coalesce(b.n, 0) as box_count, coalesce(b.labels, []) as labels, b.low, b.fb,
         coalesce(list_contains(b.labels, i.label), false) as found,
         count(*) over (partition by sha1) as copies, min(label) over (partition by sha1) <> max(label) over (partition by sha1) as crossed
-      from images i left join (select image_id, count(*) as n, list(distinct label) as labels, min(score) as low,
+      from scene_images i left join (select image_id, count(*) as n, list(distinct label) as labels, min(score) as low,
         max(case when source = 'expected_fallback' then 1 else 0 end) as fb from kept group by image_id) b using (image_id)""",
     "flagged": """select *, list_sort(list_filter([case when least(width, height) < 512 then 'small_image' end,
         case when box_count = 0 then 'empty_detection' end, case when not found then 'expected_missing' end,
@@ -319,9 +316,9 @@ LABELLED_MORE = {
 }
 
 
-@query("route_review", nms_oracle(["detections", "images"], "wanted", """
+@query("route_review", nms_oracle(["detections", "scene_images"], "detections", """
 select image_id, array_to_string(flags, ';') as flags, critical::int as review_required,
-  case when critical then 'review' else 'kept' end as routed from routed""", LABELLED_SQL, LABELLED_MORE))
+  case when critical then 'review' else 'kept' end as routed from routed""", None, LABELLED_MORE))
 def route_review(i: Inputs):
     return labelled_images(i).select("image_id", F.array_join("flags", ";").alias("flags"),
                                      F.col("review_required").cast("int").alias("review_required"), "routed")
@@ -362,20 +359,20 @@ def flag_counts(i: Inputs):
     return stats.flag_counts(flags.review_flags(i.scenes(), i.detections()))
 
 
-@query("class_counts", nms_oracle(["detections", "images", "classes"], "wanted", """
+@query("class_counts", nms_oracle(["detections", "scene_images", "classes"], "detections", """
 select class_id, c.label, count(image_id) as source, count(case when not critical then 1 end) as kept,
   count(case when critical then 1 end) as review
-from classes c left join routed r on r.label = c.label group by class_id, c.label""", LABELLED_SQL, LABELLED_MORE))
+from classes c left join routed r on r.label = c.label group by class_id, c.label""", None, LABELLED_MORE))
 def class_counts(i: Inputs):
     return stats.class_counts(labelled_images(i), V.classes(i.spark, V.REVIEW_CLASSES))
 
 
-@query("split_manifest", nms_oracle(["detections", "images"], "wanted", f"""
+@query("split_manifest", nms_oracle(["detections", "scene_images"], "detections", f"""
 select path as source_image, r.label as expected_class, coalesce(w.split, 'review') as split, critical::int as review_required,
   array_to_string(flags, ';') as flags, box_count, sha1, substr(sha1, 1, 16) as ahash,
   array_to_string(list_transform(list_sort(list_transform(labels, lambda n: {{'i': list_position({COLLECTION_LIST}, n), 'n': n}})), lambda s: s.n), ';') as detected_labels
 from (select * from routed) r left join (select sha1, split from walk where step > 0) w using (sha1)""",
-    LABELLED_SQL, LABELLED_MORE | {"chosen": "select * from routed where not critical"}
+    None, LABELLED_MORE | {"chosen": "select * from routed where not critical"}
     | {k: v.replace("from images group by", "from chosen group by") for k, v in GROUP_SPLIT_SQL.items()}).replace(
         "left join (select sha1, split from walk where step > 0) w using (sha1)",
         "left join (select sha1, split from walk where step > 0) w on w.sha1 = r.sha1 and not r.critical").replace(
@@ -391,17 +388,17 @@ def split_manifest(i: Inputs):
     return manifests.split_manifest(kept.unionByName(review))
 
 
-@query("review_manifest", nms_oracle(["detections", "images"], "wanted", """
+@query("review_manifest", nms_oracle(["detections", "scene_images"], "detections", """
 select label || '/' || stem || '.jpg' as export_image, label || '/' || stem || '.txt' as export_label, path as source_image,
   label as source_class, width, height, box_count, array_to_string(list_sort(labels), ';') as detected_labels,
   array_to_string(flags, ';') as flags, sha1, """ + ", ".join(
     f"list_contains(labels, '{n}')::int as pred_{n}, '' as human_check_{n}" for n in V.REVIEW_CLASSES) + """
-from (select *, label || '__' || image_id || '__' || substr(sha1, 1, 12) as stem from flagged)""", LABELLED_SQL, {
-    "expected": "select *, label as expected_class from images",
+from (select *, label || '__' || image_id || '__' || substr(sha1, 1, 12) as stem from flagged)""", None, {
+    "expected": "select *, label as expected_class from scene_images",
     "flagged": REVIEW_FLAGS_SQL.format(images="expected", boxes="kept")}))
 def review_manifest(i: Inputs):
-    images = i.images().withColumn("expected_class", F.col("label"))
-    boxes = D.suppress(i.detections().join(images.select("image_id"), "image_id", "left_semi"))
+    images = i.scene_images().withColumn("expected_class", F.col("label"))
+    boxes = D.suppress(i.detections())
     return manifests.review_manifest(flags.review_flags(images, boxes))
 
 

@@ -64,6 +64,12 @@ CTES = {
           (256 + n_chars % 1793)::int as width, (256 + (doc_id * 37) % 1280)::int as height,
           n_chars as file_size, sha1(text) as sha1
         from documents"""),
+    "scene_images": ([], f"""
+        select o_orderkey as image_id, label as folder, label, label || '/' || o_orderkey || '.jpg' as path,
+          1024 as width, case when o_orderstatus = 'P' then 384 else 768 end as height, o_orderkey % 1000 + 1 as file_size,
+          sha1(case when o_orderkey % 10 < 7 then 'o' || o_orderkey
+            else 'c' || (case when o_orderkey % 10 = 9 then o_custkey // 2 else o_custkey end) || o_orderstatus end) as sha1
+        from (select *, ({REVIEW_LIST})[o_custkey % 20 + 1] as label from orders)"""),
     "label_lines": ([], """
         select o_orderkey as k, o_custkey % 6 as n, case when i % 2 = 0 then ((o_orderkey + i) % 20)::varchar
           else ((o_orderkey + i) % 20)::varchar || '.0' end
