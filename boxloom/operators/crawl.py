@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import html.entities
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,8 +29,6 @@ FLICKR_PHOTOS = r'(?s)"photos"\s*:\s*\{[^}]*"photo"\s*:\s*(\[.*?\])'
 FLICKR_INLINE = r'(?:src=|displayUrl\\":|url\\":)"?(?:https?:)?(//live\.staticflickr\.com/\d+/\d+_[a-z0-9]+_[a-z]\.jpg)'
 DEZEEN_PATTERN = r"""(https://static\.dezeen\.com/uploads/\d{4}/\d{2}/[^"'<>\s]+?\.(?:jpg|jpeg|webp))"""
 NOISE = ["thumb", "small", "icon", "60x", "80x", "100x"]
-ENTITIES = [("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"),
-            ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
 # source, per-query target, page limit, results a page needs for the next one to be fetched
 SOURCES = [("bing", 120, None, 20), ("houzz", 80, 2, 0), ("flickr", 60, 5, 0), ("dezeen", 40, 4, 0)]
 
@@ -38,10 +39,28 @@ def _all(html: Column, pattern: str) -> Column:
     return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
 
 
+#: named references that end in a semicolon, as the standard library lists them
+NAMED = {f"&{name}": char for name, char in html.entities.html5.items() if name.endswith(";")}
+REFERENCE = r"(?s)(&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[A-Za-z][A-Za-z0-9]*;|[^&]+|&)"
+
+
 def unescape(text: Column) -> Column:
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Character references decoded once, by name or code point; unknown names stay, impossible code points become U+FFFD."""
+    names = F.from_json(F.lit(json.dumps(NAMED)), "map<string,string>")
+
+    def decoded(part: Column) -> Column:
+        hexed = F.lower(F.substring(part, 3, 1)) == "x"
+        digits = F.regexp_extract(part, "([0-9a-fA-F]+);$", 1)
+        code = F.when(hexed, F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+        possible = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.when(possible, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+        return (
+            F.when(~part.startswith("&") | (part == "&"), part).when(part == "&amp;", "&")
+            .when(part.startswith("&#"), char).otherwise(F.coalesce(F.try_element_at(names, part), part))
+        )
+
+    parts = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1)), decoded)
+    return F.when(text.contains("&"), F.array_join(parts, "")).otherwise(text)
 
 
 def percent_decode(text: Column) -> Column:

@@ -323,3 +323,15 @@ def test_source_targets(spark):
     df = spark.createDataFrame(rows, "query string, source string, page_no int, pos int, url string")
     got = crawl.union_sources(df)
     assert got.count() == 40 and one(got.where("url = 'u5'"), "source") == [("bing",)]
+
+
+def test_character_references_decode_once(spark):
+    import html
+
+    from boxloom.operators.crawl import unescape
+
+    texts = ["plain", "a&amp;b", "&amp;lt;", "&#x2F;&#47;", "caf&eacute;", "&#128512;&#x1F600;", "&nope; & &", "&#0;&#xD800;", "&#38;lt;", ""]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(texts)] + [(99, None)], "n int, t string")
+    got = {r.n: r.u for r in df.select("n", unescape(F.col("t")).alias("u")).collect()}
+    assert got.pop(99) is None
+    assert [got[n] for n in range(len(texts))] == [html.unescape(t) for t in texts]
