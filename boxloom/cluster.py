@@ -32,6 +32,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
 
 
+_own_dir: str | None = None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 
@@ -43,9 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
     )
     if not named and not spark.sparkContext.master.split("[")[0] == "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if not named:
-        named = tempfile.mkdtemp(prefix="spark-boxloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
+    if not named:  # the setting cannot be changed in a running session, so the folder is remembered here
+        global _own_dir
+        named = _own_dir = _own_dir or tempfile.mkdtemp(prefix="spark-boxloom-")
     return named.rstrip("/")
 
 
