@@ -21,8 +21,6 @@ from boxloom.llm.catalog import query, table
 
 #: shorter units ("Licensed.", "the end.") are left alone
 MIN_WORDS = 6
-#: repeated digests are broadcast up to this number (under 100 MB), else shuffled with the units
-BROADCAST_ROWS = 1_000_000
 SENTENCE_END = re.compile(r"[.!?][^\w\s]*(?=\s)")
 UNITS = "row long, doc_id long, start int, end int, line int, n_words int, d1 long, d2 long"
 
@@ -87,9 +85,7 @@ def repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     again = cut(
         found.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("_n"))
         .where((F.col("_n") > 1)).select("d1", "d2", "first")
-    )
-    if again.count() <= BROADCAST_ROWS:
-        again = F.broadcast(again)
+    ).hint("merge")  # grows with the documents: never a broadcast
     later = (F.col("row") != F.col("first.row")) | (F.col("start") != F.col("first.start"))
     # a line of one sentence holds that sentence at the same place: the pair is one occurrence
     gone = cut(found.join(again, ["d1", "d2"]).where(later).select(
@@ -99,7 +95,7 @@ def repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     # within a removed line every other unit is a part of it
     longest = gone.groupBy("row", "line").agg(F.max(F.struct(F.col("end") - F.col("start"), "start")).alias("_l"))
     whole = longest.select("row", "line", F.col("_l.start").alias("_from"), (F.col("_l.start") + F.col("_l.col1")).alias("_to"))
-    return gone.join(whole, ["row", "line"]).where(
+    return gone.join(whole.hint("merge"), ["row", "line"]).where(
         (F.col("start") < F.col("_from")) | (F.col("end") > F.col("_to"))
         | ((F.col("start") == F.col("_from")) & (F.col("end") == F.col("_to")))
     ).select("row", "doc_id", "start", "end", "n_words", "first_doc_id", "first_start")
