@@ -141,7 +141,8 @@ def trained(docs: DataFrame, start: dict, of: np.ndarray, path: str, rounds: int
                     [pa.array([seen], pa.int64()), pa.array([total.tolist()], pa.list_(pa.float64()))], ["seen", "w"]
                 )
 
-        picked = learning.where(F.pmod(F.xxhash64("text"), F.lit(share)) == r % share).select("text")
+        # by id and text: a group of equal texts that all fell on one share would outweigh the rest of it
+        picked = learning.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == r % share).select("text")
         sums = cut(picked.mapInArrow(learn, "seen long, w array<double>"))
         merged = sums.repartition(MERGERS, F.col("seen")).sortWithinPartitions("seen").mapInArrow(add, "seen long, w array<double>")
         rows = sorted(merged.collect(), key=lambda x: (x["seen"], x["w"][0]))  # MERGERS at most

@@ -81,7 +81,6 @@ def repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """
     found = cut(units(docs, least))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "start")
-    # numbers only, so that the minimum is kept in place in the hash table
     again = cut(
         found.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("_n"))
         .where((F.col("_n") > 1)).select("d1", "d2", "first")
