@@ -42,27 +42,28 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WHOLE = r"[^\r\n]+|[\r\n]"
 
 
-class Subwords:
-    """First subword id * 65536 + last one, by word. A word is encoded with the space before it."""
+class Subwords(dict):
+    """First subword id * 65536 + last one, by word. A word is encoded with the space before it when first asked for."""
 
     def __init__(self, path: str):
         import base64
 
         import tiktoken
 
+        super().__init__()
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.coder = tiktoken.Encoding(os.path.basename(path), pat_str=WHOLE, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, int] = {}
+
+    def __missing__(self, word: str) -> int:
+        ids = self.coder.encode_ordinary(" " + word)
+        self[word] = code = (ids[0] << 16) + ids[-1]
+        return code
 
     def codes(self, words: list[str]) -> np.ndarray:
-        missing = set(words).difference(self.known)
-        if missing and len(self.known) + len(missing) > REMEMBERED:
-            self.known, missing = {}, set(words)
-        for w in missing:
-            ids = self.coder.encode_ordinary(" " + w)
-            self.known[w] = (ids[0] << 16) + ids[-1]
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        if len(self) > REMEMBERED:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -190,7 +191,7 @@ def score(docs: DataFrame, path: str = TOKENIZER, classes: int = CLASSES, freque
                 logs, outputs = attention.position_scores(own, laid)
                 text = np.repeat(np.arange(len(lengths)), lengths + 1)
                 gain = np.bincount(text, logs.astype(float) / np.log(10) + gain_of[outputs], len(lengths))
-                n = np.fromiter((table_of.get(w, 0) for w in words), np.int64, len(words))
+                n = np.fromiter(map(table_of.get, words, itertools.repeat(0)), np.int64, len(words))
                 of_word = np.repeat(np.arange(len(lengths)), lengths)
                 sure = np.bincount(of_word, np.where(n > 0, np.log10(n + 1.0) - log_base, 0), len(lengths)) + end_log
                 seen = np.bincount(of_word, n > 0, len(lengths)).astype(np.int64) + (n_docs > 0)
