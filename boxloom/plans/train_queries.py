@@ -252,8 +252,10 @@ def dataset_summary(i: Inputs):
 
 
 @query("label_text", compose(["mapped_boxes"], """
-select image_id, 0::bigint as part, string_agg(target_id || ' ' || printf('%.6f', xc) || ' ' || printf('%.6f', yc) || ' ' || printf('%.6f', w) || ' ' || printf('%.6f', h),
-  chr(10) order by target_id, line_no) || chr(10) as label_text from merged group by image_id""", COMPONENTS_SQL, recursive=True))
+select image_id, part, string_agg(target_id || ' ' || printf('%.6f', xc) || ' ' || printf('%.6f', yc) || ' ' || printf('%.6f', w) || ' ' || printf('%.6f', h),
+  chr(10) order by target_id, line_no) || chr(10) as label_text
+from (select *, (row_number() over (partition by image_id order by target_id, line_no) - 1) // 4096 as part from merged)
+group by image_id, part""", COMPONENTS_SQL, recursive=True))
 def label_text(i: Inputs):
     merged = cut(D.merge_overlaps(i.mapped_boxes()))
     return L.label_text(merged.select("image_id", "target_id", "line_no", L.box_line(F.col("target_id")).alias("line")), ["target_id", "line_no"])

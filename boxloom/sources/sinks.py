@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from boxloom.cluster import cut
 
 
 def write_manifest(df: DataFrame, path: str, order: list[str] | None = None, mode: str = "errorifexists") -> None:
@@ -28,20 +34,24 @@ def write_summary(tidy: DataFrame, path: str, mode: str = "errorifexists") -> No
     """
     entry = F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "value"))))
     tidy.groupBy("section").agg(entry.alias("counts")).select(
-        F.to_json(F.struct("section", "counts")).alias("value")).coalesce(1).write.mode(mode).text(path)
+        F.to_json(F.struct("section", "counts")).alias("value")).write.mode(mode).text(path)
 
 
-def export_split(df: DataFrame, path: str) -> DataFrame:
+def export_split(df: DataFrame, path: str, batch: str | None = None) -> DataFrame:
     """Write (split, label, path, label_text, ...) rows partitioned by split and label, leaving out what is there already.
 
-    Pictures are referred to by path, not copied. Returns the rows that were new.
+    Pictures are referred to by path, not copied. Each call fills a folder of its own, named by ``batch``; a retry under
+    the same name replaces its own rows only. Returns the rows that were new.
     """
     spark = df.sparkSession
+    batch = batch or uuid.uuid4().hex
     fresh = df
     if _exists(spark, path):
-        known = spark.read.parquet(path).select("split", "label", "path")
+        stored = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("batch", T.StringType())])).parquet(path)
+        known = stored.where(F.col("batch") != batch).select("split", "label", "path")
         fresh = df.join(known, ["split", "label", "path"], "left_anti")
-    fresh.write.mode("append").partitionBy("split", "label").parquet(path)
+    fresh = cut(fresh)  # decided before anything is replaced
+    fresh.write.mode("overwrite").partitionBy("split", "label").parquet(os.path.join(path, f"batch={batch}"))
     return fresh
 
 

@@ -109,6 +109,10 @@ def test_sinks_round_trip(spark, tmp_path):
     again = df.unionByName(df.limit(1).withColumn("path", F.lit("c.jpg")))
     sinks.export_split(again, out)
     assert sorted(r.path for r in spark.read.parquet(out).collect()) == ["a.jpg", "b.jpg", "c.jpg"]
+    more = again.unionByName(df.limit(1).withColumn("path", F.lit("d.jpg")))
+    for _ in range(2):  # a retry under the same name adds nothing twice
+        assert [r.path for r in sinks.export_split(more, out, "third").collect()] == ["d.jpg"]
+    assert sorted(r.path for r in spark.read.parquet(out).collect()) == ["a.jpg", "b.jpg", "c.jpg", "d.jpg"]
     tidy = spark.createDataFrame([("split", "train", 3), ("split", "val", 1)], "section string, key string, value long")
     sinks.write_summary(tidy, str(tmp_path / "s"))
     assert spark.read.text(str(tmp_path / "s")).collect()[0][0] == '{"section":"split","counts":{"train":3,"val":1}}'
