@@ -6,8 +6,8 @@ reads the first and last subword id of the words before. So what the corpus teac
 table grows with the corpus), while the trained part stays small and every token costs the same.
 
 1. Words are counted over all training documents; each different word is split into subwords once.
-2. The model starts as the unigram model over classes and is trained by local passes of Adam over a fixed share of the
-   training documents, in parallel; weights are averaged in two steps after each round.
+2. The model starts as the unigram model over classes and is trained by local passes of Adam over all training
+   documents, in parallel. They are dealt over the rounds by hash; weights are averaged in two steps after each round.
 3. One pass scores every document: class terms in numpy, word terms of frequent words from a broadcast table. A word is
    frequent if it makes up more than one token in FREQUENT, so the table has at most FREQUENT rows whatever the corpus.
    The remaining words meet their counts in a join, in which no key can be hot.
@@ -32,8 +32,8 @@ from boxloom.llm.words import lower_ascii, split_words, text_of
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 CLASSES, FREQUENT = 32, 100_000
 ROUNDS, RATE = 2, 0.004
-#: training documents whose hash falls on 0 of so many teach the attention weights in a round; counts use all
-SHARE = 16
+#: training documents are dealt by hash into so many shares, one for each round, so that each of them teaches once
+SHARE = ROUNDS
 MERGERS = 32
 #: words whose subwords a task remembers before it forgets them
 REMEMBERED = 400_000
@@ -112,8 +112,16 @@ def texts(batch, column: int, size: int = 256):
         yield part, list(itertools.chain.from_iterable(lists)), np.fromiter(map(len, lists), np.int64, len(lists))
 
 
+def taught(learning: DataFrame, r: int, share: int) -> DataFrame:
+    """The rows that teach in round ``r``; over ``share`` rounds they are all rows."""
+    # by id and text: a group of equal texts that all fell on one share would outweigh the rest of it
+    return learning.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == r % share)
+
+
 def trained(docs: DataFrame, start: dict, of: np.ndarray, path: str, rounds: int, share: int) -> dict:
-    """Weights after so many rounds of local training on a share of the training rows and averaging."""
+    """Weights after so many rounds of local training on a share of the training rows and averaging; none for 0 rounds."""
+    if 0 < rounds < share:
+        raise ValueError(f"{rounds} rounds leave some of {share} shares untaught")
     p, end = start, len(start["bias"]) - 1
     learning = docs.where(~F.col("held_out"))
     for r in range(rounds):
@@ -142,8 +150,7 @@ def trained(docs: DataFrame, start: dict, of: np.ndarray, path: str, rounds: int
                     [pa.array([seen], pa.int64()), pa.array([total.tolist()], pa.list_(pa.float64()))], ["seen", "w"]
                 )
 
-        # by id and text: a group of equal texts that all fell on one share would outweigh the rest of it
-        picked = learning.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == r % share).select("text")
+        picked = taught(learning, r, share).select("text")
         sums = cut(picked.mapInArrow(learn, "seen long, w array<double>"))
         merged = sums.repartition(MERGERS, F.col("seen")).sortWithinPartitions("seen").mapInArrow(add, "seen long, w array<double>")
         rows = sorted(merged.collect(), key=lambda x: (x["seen"], x["w"][0]))  # MERGERS at most

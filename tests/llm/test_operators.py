@@ -421,6 +421,18 @@ def test_model_beats_the_unigram_on_held_out_text(spark):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
 
 
+def test_every_training_row_teaches(spark, real):
+    rows = real.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    shares = [scoring.taught(rows, r, scoring.SHARE) for r in range(scoring.ROUNDS)]
+    assert collections.Counter(tuple(x) for s in shares for x in s.collect()) == collections.Counter(pairs(rows))
+    for d in (2, 3, 4):  # a single row must teach, whatever its hash
+        one = spark.createDataFrame([(d, f"row {d} of a small corpus " * 20)], "doc_id long, text string")
+        assert not one.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2).count()
+        assert scoring.score(one).first()["score"] != scoring.score(one, rounds=0).first()["score"]
+    with pytest.raises(ValueError):
+        scoring.score(rows, rounds=2, share=16)
+
+
 def test_attention_is_causal_and_its_gradients_hold():
     r = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in attention.fresh(7, np.zeros(7)).items()}
