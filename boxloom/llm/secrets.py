@@ -1,8 +1,8 @@
 """Secret scans over a text and everything encoded in it.
 
 A worklist holds layers of a text: first the text, then whatever URL, Unicode, base64 or compressed encodings in a layer
-unwrap to, until nothing new appears. A layer whose text was seen before is not opened again, which ends cycles. Each
-layer is scanned by the same rules; every character of a layer knows the stretch of the original it came from, so
+unwrap to, until nothing new appears. A layer whose text and places in the original were met before is not opened again,
+nor one whose text is that of a layer it comes from, which ends cycles. Each layer is scanned by the same rules; every character of a layer knows the stretch of the original it came from, so
 findings are reported as spans of the original.
 
 Work is local to a row: no shuffle, and a lost executor costs only its rows.
@@ -17,6 +17,7 @@ import hashlib
 import lzma
 import re
 import zlib
+from array import array
 from collections import deque
 
 import pyarrow as pa
@@ -52,10 +53,16 @@ def scan(text: str) -> list[tuple[int, int, int]]:
 class Layer:
     """A text and, for each of its characters, where in the original it begins and ends."""
 
-    __slots__ = ("text", "starts", "ends")
+    __slots__ = ("text", "starts", "ends", "above")
 
     def __init__(self, text, starts, ends):
         self.text, self.starts, self.ends = text, starts, ends
+        self.above = frozenset()  # the texts of the layers that it comes from
+
+    def key(self) -> tuple:
+        """Of text and places."""
+        places = (array("q", x).tobytes() for x in (self.starts, self.ends))
+        return self.text, hashlib.md5(b"".join(places)).digest()
 
     def span(self, a: int, b: int) -> tuple[int, int]:
         return self.starts[a], self.ends[b - 1]
@@ -156,12 +163,15 @@ def spans_of(text: str, most: int = MOST_UNPACKED) -> tuple[list[tuple[int, int,
     every = set(base)
     if "%" in text or "\\" in text or "&#" in text or BASE64.search(text):
         work = deque([Layer(text, range(len(text)), range(1, len(text) + 1))])
-        seen = {text}
+        seen = set()
         while work:
             layer = work.popleft()
+            above = layer.above | {layer.text}
             for new in [unpercent(layer), unescape(layer), *unbase64(layer, most)]:
-                if new is not None and new.text not in seen:
-                    seen.add(new.text)
+                # the same text from another place has spans of its own
+                if new is not None and new.text not in above and (key := new.key()) not in seen:
+                    seen.add(key)
+                    new.above = above
                     work.append(new)
                     every.update((*new.span(a, b), k) for a, b, k in scan(new.text))
     return base, sorted(every, key=lambda x: (x[0], x[2], x[1]))

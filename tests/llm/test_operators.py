@@ -277,6 +277,17 @@ def test_secrets_unwrap_and_map():
     assert secrets.spans_of(loop) == ([], [])
 
 
+def test_secrets_repeated_encodings():
+    secret = 'token = "abcdef123456"'
+    one, other = base64.b64encode(secret.encode()).decode(), urllib.parse.quote(secret)
+    text = f"{one} and {one} and {other} {base64.b64encode(zlib.compress(secret.encode())).decode()} {one}"
+    places = [m.span() for m in re.finditer(r"\S{20,}", text)]
+    spans = {(a, b) for a, b, _ in secrets.spans_of(text)[1]}
+    assert len(places) == 5 and all(any(a <= x < y <= b for x, y in spans) for a, b in places)
+    outer = base64.b64encode(f"{one} {one}".encode()).decode()
+    assert len(secrets.spans_of(f"{outer} {outer}")[1]) == 4  # two in each copy
+
+
 def test_secrets_base(spark, real, odd):
     fixed = spark.createDataFrame([(1, "secret:token:abcdefgh PASSWORD='hunter22' api_key=x"), (2, "AKIA" + "A" * 16 + " AKIA" + "B" * 15),
                                    (3, "0" * 24 + "g" + "f" * 23), (4, "Kelvin tokKen=abcdef")], "doc_id long, text string")
