@@ -19,21 +19,22 @@ from pyspark.sql import functions as F
 from boxloom.cluster import cut
 from boxloom.llm.catalog import query, table
 
-#: shorter units ("Licensed.", "the end.") are left alone
+#: sentences within a line that are shorter ("Licensed.", "the end.") are left alone; lines are units whatever their length
 MIN_WORDS = 6
 SENTENCE_END = re.compile(r"[.!?][^\w\s]*(?=\s)")
 UNITS = "row long, doc_id long, start int, end int, line int, n_words int, d1 long, d2 long"
 
 
 def units_of(text: str, least: int = MIN_WORDS):
-    """(start, end, start of its line, words, digest) of the units of at least ``least`` words."""
+    """(start, end, start of its line, words, digest) of all lines that are not blank, and of their sentences of at least
+    ``least`` words."""
     at = 0
     for line in text.split("\n"):
         words = line.split()
-        if len(words) >= least:
+        if words:
             yield at, at + len(line), at, len(words), _digest(words)
             begin = 0
-            for m in SENTENCE_END.finditer(line):
+            for m in SENTENCE_END.finditer(line) if len(words) >= least else ():
                 if (made := _sentence(line, begin, m.end(), at, least)) is not None:
                     yield made
                 begin = m.end()

@@ -406,6 +406,13 @@ def test_substrings_cut_text(spark):
     assert [rows[1][1][s["start"] : s["end"]] for s in got[2]["removed"]] == [x + "." for x in passage[:-1].split(". ")]
 
 
+def test_substrings_of_short_lines(spark):
+    menu = "\n".join(f"Item {i} here" for i in range(20))  # a passage of 60 words in lines of 3
+    rows = [(1, f"Own start\n{menu}\nAll rights reserved."), (2, f"Other start\n{menu}\nall  Rights reserved.\n漢字の長い行"), (3, "漢字の長い行\nnew")]
+    got = {r["doc_id"]: r["text"] for r in substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == rows[0][1] and got[2].split() == ["Other", "start", "漢字の長い行"] and got[3].split() == ["new"]
+
+
 # -- 10
 
 
