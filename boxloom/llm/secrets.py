@@ -14,6 +14,7 @@ import base64
 import binascii
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
@@ -34,7 +35,11 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = ("passw", "secret", "token", "api")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#(?:x([0-9A-Fa-f]{1,6})|([0-9]{1,7}));")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+#: token=abcdef, the shortest finding, encodes to 16 characters
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: runs that are parted by single line breaks only
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[A-Za-z0-9+/_-]++)++={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 #: bytes of one unpacked stream; a longer one stays packed
 MOST_UNPACKED = 1 << 26
 
@@ -132,11 +137,31 @@ def _rest(machine, raw: bytes, most: int) -> bytes | None:
     return out if machine.eof else None
 
 
+def stretches(text: str):
+    """(characters, place of each, start, end) of what may be base64: each run, and runs joined over line breaks.
+
+    Lines of one width are joined with and without the lines before and after, which may be words of the text.
+    """
+    for m in BASE64.finditer(text):
+        body = m[0].rstrip("=")
+        yield body, range(m.start(), m.start() + len(body)), *m.span()
+    for m in WRAPPED.finditer(text):
+        lines = [x.span() for x in LINE.finditer(text, *m.span())]
+        picked, at = {(0, len(lines))}, 0
+        for _, same in itertools.groupby(lines, lambda x: x[1] - x[0]):
+            a, at = at, at + sum(1 for _ in same)
+            picked |= {(max(0, i), min(len(lines), j)) for i in (a - 1, a) for j in (at, at + 1)}
+        for i, j in sorted(picked):
+            some = lines[i:j]
+            if j - i > 1 and sum(b - a for a, b in some) >= 16:
+                end = m.end() if j == len(lines) else some[-1][1]
+                yield "".join(text[a:b] for a, b in some), [k for a, b in some for k in range(a, b)], some[0][0], end
+
+
 def unbase64(layer: Layer, most: int) -> list[Layer]:
     """One layer for each stretch that decodes to text, or to packed text."""
     out = []
-    for m in BASE64.finditer(layer.text):
-        body = m[0].rstrip("=")
+    for body, at, begin, end in stretches(layer.text):
         if len(body) % 4 == 1:
             continue
         try:
@@ -148,9 +173,8 @@ def unbase64(layer: Layer, most: int) -> list[Layer]:
         while raw not in inside and (inner := unpacked(raw, most)) is not None:
             inside.add(raw)
             raw, packed = inner, True
-        whole = m.span()
-        got = characters(raw, (lambda i, w=whole: w) if packed else (
-            lambda i, s=m.start(), n=len(body): (s + i * 8 // 6, min(s + n, s + (i * 8 + 7) // 6 + 1))))
+        got = characters(raw, (lambda i, w=(begin, end): w) if packed else (
+            lambda i, at=at, n=len(body): (at[i * 8 // 6], at[min(n - 1, (i * 8 + 7) // 6)] + 1)))
         if got and got[0] and sum(c.isprintable() or c in "\t\r\n" for c in got[0]) >= 0.95 * len(got[0]):
             text, places = got
             out.append(Layer(text, [layer.starts[a] for a, _ in places], [layer.ends[b - 1] for _, b in places]))
@@ -161,7 +185,7 @@ def spans_of(text: str, most: int = MOST_UNPACKED) -> tuple[list[tuple[int, int,
     """(findings in the text itself, findings in all layers), as (start, end, kind) of the original, sorted and distinct."""
     base = sorted(scan(text), key=lambda x: (x[0], x[2]))
     every = set(base)
-    if "%" in text or "\\" in text or "&#" in text or BASE64.search(text):
+    if "%" in text or "\\" in text or "&#" in text or BASE64.search(text) or WRAPPED.search(text):
         work = deque([Layer(text, range(len(text)), range(1, len(text) + 1))])
         seen = set()
         while work:

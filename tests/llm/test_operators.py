@@ -288,6 +288,20 @@ def test_secrets_repeated_encodings():
     assert len(secrets.spans_of(f"{outer} {outer}")[1]) == 4  # two in each copy
 
 
+def test_secrets_short_and_wrapped_base64():
+    for secret in ("token=abcdef", "secret=abcdef", "passwd=abcdefg", "apikey=abcdefgh"):
+        text = f"see {base64.b64encode(secret.encode()).decode()} there"
+        assert [text[a:b].rstrip("=") for a, b, _ in secrets.spans_of(text)[1]] == [text.split()[1].rstrip("=")]
+    noise = "".join(chr(97 + i * i % 26) + " é"[i % 2] for i in range(60))
+    plain = f'{noise} token = "abcdef123456" {noise}'.encode()
+    random = np.random.default_rng(0).integers(33, 127, 300).astype(np.uint8).tobytes()
+    for raw in (plain, zlib.compress(random + b" " + plain)):
+        for width, end, shape in itertools.product((64, 76), ("\n", "\r\n"), ("{}", "Begin\n{}\nEnd of it", "key: {}\n\nmore")):
+            encoded = base64.b64encode(raw).decode()
+            wrapped = end.join(encoded[i : i + width] for i in range(0, len(encoded), width))
+            assert secrets.spans_of(shape.format(wrapped))[1], (width, end, shape)
+
+
 def test_secrets_base(spark, real, odd):
     fixed = spark.createDataFrame([(1, "secret:token:abcdefgh PASSWORD='hunter22' api_key=x"), (2, "AKIA" + "A" * 16 + " AKIA" + "B" * 15),
                                    (3, "0" * 24 + "g" + "f" * 23), (4, "Kelvin tokKen=abcdef")], "doc_id long, text string")
