@@ -118,23 +118,30 @@ def unescape(layer: Layer) -> Layer | None:
     return layer.replaced(parts) if parts else None
 
 
+def _machine(raw: bytes):
+    """What unpacks the zlib, gzip, bz2 or xz stream that ``raw`` begins with; None if it begins with none."""
+    if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] * 256 + raw[1]) % 31 == 0):
+        return zlib.decompressobj(47)
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if raw[:6] == b"\xfd7zXZ\x00" else None
+
+
 def unpacked(raw: bytes, most: int) -> bytes | None:
-    """The content of a zlib, gzip, bz2 or xz stream; None if it is none of them, is damaged or is longer than ``most``."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] * 256 + raw[1]) % 31 == 0):
-            return _rest(zlib.decompressobj(47), raw, most)
-        if raw[:3] == b"BZh":
-            return _rest(bz2.BZ2Decompressor(), raw, most)
-        if raw[:6] == b"\xfd7zXZ\x00":
-            return _rest(lzma.LZMADecompressor(), raw, most)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError):
-        pass
-    return None
-
-
-def _rest(machine, raw: bytes, most: int) -> bytes | None:
-    out = machine.decompress(raw, most)
-    return out if machine.eof else None
+    """The content of zlib, gzip, bz2 or xz streams, one behind the other, as far as they are whole and have ``most``
+    bytes together; None if the first is none of them, is damaged or is longer."""
+    out, left = [], most
+    while (machine := _machine(raw)) is not None:
+        try:
+            out.append(machine.decompress(raw, left + 1))
+        except (zlib.error, OSError, EOFError, lzma.LZMAError):
+            break
+        left -= len(out[-1])
+        if left < 0 or not machine.eof:
+            out.pop()
+            break
+        raw = machine.unused_data.lstrip(b"\0")  # members may be padded
+    return b"".join(out) if out else None
 
 
 def stretches(text: str):

@@ -1,10 +1,12 @@
 """Every operator against a plain reckoning in Python, on small tables with nulls, empties, repeats, ties and clashing columns."""
 
 import base64
+import bz2
 import collections
 import gzip
 import hashlib
 import itertools
+import lzma
 import math
 import re
 import urllib.parse
@@ -302,6 +304,16 @@ def test_secrets_short_and_wrapped_base64():
             assert secrets.spans_of(shape.format(wrapped))[1], (width, end, shape)
 
 
+def test_secrets_in_every_member_of_a_stream():
+    secret = b'token = "abcdef123456" '
+    for pack in (gzip.compress, bz2.compress, lzma.compress):
+        for raw in (pack(b"nothing here ") + pack(secret), pack(b"") + pack(b"nothing here ") + pack(secret) + b"tail"):
+            assert secrets.spans_of(base64.b64encode(raw).decode())[1]
+    assert secrets.unpacked(gzip.compress(secret) * 2, 2 * len(secret)) == secret * 2
+    assert secrets.unpacked(gzip.compress(secret) * 2, 2 * len(secret) - 1) == secret
+    assert secrets.unpacked(gzip.compress(secret) * 2, len(secret) - 1) is None
+
+
 def test_secrets_base(spark, real, odd):
     fixed = spark.createDataFrame([(1, "secret:token:abcdefgh PASSWORD='hunter22' api_key=x"), (2, "AKIA" + "A" * 16 + " AKIA" + "B" * 15),
                                    (3, "0" * 24 + "g" + "f" * 23), (4, "Kelvin tokKen=abcdef")], "doc_id long, text string")
