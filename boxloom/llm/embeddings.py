@@ -339,10 +339,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     met = cut(_met(reps, cells, census, threshold, block_rows).unionByName(_in_cores(reps, cells, census)))
     links = met.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(met.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    of = reps.select("node", "copies", "low").join(links, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    of = cut(of)
-    lows = of.groupBy("root").agg(F.min("low").alias("component"))
-    per_node = of.join(lows, "root").select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "component")
+    of = cut(reps.select("node", "copies", "low").join(links, "node", "left").join(roots, "node", "left"))
+    # written apart, so that the join below can be split where a component is large
+    lows = cut(of.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("low").alias("component")))
+    total = (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
+    per_node = of.where(F.col("root").isNotNull()).join(lows.hint("merge"), "root").select("node", total, "component").unionByName(
+        of.where(F.col("root").isNull()).select("node", total, F.col("low").alias("component")))
     found = rows.select("vec_id", "node").join(per_node.hint("merge"), "node", "left")
     alone = F.col("node").isNull()
     component = F.when(alone, F.col("vec_id")).otherwise(F.col("component"))
