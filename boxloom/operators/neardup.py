@@ -7,15 +7,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxloom import vocabulary as V
 from boxloom.cluster import cut
+from boxloom.operators import vectorindex
+from boxloom.operators.graphs import components
 
 BLOCK_ROWS = 2048
 MASKS = (0, 16, 512)  # mean, left against right, top against bottom of a 32x32 picture
-LOCAL_EDGES = 200_000
+LOCAL_EDGES = 200_000  # of one component that a task walks
+ONE_TASK = 500_000  # edges of spanning forests that one task joins
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -50,77 +54,108 @@ def projected(reps: DataFrame, masks: tuple[int, ...] = MASKS) -> DataFrame:
 def similar_pairs(points: DataFrame, threshold: float = V.NEAR_COSINE, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(folder, a, b, sim): all pairs a < b of a folder with cosine >= ``threshold``.
 
-    Over ``projected`` rows (folder, rep, vector, _p0, ...). Unit vectors with cosine t lie
-    within r = sqrt(2 - 2t) of each other, and so do their projections on any unit vector. A
-    few sign projections make a grid with cells of 4r; one side goes to its own cell, the
-    other to the one or two cells per axis within r of it. No pair is lost and none is found
-    twice. A cell with more than ``block_rows`` rows is cut into blocks. Each pair of blocks is
-    one matrix product; only pairs at the threshold leave it.
+    Over (folder, rep, vector) with unit vectors of one length, which should be a written table (``cut``). Unit vectors with
+    cosine t lie within sqrt(2 - 2t) of each other; ``vectorindex`` finds all pairs that near without comparing whole
+    folders. Only ids and a few coordinates are shipped to find them; each pair found is verified once on its vectors.
     """
-    r = _reach(threshold)
-    width = 4.0 * r
-    axes = [c for c in points.columns if c.startswith("_p")]
-    cells = [f"_c{k}" for k in range(len(axes))]
-    keys = ["folder", *cells]
+    index = vectorindex.fit(points, "rep", _reach(threshold))
+    kind = points.schema["rep"].dataType.simpleString()
+    if index is None:
+        return points.select("folder", F.col("rep").alias("a"), F.col("rep").alias("b"), F.lit(0.0).alias("sim"))
+    near = _met(points, index, block_rows).mapInPandas(
+        lambda frames: _candidates(frames, index), f"folder string, a {kind}, b {kind}, formed long")
+    near = near.where(F.col("a").isNotNull()).select("folder", "a", "b").distinct()  # a pair may be near in several blocks
+    vectors = points.select("folder", "rep", "vector")
+    found = near.join(vectors.select("folder", F.col("rep").alias("a"), F.col("vector").alias("_v")), ["folder", "a"]).join(
+        vectors.select("folder", F.col("rep").alias("b"), F.col("vector").alias("_w")), ["folder", "b"])
+    return found.withColumn("sim", dot(F.col("_v"), F.col("_w"))).where(F.col("sim") >= threshold).select("folder", "a", "b", "sim")
+
+
+def pairs_formed(points: DataFrame, threshold: float = V.NEAR_COSINE, block_rows: int = BLOCK_ROWS) -> tuple[int, int]:
+    """(pairs that the index forms, pairs left to verify) for ``similar_pairs`` on the same rows."""
+    index = vectorindex.fit(points, "rep", _reach(threshold))
+    kind = points.schema["rep"].dataType.simpleString()
+    met = _met(points, index, block_rows).mapInPandas(
+        lambda frames: _candidates(frames, index), f"folder string, a {kind}, b {kind}, formed long")
+    return met.agg(F.coalesce(F.sum("formed"), F.lit(0)), F.count_distinct("folder", "a", "b")).first()
 
-    home = points.withColumns({c: F.floor(F.col(p) / width) for c, p in zip(cells, axes)})
-    guest = points
-    for c, p in zip(cells, axes):
-        spots = F.sequence(F.floor((F.col(p) - r) / width), F.floor((F.col(p) + r) / width))
-        guest = guest.withColumn(c, F.explode(spots))
-    sizes = (
-        home.groupBy(*keys).agg(F.count(F.lit(1)).alias("_h"), F.lit(0).cast("long").alias("_g"))
-        .union(guest.groupBy(*keys).agg(F.lit(0).cast("long"), F.count(F.lit(1))))
-        .groupBy(*keys).agg(F.max("_h").alias("_h"), F.max("_g").alias("_g"))
-        .where((F.col("_h") > 0) & (F.col("_g") > 1))
-        .select(*keys, F.ceil(F.greatest("_h", "_g") / block_rows).alias("_blocks"))
-    )
 
-    at = F.pmod(F.xxhash64("rep"), "_blocks")
-    every = F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)
-    both = (
-        home.select(*keys, "rep", "vector", F.lit(True).alias("is_home"))
-        .unionByName(guest.select(*keys, "rep", "vector", F.lit(False).alias("is_home")))
-        .join(sizes, keys).withColumn("_mine", at).withColumn("_other", F.explode(every))
-        .select(*keys, F.when(F.col("is_home"), F.col("_mine")).otherwise(F.col("_other")).alias("_a"),
-                F.when(F.col("is_home"), F.col("_other")).otherwise(F.col("_mine")).alias("_b"), "is_home", "rep", "vector")
-    )
-    group = [*keys, "_a", "_b"]
+_CELL = ["folder", "block", "cell", "_a", "_b"]
+
+
+def _met(points: DataFrame, index: vectorindex.Index, block_rows: int) -> DataFrame:
+    """Rows dealt to coarse cells of each block, homes and guests together; crowded cells in pairs of parts."""
     kind = points.schema["rep"].dataType.simpleString()
-    return both.repartition(*group).sortWithinPartitions(*group).mapInPandas(
-        lambda frames: _multiply(frames, group, threshold), f"folder string, a {kind}, b {kind}, sim double")
 
+    def dealt(batches):
+        for b in batches:
+            width = index.axes.shape[0]
+            vectors = b.column("vector").flatten().to_numpy().reshape(-1, width)
+            solid = np.flatnonzero(np.einsum("ij,ij->i", vectors, vectors) > 0.5)  # a zero vector is near nothing
+            values = index.sketch(vectors[solid])
+            for k, ids in enumerate(index.blocks):
+                own = np.ascontiguousarray(values[:, ids])
+                coarse = (0, min(index.coarse, index.grid))
+                home, _ = index.cells(own, *coarse)
+                row, cell = index.visits(own, *coarse)
+                at = np.r_[np.arange(len(own)), row]
+                packed = pa.array([x.tobytes() for x in own], pa.binary())
+                take = pa.array(solid[at])
+                yield pa.RecordBatch.from_arrays([
+                    b.column("folder").take(take), pa.array(np.full(len(at), k, np.int32)), pa.array(np.r_[home, cell]),
+                    pa.array(np.arange(len(at)) < len(own)), b.column("rep").take(take), packed.take(pa.array(at))],
+                    ["folder", "block", "cell", "is_home", "rep", "at"])
+
+    rows = cut(points.select("folder", "rep", F.col("vector").cast("array<double>").alias("vector")).mapInArrow(
+        dealt, f"folder string, block int, cell long, is_home boolean, rep {kind}, at binary"))
+    keys = _CELL[:3]
+    sizes = rows.groupBy(*keys).agg(F.count_if("is_home").alias("_h"), F.count(F.lit(1)).alias("_n")).select(
+        *keys, F.ceil(F.greatest("_h", F.col("_n") - F.col("_h")) / block_rows).alias("_blocks"))
+    crowded = sizes.where("_blocks > 1")
+    zero = F.lit(0).cast("long")
+    if not crowded.head(1):
+        met = rows.select(*keys, zero.alias("_a"), zero.alias("_b"), "is_home", "rep", "at")
+    else:
+        mine, other = F.pmod(F.xxhash64("rep"), "_blocks"), F.explode(F.sequence(zero, F.col("_blocks") - 1))
+        met = rows.join(cut(crowded), keys, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1).cast("long"))).withColumn(
+            "_mine", mine).withColumn("_other", other).select(
+            *keys, F.when(F.col("is_home"), F.col("_mine")).otherwise(F.col("_other")).alias("_a"),
+            F.when(F.col("is_home"), F.col("_other")).otherwise(F.col("_mine")).alias("_b"), "is_home", "rep", "at")
+    return met.repartition(*_CELL).sortWithinPartitions(*_CELL)
+
+
+def _candidates(frames: Iterator[pd.DataFrame], index: vectorindex.Index) -> Iterator[pd.DataFrame]:
+    """Pairs near on the axes of a block; cells come sorted, at most one is open at a time. ``formed`` rides on the first row of a cell."""
+    def met(cell: pd.DataFrame) -> pd.DataFrame | None:
+        home = cell["is_home"].to_numpy()
+        if home.all() or not home.any():
+            return None
+        width = len(index.blocks[cell["block"].iloc[0]])
+        at = np.frombuffer(b"".join(cell["at"]), np.float32).reshape(-1, width)
+        rep = cell["rep"].to_numpy()
+        left, right = rep[home], rep[~home]
+        x, y, formed = index.close(at[home], at[~home])
+        later = left[x] < right[y]
+        x, y = x[later], y[later]
+        if not formed:
+            return None
+        counts = np.zeros(len(x) + 1, np.int64)
+        counts[0] = formed
+        return pd.DataFrame({"folder": cell["folder"].iloc[0], "a": [None, *left[x]], "b": [None, *right[y]], "formed": counts}, dtype=object)
 
-def _multiply(frames: Iterator[pd.DataFrame], group: list[str], threshold: float) -> Iterator[pd.DataFrame]:
-    """Matrix product of each group's two sides; groups come sorted, at most one is open at a time."""
     rest = None
     for frame in frames:
         frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
         if frame.empty:
             continue
-        new = (frame[group] != frame[group].shift()).any(axis=1).to_numpy()
+        new = (frame[_CELL] != frame[_CELL].shift()).any(axis=1).to_numpy()
         starts = np.flatnonzero(new)
-        yield from _products(frame, starts, threshold)
+        out = [m for lo, hi in zip(starts[:-1], starts[1:]) if (m := met(frame.iloc[lo:hi])) is not None]
+        if out:
+            yield pd.concat(out, ignore_index=True)
         rest = frame.iloc[starts[-1]:]
-    if rest is not None and not rest.empty:
-        yield from _products(rest, np.array([0, len(rest)]), threshold)
-
-
-def _products(frame: pd.DataFrame, starts: np.ndarray, threshold: float) -> Iterator[pd.DataFrame]:
-    """Pairs at the threshold between consecutive ``starts``."""
-    home, rep, folder = frame["is_home"].to_numpy(), frame["rep"].to_numpy(), frame["folder"].to_numpy()
-    vectors = frame["vector"].to_numpy()
-    out = []
-    for lo, hi in zip(starts[:-1], starts[1:]):
-        left, right = lo + np.flatnonzero(home[lo:hi]), lo + np.flatnonzero(~home[lo:hi])
-        if len(left) == 0 or len(right) == 0:
-            continue
-        sims = np.stack(vectors[left]) @ np.stack(vectors[right]).T
-        x, y = np.nonzero((sims >= threshold) & (rep[left][:, None] < rep[right][None, :]))
-        if len(x):
-            out.append(pd.DataFrame({"folder": folder[lo], "a": rep[left][x], "b": rep[right][y], "sim": sims[x, y]}))
-    if out:
-        yield pd.concat(out, ignore_index=True)
+    if rest is not None and not rest.empty and (last := met(rest)) is not None:
+        yield last
 
 
 def near_decisions(df: DataFrame, threshold: float = V.NEAR_COSINE, masks: tuple[int, ...] = MASKS,
@@ -158,7 +193,7 @@ def near_decisions(df: DataFrame, threshold: float = V.NEAR_COSINE, masks: tuple
     nodes, early = _thin(nodes, threshold, block_rows)
     quality = nodes.select("folder", "rep", "q")
     edges = (
-        similar_pairs(nodes.drop("q"), threshold, block_rows)
+        similar_pairs(nodes.select("folder", "rep", "vector"), threshold, block_rows)
         .join(quality.select("folder", F.col("rep").alias("a"), F.col("q").alias("qa")), ["folder", "a"])
         .join(quality.select("folder", F.col("rep").alias("b"), F.col("q").alias("qb")), ["folder", "b"])
         .select("folder", "a", "qa", "b", "qb")
@@ -239,49 +274,118 @@ def _thin(nodes: DataFrame, threshold: float, crowd: int) -> tuple[DataFrame, Da
             return nodes, removed
 
 
+def _labels(edges: DataFrame, one_task: int) -> DataFrame:
+    """(folder, n, root) for every node of ``edges`` (folder, a, b): the component that it lies in.
+
+    Each task first reduces its edges to a spanning forest. If at most ``one_task`` edges are left, one task joins the
+    forests; beyond that they go through rounds of joins. Either way the roots are the smallest nodes.
+    """
+    kind = edges.schema["a"].dataType.simpleString()
+    forest = cut(edges.select("folder", "a", "b").mapInPandas(_forest, f"folder string, a {kind}, b {kind}"))
+    if forest.count() <= one_task:
+        return forest.coalesce(1).mapInPandas(_forest, f"folder string, a {kind}, b {kind}").select("folder", F.col("b").alias("n"), F.col("a").alias("root"))
+    pairs = forest.where(F.col("a") != F.col("b"))
+    roots = components(pairs.select(F.struct("folder", F.col("a").alias("n")).alias("a"), F.struct("folder", F.col("b").alias("n")).alias("b")))
+    return roots.select("node.folder", "node.n", F.col("root.n").alias("root"))
+
+
+def _forest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(folder, a, b) for every node b of a task's edges (folder, a, b), a being the smallest node that it reaches."""
+    parent: dict = {}
+
+    def root(n: tuple) -> tuple:
+        at = n
+        while (up := parent.setdefault(at, at)) != at:
+            at = up
+        while parent[n] != at:
+            parent[n], n = at, parent[n]
+        return at
+
+    for frame in frames:
+        for folder, a, b in frame.itertuples(index=False, name=None):
+            x, y = root((folder, a)), root((folder, b))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    if parent:
+        nodes = list(parent)
+        yield pd.DataFrame({"folder": [n[0] for n in nodes], "a": [root(n)[1] for n in nodes], "b": [n[1] for n in nodes]})
+
+
 def _resolve(edges: DataFrame, local_edges: int) -> DataFrame:
     """Settle edges (folder, a, qa, b, qb), a before b; returns (folder, remove_id, keep_id).
 
-    A round settles every image that no earlier open image can reach or share a neighbour
-    with; those gather disjoint groups, so they act at once exactly as in order. Once at
-    most ``local_edges`` edges are left, each folder's rest is walked in order in one task.
+    What happens in one component of the similarity graph does not touch another. Components of at most ``local_edges``
+    edges are dealt to tasks, many to each, and walked in order. Larger ones go through a round (see ``_round``), which
+    breaks them up, and so on.
     """
     edges = cut(edges.distinct())
-    removed = None
-    while edges.count() > local_edges:
-        first = edges.groupBy("folder", "b").agg(F.min("a").alias("_lead"))
-        reached = first.select("folder", F.col("b").alias("a"))
-        contested = edges.join(first, ["folder", "b"]).where(F.col("_lead") < F.col("a")).select("folder", "a")
-        open_now = edges.join(reached.union(contested).distinct(), ["folder", "a"], "left_anti")
-        best = F.max(F.struct(F.col("qb").alias("q"), F.col("b").alias("id")))
-        groups = open_now.groupBy("folder", "a", "qa").agg(best.alias("_top")).select(
-            "folder", "a", F.greatest("_top", F.struct(F.col("qa").alias("q"), F.col("a").alias("id")))["id"].alias("keep_id"))
-        groups = cut(groups)
-        members = edges.join(groups, ["folder", "a"]).select("folder", F.col("b").alias("remove_id"), "keep_id")
-        bases = groups.select("folder", F.col("a").alias("remove_id"), "keep_id")
-        gone = cut(members.unionByName(bases).where(F.col("remove_id") != F.col("keep_id")))
-        removed = gone if removed is None else removed.unionByName(gone)
-        names = gone.select("folder", F.col("remove_id").alias("n"))
-        edges = cut(
-            edges.join(groups.select("folder", "a"), ["folder", "a"], "left_anti")
-            .join(names.withColumnRenamed("n", "a"), ["folder", "a"], "left_anti")
-            .join(names.withColumnRenamed("n", "b"), ["folder", "b"], "left_anti")
-        )
     kind = edges.schema["a"].dataType.simpleString()
-    rest = cut(edges.groupBy("folder").applyInPandas(_walk, f"folder string, remove_id {kind}, keep_id {kind}"))
-    return rest if removed is None else removed.unionByName(rest)
+    removed = None
+    while True:
+        labels = _labels(edges, ONE_TASK)
+        labelled = cut(edges.join(labels.select("folder", F.col("n").alias("a"), "root"), ["folder", "a"]))
+        large = labelled.groupBy("folder", "root").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > local_edges).drop("_n")
+        some = bool(large.head(1))
+        small = labelled.join(large, ["folder", "root"], "left_anti") if some else labelled
+        walked = small.repartition("folder", "root").sortWithinPartitions("folder", "root").mapInPandas(
+            _walk_components, f"folder string, remove_id {kind}, keep_id {kind}")
+        removed = walked if removed is None else removed.unionByName(walked)
+        if not some:
+            return cut(removed)
+        gone, edges = _round(cut(labelled.join(large, ["folder", "root"], "left_semi").drop("root")))
+        removed = removed.unionByName(gone)
+
+
+def _round(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(removals, edges left): settles every image that no earlier open image can reach or share a neighbour with.
+
+    Those gather disjoint groups, so they act at once exactly as in order.
+    """
+    first = edges.groupBy("folder", "b").agg(F.min("a").alias("_lead"))
+    reached = first.select("folder", F.col("b").alias("a"))
+    contested = edges.join(first, ["folder", "b"]).where(F.col("_lead") < F.col("a")).select("folder", "a")
+    open_now = edges.join(reached.union(contested).distinct(), ["folder", "a"], "left_anti")
+    best = F.max(F.struct(F.col("qb").alias("q"), F.col("b").alias("id")))
+    groups = open_now.groupBy("folder", "a", "qa").agg(best.alias("_top")).select(
+        "folder", "a", F.greatest("_top", F.struct(F.col("qa").alias("q"), F.col("a").alias("id")))["id"].alias("keep_id"))
+    groups = cut(groups)
+    members = edges.join(groups, ["folder", "a"]).select("folder", F.col("b").alias("remove_id"), "keep_id")
+    bases = groups.select("folder", F.col("a").alias("remove_id"), "keep_id")
+    gone = cut(members.unionByName(bases).where(F.col("remove_id") != F.col("keep_id")))
+    names = gone.select("folder", F.col("remove_id").alias("n"))
+    return gone, cut(
+        edges.join(groups.select("folder", "a"), ["folder", "a"], "left_anti")
+        .join(names.withColumnRenamed("n", "a"), ["folder", "a"], "left_anti")
+        .join(names.withColumnRenamed("n", "b"), ["folder", "b"], "left_anti")
+    )
+
+
+def _walk_components(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Components come sorted; each is walked when it is complete, at most one is open at a time."""
+    rest = None
+    for frame in frames:
+        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        if frame.empty:
+            continue
+        new = (frame[["folder", "root"]] != frame[["folder", "root"]].shift()).any(axis=1).to_numpy()
+        last = np.flatnonzero(new)[-1]
+        if last:
+            yield _walk(frame.iloc[:last])
+        rest = frame.iloc[last:]
+    if rest is not None and not rest.empty:
+        yield _walk(rest)
 
 
 def _walk(edges: pd.DataFrame) -> pd.DataFrame:
-    """The same rule for one folder's remaining edges, in order."""
+    """The rule for whole components, in order: components do not touch, so they may be walked together."""
     def quality(q: object) -> tuple:
         return tuple(q.values()) if isinstance(q, dict) else tuple(q) if hasattr(q, "__iter__") and not isinstance(q, str) else (q,)
 
     later: dict = {}
     rank: dict = {}
-    for a, qa, b, qb in edges[["a", "qa", "b", "qb"]].itertuples(index=False):
-        later.setdefault(a, []).append(b)
-        rank[a], rank[b] = (quality(qa), a), (quality(qb), b)
+    for folder, a, qa, b, qb in edges[["folder", "a", "qa", "b", "qb"]].itertuples(index=False, name=None):
+        later.setdefault((folder, a), []).append((folder, b))
+        rank[folder, a], rank[folder, b] = (quality(qa), a), (quality(qb), b)
     gone: dict = {}
     for base in sorted(later):
         if base in gone:
@@ -289,4 +393,4 @@ def _walk(edges: pd.DataFrame) -> pd.DataFrame:
         group = [base, *(b for b in later[base] if b not in gone)]
         keep = max(group, key=rank.__getitem__)
         gone.update({m: keep for m in group if m != keep})
-    return pd.DataFrame({"folder": edges["folder"].iloc[0], "remove_id": list(gone), "keep_id": list(gone.values())})
+    return pd.DataFrame({"folder": [f for f, _ in gone], "remove_id": [n for _, n in gone], "keep_id": [k for _, k in gone.values()]})

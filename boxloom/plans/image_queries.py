@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from boxloom import vocabulary as V
+from boxloom.cluster import cut
 from boxloom.functions import pixels
 from boxloom.functions import text as X
 from boxloom.operators import dedupe, detections as D, flags, manifests, neardup, splits, stats
@@ -184,8 +185,8 @@ def _vectors(i: Inputs):
     "every": UNIT_SQL, "unit": "select folder, vector, min(vec_id) as vec_id from every group by folder, vector", "near": NEAR_PAIRS_SQL}))
 def near_dup_pairs(i: Inputs):
     """Pairs of different vectors; rows with equal vectors are stood for by the smallest id."""
-    reps = neardup.distinct_vectors(_vectors(i))
-    return neardup.similar_pairs(neardup.projected(reps, MASKS)).select("folder", "a", "b", F.round("sim", 6).alias("sim"))
+    reps = cut(neardup.distinct_vectors(_vectors(i)))
+    return neardup.similar_pairs(reps).select("folder", "a", "b", F.round("sim", 6).alias("sim"))
 
 
 # The greedy walk of a folder: one position per step, with the list of removed rows as state.
@@ -379,8 +380,6 @@ from (select * from routed) r left join (select sha1, split from walk where step
         "box_count, sha1, substr(sha1, 1, 16) as ahash", "box_count, r.sha1, substr(r.sha1, 1, 16) as ahash"))
 def split_manifest(i: Inputs):
     """The routed table is written once: the split plan and the manifest both read it."""
-    from boxloom.cluster import cut
-
     routed = cut(labelled_images(i).withColumn("ahash", F.substring("sha1", 1, 16)))
     idx = V.position(V.COLLECTION_CLASSES, F.col("label"))
     kept = splits.group_split(routed.where(F.col("routed") == "kept"), idx)

@@ -199,7 +199,7 @@ def test_near_pairs_lose_nothing(spark):
     m /= np.linalg.norm(m, axis=1, keepdims=True)
     df = spark.createDataFrame([("f", i, [float(x) for x in v]) for i, v in enumerate(m)], "folder string, rep long, vector array<double>")
     for threshold, block in ((0.995, 2048), (0.99, 3), (0.9, 16)):
-        got = sorted((r.a, r.b) for r in neardup.similar_pairs(neardup.projected(df, (1, 4, 16)), threshold, block).collect())
+        got = sorted((r.a, r.b) for r in neardup.similar_pairs(df, threshold, block).collect())
         sims = m @ m.T
         assert got == [(i, j) for i, j in itertools.combinations(range(len(m)), 2) if sims[i, j] >= threshold]
 
@@ -237,3 +237,80 @@ def test_group_split_shares_copies(inputs):
     rows = splits.group_split(images, V.position(V.COLLECTION_CLASSES, F.col("label"))).groupBy("sha1").agg(
         F.countDistinct("split").alias("n")).where("n > 1").count()
     assert rows == 0
+
+
+# ---- the index of near vectors ----------------------------------------------
+
+def _wide(rng, kind, n):
+    import numpy as np
+
+    if kind == "noise":
+        m = rng.random((n, 3072))
+    else:  # smooth pictures of 32 x 32 x 3
+        y, x = np.mgrid[0:32, 0:32] / 32
+        m = np.zeros((n, 32, 32, 3))
+        for one in m:
+            for c in range(3):
+                for _ in range(6):
+                    f, g = rng.integers(0, 4, 2)
+                    one[:, :, c] += rng.normal() / (1 + f + g) * np.cos(2 * np.pi * (f * x + g * y) + rng.uniform(0, 6))
+            one -= one.min()
+        m = m.reshape(n, -1)
+    copies = m[: n // 10] * (1 + rng.normal(size=(n // 10, 3072)) * 0.05)
+    m = np.concatenate([m, np.abs(copies)])
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+def test_index_forms_few_pairs_of_given_vectors(spark):
+    from boxloom.plans.image_queries import _vectors
+
+    df = _vectors(Inputs(spark, "/root/testdata/sf0.01")).select(F.lit("f").alias("folder"), F.col("vec_id").alias("rep"), "vector").cache()
+    formed, left = neardup.pairs_formed(df)
+    n, true = df.count(), neardup.similar_pairs(df).count()
+    assert formed <= 0.05 * n * n and true > 900 and left <= 4 * true
+
+
+@pytest.mark.parametrize("kind", ["noise", "pictures"])
+def test_index_on_wide_vectors(spark, kind):
+    """None lost; the arithmetic of finding candidates is at most a twentieth of comparing all pairs in full."""
+    import numpy as np
+
+    from boxloom.operators import vectorindex
+
+    m = _wide(np.random.default_rng(1), kind, 500)
+    df = spark.createDataFrame([("f", i, [float(x) for x in v]) for i, v in enumerate(m)], "folder string, rep long, vector array<double>").repartition(4).cache()
+    sims = m @ m.T
+    true = {(i, j) for i, j in zip(*np.nonzero(sims >= 0.995)) if i < j}
+    assert len(true) >= 40 and {(r.a, r.b) for r in neardup.similar_pairs(df).collect()} == true
+    formed, left = neardup.pairs_formed(df)
+    index = vectorindex.fit(df, "rep", neardup._reach(0.995))
+    assert formed * index.axes.shape[1] / 3072 + left <= 0.05 * len(m) ** 2
+
+
+def test_small_groups_are_settled_in_tasks(spark, monkeypatch):
+    """10,000 groups of three: no rounds, three written tables."""
+    def quality(n):
+        return 7 * n % 5
+
+    rows = [("f", 3 * g + i, quality(3 * g + i), 3 * g + i + 1, quality(3 * g + i + 1)) for g in range(10_000) for i in (0, 1)]
+    edges = spark.createDataFrame(rows, "folder string, a long, qa int, b long, qb int")
+    written = []
+    real = neardup.cut
+    monkeypatch.setattr(neardup, "cut", lambda df: written.append(1) or real(df))
+    got = {r.remove_id: r.keep_id for r in neardup._resolve(edges, 1000).collect()}
+    assert len(written) <= 4
+    want = {}
+    for n in range(30_000):  # the first gathers the second, and the second, if it is the better one, the third
+        if n % 3 < 2 and n not in want:
+            keep = max((quality(m), m) for m in (n, n + 1))[1]
+            want[2 * n + 1 - keep] = keep
+    assert got == want
+
+
+def test_components_beyond_one_task(spark, monkeypatch):
+    """The rounds of joins name the same components as the task."""
+    rng = random.Random(3)
+    rows = [(f"f{k % 2}", min(p), max(p)) for k in range(300) for p in [rng.sample(range(200), 2)]]
+    edges = spark.createDataFrame(rows, "folder string, a long, b long").repartition(5)
+    local = sorted(map(tuple, neardup._labels(edges, 10**6).select("folder", "n", "root").collect()))
+    assert local == sorted(map(tuple, neardup._labels(edges, 0).select("folder", "n", "root").collect())) and len(local) > 200
