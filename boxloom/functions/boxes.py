@@ -55,6 +55,22 @@ def iou(a: Corners, b: Corners) -> Column:
     return F.when((shared > 0) & (union > 0), shared / union).otherwise(F.lit(0.0))
 
 
+def partner_levels(side: Column, threshold: float) -> Column:
+    """Power-of-two size levels a partner of this side length can have."""
+    if threshold <= 0:
+        raise ValueError("the threshold must be above 0: boxes that need not overlap have no nearest cells")
+    low = F.floor(F.log2(side * F.lit(threshold * (1 - 1e-9)))).cast("int")
+    high = F.floor(F.log2(side / F.lit(threshold * (1 - 1e-9)))).cast("int")
+    return F.sequence(low, high)
+
+
+def partner_cells(centre: Column, side: Column, level: Column, threshold: float) -> Column:
+    """Cells of one level that a partner's centre can lie in."""
+    size = F.pow(F.lit(2.0), level + 1)
+    reach = side * F.lit((1.0 - threshold) / threshold) + size * 1e-9
+    return F.sequence(F.floor((centre - reach) / size), F.floor((centre + reach) / size))
+
+
 def area_ratio(box: Corners, width: Column, height: Column) -> Column:
     """Share of the picture a pixel box covers."""
     return area(box) / F.greatest(F.lit(1), width * height).cast("double")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from boxloom import vocabulary as V
 from boxloom.cluster import cut
 from boxloom.functions import boxes as B
-from boxloom.operators import graphs
+from boxloom.operators import crowded, graphs
 from boxloom.operators.ranking import split_hot
 
 CORNERS = ["x1", "y1", "x2", "y2"]
@@ -28,22 +28,6 @@ def with_corners(df: DataFrame) -> DataFrame:
 
 # ---- close pairs -----------------------------------------------------------
 
-def _levels(side: Column, threshold: float) -> Column:
-    """Power-of-two size levels a partner of this side length can have."""
-    if threshold <= 0:
-        raise ValueError("the threshold must be above 0: boxes that need not overlap have no nearest cells")
-    low = F.floor(F.log2(side * F.lit(threshold * (1 - 1e-9)))).cast("int")
-    high = F.floor(F.log2(side / F.lit(threshold * (1 - 1e-9)))).cast("int")
-    return F.sequence(low, high)
-
-
-def _cells(centre: Column, side: Column, level: Column, threshold: float) -> Column:
-    """Cells of one level that a partner's centre can lie in."""
-    size = F.pow(F.lit(2.0), level + 1)
-    reach = side * F.lit((1.0 - threshold) / threshold) + size * 1e-9
-    return F.sequence(F.floor((centre - reach) / size), F.floor((centre + reach) / size))
-
-
 def close_pairs(df: DataFrame, keys: list[str], threshold: float, order: str, bound: int = PAIR_BOUND) -> DataFrame:
     """Pairs of boxes of one key with IoU >= ``threshold``, as structs ``a``, ``b`` and ``iou``.
 
@@ -89,8 +73,8 @@ def _grid_pairs(df: DataFrame, keys: list[str], threshold: float, order: str) ->
         return [F.col(n).alias(f"_{prefix}_{n}") for n in names]
 
     def spots(centre: Column, length: Column) -> Column:
-        return F.flatten(F.transform(_levels(length, threshold), lambda at: F.transform(
-            _cells(centre, length, at, threshold), lambda c: F.struct(at.alias("at"), c.alias("c")))))
+        return F.flatten(F.transform(B.partner_levels(length, threshold), lambda at: F.transform(
+            B.partner_cells(centre, length, at, threshold), lambda c: F.struct(at.alias("at"), c.alias("c")))))
 
     left = solid.select(
         *keys, level(w).alias("_lw"), level(h).alias("_lh"),
@@ -139,23 +123,18 @@ def suppress(df: DataFrame, threshold: float = V.NMS_IOU, bound: int = PAIR_BOUN
     return out if hot is None else out.unionByName(_suppress_hot(hot, keys, threshold))
 
 
-def _suppress_hot(df: DataFrame, keys: list[str], threshold: float) -> DataFrame:
-    """The same rule for keys beyond one task: equal boxes collapse, the rest goes by rounds."""
+def _suppress_hot(df: DataFrame, keys: list[str], threshold: float, fold_boxes: int = crowded.FOLD_BOXES) -> DataFrame:
+    """The same rule for crowded keys: equal boxes collapse, the rest is selected without forming pairs."""
     rest = [c for c in df.columns if c not in keys]
     flat = (F.col("x2") <= F.col("x1")) | (F.col("y2") <= F.col("y1"))
     best = F.min(F.struct((-F.col("score")).alias("_neg"), F.col("pos").alias("_pos"), *rest))
-    spread = [*keys, *CORNERS]
-    firsts = (
-        df.where(~flat).groupBy(*spread).agg(best.alias("_b"))
+    firsts = cut(
+        df.where(~flat).groupBy(*keys, *CORNERS).agg(best.alias("_b"))
         .select(*keys, *[F.col(f"_b.{c}") for c in rest])
-        .withColumn("_node", F.struct((-F.col("score")).alias("neg"), "pos", *keys, *CORNERS))
+        .withColumn("_node", F.struct((-F.col("score")).alias("neg"), "pos", *CORNERS)).withColumn("_mid", F.monotonically_increasing_id())
     )
-    pairs = close_pairs(firsts, keys, threshold, "_node")
-    gone = graphs.greedy_dropped(pairs.select(F.col("a._node").alias("a"), F.col("b._node").alias("b")))
-    kept = firsts
-    if gone is not None:
-        kept = firsts.join(gone.withColumnRenamed("n", "_node"), "_node", "left_anti")
-    return kept.select(*df.columns).unionByName(df.where(flat))
+    gone = crowded.dropped(firsts, keys, "_node", threshold, fold_boxes)
+    return firsts.join(gone, "_mid", "left_anti").select(*df.columns).unionByName(df.where(flat))
 
 
 # ---- merging ---------------------------------------------------------------
@@ -196,20 +175,23 @@ def merge_overlaps(df: DataFrame, threshold: float = V.MERGE_IOU, bound: int = P
     return out if hot is None else out.unionByName(_merge_hot(hot, keys, rest, threshold))
 
 
-def _merge_hot(df: DataFrame, keys: list[str], rest: list[str], threshold: float) -> DataFrame:
+def _merge_hot(df: DataFrame, keys: list[str], rest: list[str], threshold: float, fold_boxes: int = crowded.FOLD_BOXES) -> DataFrame:
+    """The same for crowded keys: equal boxes collapse, the rest is flooded by a task or, beyond ``fold_boxes``, by joins."""
     flat = (F.col("x2") <= F.col("x1")) | (F.col("y2") <= F.col("y1"))
     best = F.max(F.struct((F.col("w") * F.col("h")).alias("_area"), (-F.col("line_no")).alias("_back"), *rest))
-    firsts = (
+    firsts = cut(
         df.where(~flat).groupBy(*keys, *CORNERS)
-        .agg(best.alias("_b"), F.count(F.lit(1)).alias("_n")).drop(*CORNERS)
-        .withColumn("_node", F.struct(*keys, F.col("_b.line_no").alias("line_no"), *[F.col(f"_b.{c}").alias(c) for c in CORNERS]))
+        .agg(best.alias("_b"), F.count(F.lit(1)).alias("_n"))
+        .withColumn("_node", F.struct(F.col("_b.line_no").alias("line_no"), *CORNERS)).withColumn("_mid", F.monotonically_increasing_id())
     )
-    nodes = firsts.select("_node", *keys, *[F.col(f"_b.{c}").alias(c) for c in CORNERS])
-    pairs = close_pairs(nodes, keys, threshold, "_node")
-    roots = graphs.components(pairs.select(F.col("a._node").alias("a"), F.col("b._node").alias("b")))
+    fits, over = split_hot(firsts.select(*keys, "_node", "_mid", *CORNERS), keys, fold_boxes)
+    roots = crowded.roots(fits, keys, "_node", threshold)
+    if over is not None:
+        pairs = close_pairs(over, keys, threshold, "_node")
+        linked = graphs.components(pairs.select(F.col("a._mid").alias("a"), F.col("b._mid").alias("b")))
+        roots = roots.unionByName(linked.select(F.col("node").alias("_mid"), "root"))
     merged = (
-        firsts.join(roots.withColumnRenamed("node", "_node"), "_node", "left")
-        .withColumn("root", F.coalesce("root", "_node"))
+        firsts.join(roots, "_mid", "left").withColumn("root", F.coalesce("root", "_mid"))
         .groupBy(*keys, "root").agg(F.max("_b").alias("_best"), F.sum("_n").alias("merged_from"))
         .select(*keys, *[F.col(f"_best.{c}") for c in rest], "merged_from")
     )

@@ -314,3 +314,77 @@ def test_components_beyond_one_task(spark, monkeypatch):
     edges = spark.createDataFrame(rows, "folder string, a long, b long").repartition(5)
     local = sorted(map(tuple, neardup._labels(edges, 10**6).select("folder", "n", "root").collect()))
     assert local == sorted(map(tuple, neardup._labels(edges, 0).select("folder", "n", "root").collect())) and len(local) > 200
+
+
+# ---- crowded images -----------------------------------------------------------
+
+def _boxes(rng, n, kind):
+    import numpy as np
+
+    if kind == "jitter":  # one object found over and over
+        at = np.array([100.0, 100, 300, 260]) + rng.normal(size=(n, 4)) * 1.5
+    elif kind == "chain":  # each overlaps the next only
+        at = np.array([[i * 10.0, 0, i * 10.0 + 50, 40] for i in range(n)])
+    else:
+        low, size = rng.uniform(0, 2000, (n, 2)), np.exp(rng.normal(3, 1, (n, 2)))
+        at = np.concatenate([low, low + size], axis=1)
+    return at
+
+
+def _all_iou(at):
+    import numpy as np
+
+    area = (at[:, 2] - at[:, 0]) * (at[:, 3] - at[:, 1])
+    wide = np.maximum(0, np.minimum(at[:, None, 2], at[None, :, 2]) - np.maximum(at[:, None, 0], at[None, :, 0]))
+    high = np.maximum(0, np.minimum(at[:, None, 3], at[None, :, 3]) - np.maximum(at[:, None, 1], at[None, :, 1]))
+    return wide * high / (area[:, None] + area[None, :] - wide * high)
+
+
+@pytest.mark.parametrize("kind", ["jitter", "chain", "spread"])
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.67, 0.98])
+def test_fold_of_a_crowded_image(kind, threshold):
+    import numpy as np
+
+    from boxloom.operators import crowded as C
+
+    at = _boxes(np.random.default_rng(2), 700, kind)
+    near = _all_iou(at) >= threshold
+    gone = np.zeros(len(at), bool)
+    for i in range(len(at)):
+        if not gone[i]:
+            gone[i + 1:] |= near[i, i + 1:]
+    assert (C.select(at, threshold)[0] == gone).all()
+    root = np.arange(len(at))
+    while (new := np.array([root[near[i]].min() for i in range(len(at))])).tolist() != root.tolist():
+        root = new
+    assert (C.flood(at, threshold)[0] == root).all()
+
+
+def test_near_linear_pairs_and_long_chains():
+    import numpy as np
+
+    from boxloom.operators import crowded as C
+
+    rng = np.random.default_rng(4)
+    for n in (5_000, 20_000):
+        at = _boxes(rng, n, "jitter")
+        assert C.select(at, 0.5)[1] < 4 * n and C.flood(at, 0.5)[1] < 4 * n
+        far = _boxes(rng, n, "spread")
+        assert C.select(far, 0.5)[1] < 40 * n
+    chain = _boxes(rng, 1_001, "chain")
+    assert set(C.flood(chain, 0.6)[0]) == {0} and C.select(chain, 0.6)[0].sum() == 500
+
+
+@pytest.mark.parametrize("kind", ["jitter", "chain", "spread"])
+def test_rounds_of_leaders(spark, kind):
+    """Keys beyond a fold: rounds on all executors come to the same selection, dense clusters in one round."""
+    import numpy as np
+
+    from boxloom.operators import crowded as C
+
+    at = _boxes(np.random.default_rng(5), 300, kind)
+    df = spark.createDataFrame([(1, i, i, *map(float, b)) for i, b in enumerate(at)], "image_id long, pos long, _mid long, x1 double, y1 double, x2 double, y2 double")
+    want = {i for i, gone in enumerate(C.select(at, 0.5)[0]) if gone}
+    assert {r[0] for r in C.dropped(df, ["image_id"], "pos", 0.5, fold_boxes={"chain": 296}.get(kind, 200)).collect()} == want
+    gone, left = C.lead_round(df, ["image_id"], "pos", 0.5)
+    assert left.count() < {"jitter": 30, "chain": 299, "spread": 200}[kind] and {r[0] for r in gone.collect()} <= want
