@@ -78,6 +78,18 @@ class Field:
                             del self.cells[lw, lh, cx, cy]
         return np.concatenate(hits) if hits else np.zeros(0, int)
 
+    def near(self, i: int) -> np.ndarray:
+        """The boxes after box i that overlap it at the threshold; nothing is closed."""
+        found = []
+        for lw, lh, across, down in self._spans(i):
+            for cx in across:
+                for cy in down:
+                    if (there := self.cells.get((lw, lh, cx, cy))) is not None:
+                        there = there[there > i]
+                        self.met += len(there)
+                        found.append(there[self._iou(i, there) >= self.threshold])
+        return np.concatenate(found) if found else np.zeros(0, int)
+
     def _iou(self, i: int, others: np.ndarray) -> np.ndarray:
         a, b = self.corners[i], self.corners[others]
         wide = np.maximum(0.0, np.minimum(a[2], b[:, 2]) - np.maximum(a[0], b[:, 0]))
@@ -108,10 +120,19 @@ def flood(corners: np.ndarray, threshold: float) -> tuple[np.ndarray, int]:
     return root, field.met
 
 
-def _folded(df: DataFrame, keys: list[str], order: str, fold: Callable) -> DataFrame:
-    """Over (keys, order, _mid, corners): (_mid, to) rows of ``fold`` (mids and corners of one key in order)."""
-    columns = ["_key", "_mid", *CORNERS]
-    rows = df.select(F.to_json(F.struct(*keys)).alias("_key"), F.col(order).alias("_order"), "_mid", *[F.col(c).cast("double").alias(c) for c in CORNERS])
+def clashes(corners: np.ndarray, kinds: np.ndarray, weights: np.ndarray, threshold: float) -> int:
+    """Pairs of boxes of different kinds that overlap, each box standing for ``weights`` equal ones."""
+    field, total = Field(corners, threshold), 0
+    for i in range(len(corners)):
+        near = field.near(i)
+        total += int(weights[i]) * int(weights[near[kinds[near] != kinds[i]]].sum())
+    return total
+
+
+def _folded(df: DataFrame, keys: list[str], order: str, fold: Callable, *more: str) -> DataFrame:
+    """Over (keys, order, _mid, corners, more): (_mid, to) rows of ``fold`` (rows of one key in order)."""
+    columns = ["_key", "_mid", *CORNERS, *more]
+    rows = df.select(F.to_json(F.struct(*keys)).alias("_key"), F.col(order).alias("_order"), "_mid", *[F.col(c).cast("double").alias(c) for c in CORNERS], *more)
     ordered = rows.repartition("_key").sortWithinPartitions("_key", "_order").select(*columns)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,10 +144,10 @@ def _folded(df: DataFrame, keys: list[str], order: str, fold: Callable) -> DataF
             key = frame["_key"].to_numpy()
             starts = np.r_[0, 1 + np.flatnonzero(key[1:] != key[:-1])]
             for lo, hi in zip(starts[:-1], starts[1:]):
-                yield fold(frame["_mid"].to_numpy()[lo:hi], frame[CORNERS].to_numpy()[lo:hi])
+                yield fold(frame.iloc[lo:hi])
             rest = frame.iloc[starts[-1]:]
         if rest is not None and not rest.empty:
-            yield fold(rest["_mid"].to_numpy(), rest[CORNERS].to_numpy())
+            yield fold(rest)
 
     return ordered.mapInPandas(run, "_mid long, to long")
 
@@ -136,8 +157,8 @@ def dropped(df: DataFrame, keys: list[str], order: str, threshold: float, fold_b
 
     Over a written table with the keys, ``order``, a unique ``_mid`` and corners of boxes with an area.
     """
-    def fold(mid: np.ndarray, corners: np.ndarray) -> pd.DataFrame:
-        gone = mid[select(corners, threshold)[0]]
+    def fold(part: pd.DataFrame) -> pd.DataFrame:
+        gone = part["_mid"].to_numpy()[select(part[CORNERS].to_numpy(), threshold)[0]]
         return pd.DataFrame({"_mid": gone, "to": gone})
 
     open_rows, gone = df.select(*keys, order, "_mid", *CORNERS), None
@@ -185,7 +206,17 @@ def lead_round(rows: DataFrame, keys: list[str], order: str, threshold: float) -
 
 def roots(df: DataFrame, keys: list[str], order: str, threshold: float) -> DataFrame:
     """(_mid, root): the first box of each box's component, for keys that one task folds."""
-    def fold(mid: np.ndarray, corners: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"_mid": mid, "to": mid[flood(corners, threshold)[0]]})
+    def fold(part: pd.DataFrame) -> pd.DataFrame:
+        mid = part["_mid"].to_numpy()
+        return pd.DataFrame({"_mid": mid, "to": mid[flood(part[CORNERS].to_numpy(), threshold)[0]]})
 
     return _folded(df, keys, order, fold).select("_mid", F.col("to").alias("root"))
+
+
+def clash_counts(df: DataFrame, keys: list[str], order: str, kind: str, weight: str, threshold: float) -> DataFrame:
+    """(_mid, pairs): the clashing pairs of each key that one task folds, at its first box."""
+    def fold(part: pd.DataFrame) -> pd.DataFrame:
+        pairs = clashes(part[CORNERS].to_numpy(), part[kind].to_numpy(), part[weight].to_numpy(), threshold)
+        return pd.DataFrame({"_mid": part["_mid"].iloc[:1], "to": [pairs]})
+
+    return _folded(df, keys, order, fold, kind, weight).select("_mid", F.col("to").alias("pairs"))

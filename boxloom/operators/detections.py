@@ -244,6 +244,69 @@ def conflict_images(df: DataFrame, threshold: float = V.MERGE_IOU, bound: int =
     return found.unionByName(clashing)
 
 
+def image_folds(df: DataFrame, threshold: float = V.MERGE_IOU, bound: int = PAIR_BOUND, fold_boxes: int = crowded.FOLD_BOXES) -> DataFrame:
+    """(image_id, boxes, merged, clash_pairs, mappings): all that the merged training set needs, from one shuffle of the boxes.
+
+    Over (image_id, line_no, source_class, target_class, xc, yc, w, h and more). ``merged`` is an array of what
+    ``merge_overlaps`` gives, ``clash_pairs`` the number of pairs that ``conflicts`` would list, ``mappings`` the distinct
+    source and target classes. An image of up to ``bound`` boxes has one row. A larger one has several, to be summed: one
+    for each merged box and each mapping, and one with its pairs, which are counted without being formed as rows.
+    """
+    df = with_corners(df)
+    cold, hot = split_hot(df, ["image_id"], bound)
+    rest = [c for c in df.columns if c != "image_id"]
+    row = F.struct((F.col("w") * F.col("h")).alias("_area"), (-F.col("line_no")).alias("_back"), *rest)
+    boxes = F.col("_all")
+
+    def near(a: Column, b: Column) -> Column:
+        return B.iou(tuple(a[c] for c in CORNERS), tuple(b[c] for c in CORNERS)) >= threshold
+
+    def step(found: Column, box: Column) -> Column:
+        def touches(group: Column) -> Column:
+            return F.exists(group, lambda o: (o["target_class"] == box["target_class"]) & near(o, box))
+
+        return F.concat(F.filter(found, lambda g: ~touches(g)), F.array(F.concat(F.flatten(F.filter(found, touches)), F.array(box))))
+
+    def one(group: Column) -> Column:
+        best = F.array_max(group)
+        return F.struct(*[best[c].alias(c) for c in rest], F.size(group).cast("long").alias("merged_from"))
+
+    groups = F.when(F.size(boxes) == 1, F.array(boxes)).otherwise(F.aggregate(boxes, F.slice(F.array(boxes), 1, 0), step))
+    clashing = F.aggregate(boxes, F.lit(0).cast("long"), lambda s, a: s + F.size(F.filter(
+        boxes, lambda b: (a["_back"] > b["_back"]) & (a["target_class"] != b["target_class"]) & near(a, b))))
+    out = (
+        cold.repartition("image_id").groupBy("image_id").agg(F.collect_list(row).alias("_all"))
+        .select(
+            "image_id", F.size(boxes).cast("long").alias("boxes"), F.transform(groups, one).alias("merged"),
+            F.when(F.size(boxes) == 1, F.lit(0).cast("long")).otherwise(clashing).alias("clash_pairs"),
+            F.array_distinct(F.transform(boxes, lambda b: F.struct(b["source_class"].alias("source_class"), b["target_class"].alias("target_class")))).alias("mappings"))
+    )
+    return out if hot is None else out.unionByName(_hot_folds(hot, out, threshold, fold_boxes))
+
+
+def _hot_folds(df: DataFrame, like: DataFrame, threshold: float, fold_boxes: int) -> DataFrame:
+    def rows(frame: DataFrame, **given: Column) -> DataFrame:
+        return frame.select("image_id", *[(given[c] if c in given else F.lit(None).cast(like.schema[c].dataType)).alias(c) for c in like.columns[1:]])
+
+    keys = ["image_id", "target_class"]
+    merged = _merge_hot(df, keys, [c for c in df.columns if c not in keys], threshold, fold_boxes)
+    fields = [f.name for f in like.schema["merged"].dataType.elementType.fields]
+    solid = df.where((F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1")))
+    firsts = cut(solid.groupBy(*keys, *CORNERS).agg(F.count(F.lit(1)).alias("_n")).withColumn("_mid", F.monotonically_increasing_id()))
+    fits, over = split_hot(firsts, ["image_id"], fold_boxes)
+    pairs = crowded.clash_counts(fits, ["image_id"], "_mid", "target_class", "_n", threshold)
+    counted = firsts.select("_mid", "image_id").join(pairs, "_mid")
+    if over is not None:
+        met = _grid_pairs(over, ["image_id"], threshold, "_mid").where(F.col("_a_target_class") != F.col("_b_target_class"))
+        counted = counted.unionByName(met.select(F.col("_a__mid").alias("_mid"), "image_id", (F.col("_a__n") * F.col("_b__n")).alias("pairs")))
+    mappings = df.select("image_id", "source_class", "target_class").distinct()
+    return (
+        rows(merged, boxes=F.col("merged_from"), merged=F.array(F.struct(*fields)))
+        .unionByName(rows(counted, clash_pairs=F.col("pairs")))
+        .unionByName(rows(mappings, mappings=F.array(F.struct("source_class", "target_class"))))
+    )
+
+
 def same_class_overlaps(df: DataFrame, bound: int = PAIR_BOUND) -> DataFrame:
     """Images with a suspicious pair of one class.
 

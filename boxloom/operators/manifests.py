@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from boxloom import vocabulary as V
 from boxloom.functions import text as X
-from boxloom.operators import detections as D
 from boxloom.operators import splits
 from boxloom.operators.stats import zero_filled
 
@@ -102,66 +101,59 @@ def effective_presence(factored: DataFrame, classes: DataFrame) -> DataFrame:
 
 # ---- the merged training set -----------------------------------------------
 
-def training_status(images: DataFrame, boxes: DataFrame, merged: DataFrame, iou: float = V.MERGE_IOU,
-                    seed: int = 42) -> DataFrame:
+def training_status(images: DataFrame, folds: DataFrame, seed: int = 42) -> DataFrame:
     """(image_id, path, source_folder, status, source_box_count, export_box_count).
 
     Splits are planned over all images; images with a conflict then leave their split for
     ``review_conflicts``. ``images`` carries image_id, path and perhaps source_folder (else the
-    first folder of the path); ``merged`` is the merge of ``boxes``.
+    first folder of the path); ``folds`` are the ``detections.image_folds`` of the boxes.
     """
     if "source_folder" not in images.columns:
         images = images.withColumn("source_folder", X.top_folder(F.col("path")))
     planned = splits.plan(images, "source_folder", "path", seed)
-    counts = merged.groupBy("image_id").agg(F.count(F.lit(1)).alias("_kept"), F.sum("merged_from").alias("_all"))
-    clash = D.conflict_images(boxes, iou).withColumn("_clash", F.lit(True))
-    return (
-        planned.join(counts, "image_id", "left").join(clash, "image_id", "left")
-        .select(
-            "image_id", "path", "source_folder",
-            F.when(F.col("_clash"), "review_conflicts").otherwise(F.col("split")).alias("status"),
-            F.coalesce("_all", F.lit(0)).alias("source_box_count"), F.coalesce("_kept", F.lit(0)).alias("export_box_count"),
-        )
+    known = folds.groupBy("image_id").agg(
+        F.sum("boxes").alias("_all"), F.sum(F.size("merged")).alias("_kept"), F.sum("clash_pairs").alias("_clashes"))
+    return planned.join(known, "image_id", "left").select(
+        "image_id", "path", "source_folder",
+        F.when(F.col("_clashes") > 0, "review_conflicts").otherwise(F.col("split")).alias("status"),
+        F.coalesce("_all", F.lit(0)).alias("source_box_count"), F.coalesce("_kept", F.lit(0)).alias("export_box_count"),
     )
 
 
-def training_summary(status: DataFrame, merged: DataFrame, conflict_pairs: DataFrame, label_files: DataFrame) -> DataFrame:
-    """(section, key, value) of the merged set: totals, splits, folders under review, dropped boxes, classes kept."""
+def training_summary(status: DataFrame, folds: DataFrame) -> DataFrame:
+    """(section, key, value) of the merged set: totals, splits, folders under review, dropped boxes, classes kept.
+
+    ``status`` and ``folds`` are read twice each; written tables serve best.
+    """
     review = F.col("status") == "review_conflicts"
+    zero, one = F.lit(0), F.lit(1)
     per_image = status.select(F.inline(F.array_compact(F.array(
-        _entry("total", F.lit("images"), F.lit(1)),
-        F.when(review, _entry("total", F.lit("review_conflict_images"), F.lit(1))),
-        F.when(review, _entry("review_folder", F.col("source_folder"), F.lit(1))),
-        F.when(~review, _entry("split", F.col("status"), F.lit(1))),
+        _entry("total", F.lit("images"), one),
+        _entry("total", F.lit("review_conflict_images"), F.when(review, one).otherwise(zero)),
+        _entry("total", F.lit("missing_label_count"), F.when(F.col("source_box_count") == 0, one).otherwise(zero)),
         _entry("total", F.lit("merged_box_drop_count"), F.col("source_box_count") - F.col("export_box_count")),
-    )))).groupBy("section", "key").agg(F.sum("value").alias("value"))
+        F.when(review, _entry("review_folder", F.col("source_folder"), one)),
+        F.when(~review, _entry("split", F.col("status"), one)),
+    ))))
     exported = status.where(~review).select("image_id")
-    classes = (
-        merged.groupBy("image_id", "target_class").agg(F.count(F.lit(1)).alias("value"))
-        .join(exported, "image_id", "left_semi")
-        .groupBy(F.lit("target_instances").alias("section"), F.col("target_class").alias("key")).agg(F.sum("value").alias("value"))
-    )
-    total = F.lit("total").alias("section")
-    pairs = conflict_pairs.agg(F.count(F.lit(1)).alias("value")).select(total, F.lit("review_conflict_pairs").alias("key"), "value")
-    missing = (
-        status.join(label_files.select("image_id"), "image_id", "left_anti").agg(F.count(F.lit(1)).alias("value"))
-        .select(total, F.lit("missing_label_count").alias("key"), "value")
-    )
-    return per_image.unionByName(classes).unionByName(pairs).unionByName(missing)
+    classes = folds.select("image_id", "merged.target_class").join(exported, "image_id", "left_semi").select(
+        F.lit("target_instances").alias("section"), F.explode("target_class").alias("key"), one.cast("long").alias("value"))
+    pairs = folds.select(F.lit("total").alias("section"), F.lit("review_conflict_pairs").alias("key"), F.coalesce("clash_pairs", zero).alias("value"))
+    # the totals are there even if there is nothing to count
+    totals = ["images", "review_conflict_images", "review_conflict_pairs", "merged_box_drop_count", "missing_label_count"]
+    empty = status.sparkSession.createDataFrame([("total", t, 0) for t in totals], "section string, key string, value long")
+    return per_image.unionByName(classes).unionByName(pairs).unionByName(empty).groupBy("section", "key").agg(F.sum("value").alias("value"))
 
 
 def _entry(section: str, key: Column, value: Column) -> Column:
     return F.struct(F.lit(section).alias("section"), key.alias("key"), value.cast("long").alias("value"))
 
 
-def source_target_presence(status: DataFrame, boxes: DataFrame) -> DataFrame:
+def source_target_presence(status: DataFrame, folds: DataFrame) -> DataFrame:
     """(pair, images): exported images per source->target class, counted once per image."""
-    pair = F.concat_ws("->", "source_class", "target_class").alias("pair")
     exported = status.where(F.col("status") != "review_conflicts").select("image_id")
-    return (
-        boxes.select("image_id", pair).distinct().join(exported, "image_id", "left_semi")
-        .groupBy("pair").agg(F.count(F.lit(1)).alias("images"))
-    )
+    pairs = folds.select("image_id", F.explode("mappings").alias("m")).select("image_id", F.concat_ws("->", "m.source_class", "m.target_class").alias("pair"))
+    return pairs.join(exported, "image_id", "left_semi").groupBy("pair").agg(F.count(F.lit(1)).alias("images"))
 
 
 # ---- manifests -------------------------------------------------------------

@@ -207,33 +207,29 @@ STATUS_SQL = COMPONENTS_SQL | {
 STATUS_NEEDS = ["mapped_boxes", "scenes"]
 
 
-def _status(i: Inputs):
-    """(status, merged boxes, boxes). The merge is written once: the status and the counts read it."""
-    images = i.scenes().select("image_id", F.concat_ws("/", "expected_class", F.concat(F.col("image_id").cast("string"), F.lit(".jpg"))).alias("path"),
-                               F.col("expected_class").alias("source_folder"))
-    boxes = i.mapped_boxes()
-    merged = cut(D.merge_overlaps(boxes))
-    return M.training_status(images, boxes, merged), merged, boxes
+def _scenes(i: Inputs):
+    return i.scenes().select("image_id", F.concat_ws("/", "expected_class", F.concat(F.col("image_id").cast("string"), F.lit(".jpg"))).alias("path"),
+                             F.col("expected_class").alias("source_folder"))
 
 
 @query("conflict_free_split", compose(STATUS_NEEDS, "select * from status", STATUS_SQL, recursive=True))
 def conflict_free_split(i: Inputs):
-    return _status(i)[0]
+    return M.training_status(_scenes(i), D.image_folds(i.mapped_boxes()))
 
 
 @query("split_counts", compose(STATUS_NEEDS, """
 select 'status' as section, status as key, count(*) as n from status group by status union all
 select 'source_folder', source_folder, count(*) from status group by source_folder""", STATUS_SQL, recursive=True))
 def split_counts(i: Inputs):
-    return stats.counts_by(_status(i)[0], "status", "source_folder")
+    return stats.counts_by(M.training_status(_scenes(i), D.image_folds(i.mapped_boxes())), "status", "source_folder")
 
 
 @query("source_target_presence", compose(STATUS_NEEDS, """
 select source_class || '->' || target_class as pair, count(distinct image_id) as images from mapped_boxes
 where image_id in (select image_id from status where status <> 'review_conflicts') group by 1""", STATUS_SQL, recursive=True))
 def source_target_presence(i: Inputs):
-    status, _, boxes = _status(i)
-    return M.source_target_presence(status, boxes)
+    folds = cut(D.image_folds(i.mapped_boxes()))
+    return M.source_target_presence(M.training_status(_scenes(i), folds), folds)
 
 
 @query("dataset_summary", compose(STATUS_NEEDS, """
@@ -247,8 +243,8 @@ select 'split', status, count(*) from status where status <> 'review_conflicts'
 select 'target_instances', target_class, count(*) from merged where image_id in (select image_id from status where status <> 'review_conflicts') group by target_class""",
     STATUS_SQL, recursive=True))
 def dataset_summary(i: Inputs):
-    status, merged, boxes = _status(i)
-    return M.training_summary(cut(status), merged, D.conflicts(boxes), boxes)
+    folds = cut(D.image_folds(i.mapped_boxes()))
+    return M.training_summary(cut(M.training_status(_scenes(i), folds)), folds)
 
 
 @query("label_text", compose(["mapped_boxes"], """

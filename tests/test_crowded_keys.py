@@ -388,3 +388,19 @@ def test_rounds_of_leaders(spark, kind):
     assert {r[0] for r in C.dropped(df, ["image_id"], "pos", 0.5, fold_boxes={"chain": 296}.get(kind, 200)).collect()} == want
     gone, left = C.lead_round(df, ["image_id"], "pos", 0.5)
     assert left.count() < {"jitter": 30, "chain": 299, "spread": 200}[kind] and {r[0] for r in gone.collect()} <= want
+
+
+def test_image_folds(inputs):
+    """One fold an image says what merging, conflicts and mappings say apart, also for crowded images and beyond one task."""
+    boxes = crowded(inputs).union(crowded(inputs).withColumn("line_no", F.col("line_no") + 7).withColumn("w", F.lit(0.0)).limit(20))
+    merged = sorted(map(tuple, D.merge_overlaps(boxes, 0.6).select("image_id", "target_class", "line_no", "merged_from").collect()))
+    pairs = dict(D.conflicts(boxes, 0.6).groupBy("image_id").count().collect())
+    mapped = {tuple(r) for r in boxes.select("image_id", "source_class", "target_class").distinct().collect()}
+    assert len(merged) > 50 and pairs and len(mapped) > 20
+    for bound, fold in ((10**6, 10**6), (1, 10**6), (1, 5)):
+        folds = D.image_folds(boxes, 0.6, bound, fold).cache()
+        got = folds.select("image_id", F.inline("merged")).select("image_id", "target_class", "line_no", "merged_from").collect()
+        assert sorted(map(tuple, got)) == merged
+        sums = {r["image_id"]: r for r in folds.groupBy("image_id").agg(F.sum("boxes").alias("n"), F.sum("clash_pairs").alias("p")).collect()}
+        assert {k: r["p"] for k, r in sums.items() if r["p"]} == pairs and sum(r["n"] for r in sums.values()) == boxes.count()
+        assert {tuple(r) for r in folds.select("image_id", F.inline("mappings")).collect()} == mapped
