@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from boxloom import vocabulary as V
@@ -15,7 +16,7 @@ from boxloom.plans.inputs import Inputs
 from boxloom.plans.oracle_inputs import compose
 from boxloom.streaming import ingest
 
-TARGET = 60
+TARGET, TARGET_STEPS = 60, 150
 
 
 def _events(i: Inputs):
@@ -48,6 +49,24 @@ def stream_quota(i: Inputs):
     return counts.withColumn("completed", F.col("accepted") >= TARGET)
 
 
+@query("stream_progress", compose(["arrivals"], f"""
+select step, class_id, label, count, count - coalesce(lag(count) over (partition by label order by step), 0) as gained, count >= {TARGET_STEPS} as completed
+from (select step, class_id, label, least({TARGET_STEPS}, count(distinct content_key) filter (where arrival_id % 3 < step)) as count
+  from arrivals, range(1, 4) s(step), (select label, row_number() over (order by label) - 1 as class_id from (select distinct label from arrivals)) c using (label)
+  group by all)""".replace("from arrivals, range(1, 4) s(step), (", "from arrivals cross join range(1, 4) s(step) join (")))
+def stream_progress(i: Inputs):
+    """Arrivals land in three parts, each picked up by a restart of the stream; what every class has after each of them."""
+    table, checkpoint, landing = (fresh_path(i.spark, n) for n in ("accepted", "accepted-state", "landing"))
+    rows = i.table("events").select(
+        F.col("event_id").alias("arrival_id"), "ts", F.col("event_type").alias("label"),
+        F.md5(F.concat_ws("|", F.col("user_id").cast("string"), F.col("event_type"))).alias("content_key"))
+    for part in range(3):
+        rows.where(F.col("arrival_id") % 3 == part).write.mode("append").parquet(landing)
+        ingest.collect_until_full(ingest.landed(i.spark, landing, rows.schema), table, checkpoint, TARGET_STEPS).awaitTermination()
+    labels = rows.select("label").distinct().withColumn("class_id", (F.row_number().over(W.orderBy("label")) - 1).cast("long"))
+    return ingest.progress_by_batch(i.spark, table, labels, TARGET_STEPS)
+
+
 def stub_scorer():
     """A stand-in detector: box, score and text follow from the image id and the prompt."""
     names = [V.PHRASES[n] for n in V.REVIEW_CLASSES]

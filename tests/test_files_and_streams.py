@@ -195,3 +195,83 @@ def test_only_new_images_are_scored(spark, tmp_path):
     shutil.rmtree(check)  # a lost checkpoint replays everything; the cache still knows it
     assert run([(6, "a", "s1", "bed"), (7, "d", "s7", "bed")]) == [1, 2, 4, 5, 7]
     assert len(spark.read.parquet(cache).collect()) == 5
+
+
+def test_quota_state_does_not_grow_with_the_stream(spark, tmp_path):
+    """Many batches, each reads the one state before it; old states go."""
+    from datetime import datetime
+
+    source, table, check = (str(tmp_path / n) for n in ("in", "accepted", "state"))
+    sizes = []
+    for k in range(6):
+        land(spark, [(100 * k + j, datetime(2024, 1, 1), "bed", f"{k}-{j}") for j in range(10)], source)
+        stream = ingest.landed(spark, source, "arrival_id long, ts timestamp_ntz, label string, content_key string")
+        ingest.collect_until_full(stream, table, check, target=15).awaitTermination()
+        filed = ingest._filed(spark, ingest.state_of(table))
+        assert len(filed) <= 2
+        sizes.append(spark.read.parquet(ingest._folder(ingest.state_of(table), filed[-1])).count())
+    assert sizes == [10, 15, 15, 15, 15, 15]
+    rows = [tuple(r) for r in ingest.progress_by_batch(spark, table, V.classes(spark, ["bed", "sofa"]), 15).orderBy("step", "label").collect()]
+    assert rows[:4] == [(1, 0, "bed", 10, 10, False), (1, 1, "sofa", 0, 0, False), (2, 0, "bed", 15, 5, True), (2, 1, "sofa", 0, 0, False)]
+    assert len(rows) == 12 and rows[-2:] == [(6, 0, "bed", 15, 0, True), (6, 1, "sofa", 0, 0, False)]
+
+
+def dying(monkeypatch, table):
+    """The next write to ``table`` fails."""
+    real = ingest.write_batch
+
+    def write(df, to, run, batch):
+        if to == table:
+            monkeypatch.setattr(ingest, "write_batch", real)
+            raise RuntimeError("lost between the two writes")
+        real(df, to, run, batch)
+
+    monkeypatch.setattr(ingest, "write_batch", write)
+
+
+@pytest.mark.parametrize("lost", [True, False])
+def test_quota_batch_that_died_between_its_writes(spark, tmp_path, monkeypatch, lost):
+    from datetime import datetime
+
+    source, table, check = (str(tmp_path / n) for n in ("in", "accepted", "state"))
+
+    def run():
+        stream = ingest.landed(spark, source, "arrival_id long, ts timestamp_ntz, label string, content_key string")
+        ingest.collect_until_full(stream, table, check, target=5).awaitTermination()
+
+    land(spark, [(k, datetime(2024, 1, 1), "bed", f"k{k}") for k in range(3)], source)
+    run()
+    land(spark, [(k, datetime(2024, 1, 1), "bed", f"k{k}") for k in range(3, 9)], source)
+    dying(monkeypatch, ingest.state_of(table))
+    with pytest.raises(Exception):
+        run()
+    assert spark.read.parquet(table).count() == 5  # the rows stand there, uncommitted
+    if lost:
+        shutil.rmtree(check)
+    run()
+    rows = [r.content_key for r in spark.read.parquet(table).collect()]
+    assert sorted(rows) == ["k0", "k1", "k2", "k3", "k4"]
+
+
+@pytest.mark.parametrize("lost", [True, False])
+def test_boxes_of_a_batch_that_died_before_its_cache_entry(spark, tmp_path, monkeypatch, lost):
+    source, cache, boxes, check = (str(tmp_path / n) for n in ("in", "cache", "boxes", "state"))
+    schema = "export_stem string, sha1 string, source_class string"
+    full = f"image_id long, {schema}"
+
+    def run(rows):
+        if rows:
+            spark.createDataFrame(rows, full).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(full).parquet(source)
+        ingest.detect_new(stream, cache, boxes, check, lambda p: p.select("image_id", F.lit("bed").alias("label")), schema).awaitTermination()
+
+    run([(1, "a", "s1", "bed")])
+    dying(monkeypatch, cache)
+    with pytest.raises(Exception):
+        run([(2, "b", "s2", "bed"), (3, "a", "s1", "bed")])
+    assert spark.read.parquet(boxes).count() == 2
+    if lost:
+        shutil.rmtree(check)
+    run([])
+    assert sorted(r.image_id for r in spark.read.parquet(boxes).collect()) == [1, 2]
+    assert spark.read.parquet(cache).count() == 2
