@@ -55,6 +55,26 @@ def features(image: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([r or empty for r in rows], columns=[f.name for f in FEATURES])
 
 
+def upright(grid: np.ndarray, orientation: int) -> np.ndarray:
+    """A picture (rows first) turned as its orientation tag says."""
+    turn = {2: lambda g: g[:, ::-1], 3: lambda g: g[::-1, ::-1], 4: lambda g: g[::-1], 5: lambda g: g.swapaxes(0, 1),
+            6: lambda g: np.rot90(g, -1), 7: lambda g: g[::-1, ::-1].swapaxes(0, 1), 8: lambda g: np.rot90(g)}
+    return turn.get(orientation, lambda g: g)(grid)
+
+
+@F.pandas_udf(T.StructType(FEATURES.fields[3:]))
+def turned(ahash: pd.Series, vector: pd.Series, orientation: pd.Series) -> pd.DataFrame:
+    """Hash and thumbnail of the upright picture: both are grids of means, so turning moves their cells."""
+    out = []
+    for bits, flat, how in zip(ahash, vector, orientation):
+        if bits is not None and how and how > 1:
+            grid = upright(np.array(list(f"{int(bits, 16):064b}")).reshape(8, 8), int(how))
+            bits = f"{int("".join(grid.ravel()), 2):016x}"
+            flat = np.concatenate([upright(c, int(how)).ravel() for c in np.asarray(flat).reshape(3, 32, 32)])
+        out.append((bits, flat))
+    return pd.DataFrame(out, columns=["ahash", "vector"])
+
+
 def signature(image: Column) -> Column:
     """SHA-1 of the size and the pixels, equal for re-encodings of one picture."""
     size = F.concat(image["width"].cast("string"), F.lit("x"), image["height"].cast("string"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from boxloom import vocabulary as V
 from boxloom.functions import pixels
 from boxloom.functions import text as X
+from boxloom.functions.headers import HEAD_BYTES, headers
 from boxloom.sources.labels import _decoded, relative
 
 
@@ -39,21 +40,30 @@ def split_tree_samples(spark: SparkSession, root: str, group: str, suffixes: lis
 
 
 def decoded(spark: SparkSession, root: str) -> DataFrame:
-    """(path, file_size, sha1, width, height, signature, white, dark, red_std, ahash, vector).
+    """(path, file_size, sha1, width, height, orientation, signature, white, dark, red_std, ahash, vector).
 
-    Bytes and pixels are read once each and dropped in the same stage: neither crosses a
-    shuffle. An image the JVM cannot decode has width -1.
+    Bytes and pixels are read once each and dropped in the same stage: neither crosses a shuffle. Size, hash and
+    thumbnail are those of the upright picture, as its orientation tag says. A picture that the JVM cannot decode
+    has the size that its header names (webp, avif) and no pixel facts; one without a readable header has width -1.
     """
     base = root.rstrip("/")
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select(
-        relative(F.col("path"), base).alias("path"), F.col("length").alias("file_size"), F.sha1("content").alias("sha1"))
+        relative(F.col("path"), base).alias("path"), F.col("length").alias("file_size"), F.sha1("content").alias("sha1"),
+        headers(F.substring("content", 1, HEAD_BYTES)).alias("_h"))
     shown = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(base)
     image = F.col("image")
     pixel = shown.select(
-        relative(_decoded(image["origin"]), base).alias("path"), image["width"].alias("width"), image["height"].alias("height"),
+        relative(_decoded(image["origin"]), base).alias("path"), image["width"].alias("_w"), image["height"].alias("_t"),
         F.when(image["width"] > 0, pixels.signature(image)).alias("signature"), pixels.features(image).alias("_f"),
-    ).select("path", "width", "height", "signature", "_f.*")
-    return raw.where(X.suffix(F.col("path")).isin(V.DEDUPE_SUFFIXES)).join(pixel, "path", "left")
+    ).select("path", "_w", "_t", "signature", "_f.*")
+    both = raw.where(X.suffix(F.col("path")).isin(V.DEDUPE_SUFFIXES)).join(pixel, "path", "left")
+    wide, high = (F.when(F.col(c) > 0, F.col(c)).otherwise(F.coalesce(F.col(f"_h.{h}"), F.lit(-1))) for c, h in (("_w", "width"), ("_t", "height")))
+    turn = F.coalesce(F.col("_h.orientation"), F.lit(1))
+    names = ["white", "dark", "red_std"]
+    return both.select(
+        "path", "file_size", "sha1", F.when(turn >= 5, high).otherwise(wide).alias("width"), F.when(turn >= 5, wide).otherwise(high).alias("height"),
+        turn.alias("orientation"), "signature", *names, pixels.turned("ahash", "vector", turn).alias("_u"),
+    ).select("path", "file_size", "sha1", "width", "height", "orientation", "signature", *names, "_u.ahash", "_u.vector")
 
 
 def quarantine(images: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -275,3 +275,73 @@ def test_boxes_of_a_batch_that_died_before_its_cache_entry(spark, tmp_path, monk
     run([])
     assert sorted(r.image_id for r in spark.read.parquet(boxes).collect()) == [1, 2]
     assert spark.read.parquet(cache).count() == 2
+
+
+def exif(value, order="<"):
+    mark = b"II" if order == "<" else b"MM"
+    return mark + struct.pack(order + "HIHHHIHH", 42, 8, 1, 0x0112, 3, 1, value, 0) + b"\0" * 4
+
+
+def jpeg(spark, rgb, orientation=None, order="<"):
+    """A JPEG as the JVM writes it, with an orientation tag put in front."""
+    jvm = spark._jvm
+    h, w, _ = rgb.shape
+    image = jvm.java.awt.image.BufferedImage(w, h, 1)
+    for y in range(h):
+        for x in range(w):
+            r, g, b = (int(c) for c in rgb[y, x])
+            image.setRGB(x, y, r << 16 | g << 8 | b)
+    out = jvm.java.io.ByteArrayOutputStream()
+    assert jvm.javax.imageio.ImageIO.write(image, "jpg", out)
+    data = bytes(out.toByteArray())
+    if orientation is None:
+        return data
+    body = b"Exif\0\0" + exif(orientation, order)
+    return data[:2] + b"\xff\xe1" + struct.pack(">H", len(body) + 2) + body + data[2:]
+
+
+def webp(kind, w, h, more=b""):
+    body = {
+        b"VP8X": b"\0" * 4 + (w - 1).to_bytes(3, "little") + (h - 1).to_bytes(3, "little"),
+        b"VP8L": b"\x2f" + ((w - 1) | (h - 1) << 14).to_bytes(4, "little") + b"\0",
+        b"VP8 ": b"\0\0\0\x9d\x01\x2a" + struct.pack("<HH", w, h),
+    }[kind]
+    chunks = kind + struct.pack("<I", len(body)) + body + more
+    return b"RIFF" + struct.pack("<I", len(chunks) + 4) + b"WEBP" + chunks
+
+
+def test_headers():
+    from boxloom.functions.headers import header
+
+    assert header(png(np.zeros((4, 7, 3)))) == (7, 4, 1)
+    for kind in (b"VP8X", b"VP8L", b"VP8 "):
+        assert header(webp(kind, 320, 200)) == (320, 200, 1)
+    tag = exif(6)
+    assert header(webp(b"VP8X", 32, 20, b"EXIF" + struct.pack("<I", len(tag)) + tag)) == (32, 20, 6)
+    avif = b"\0\0\0\x1cftypavif" + b"\0" * 30 + b"\0\0\0\x14ispe\0\0\0\0" + struct.pack(">II", 64, 48) + b"\0\0\0\x09irot\x01"
+    assert header(avif) == (64, 48, 8)
+    assert header(b"GIF89a" + struct.pack("<HH", 5, 6)) == (5, 6, 1) and header(b"BM" + b"\0" * 16 + struct.pack("<ii", 3, -4)) == (3, 4, 1)
+    for bad in (None, b"", b"RIFF", b"RIFF1234WEBP", b"\xff\xd8\xff\xe1", b"\xff\xd8\xff\xda\0\0", b"not a picture", b"\0\0\0\x1cftypavif"):
+        assert header(bad) is None
+
+
+def test_upright_pictures(spark, tmp_path):
+    """All eight orientations have size, hash and thumbnail of the picture as it is meant; webp stays with size and hash."""
+    rng = np.random.default_rng(3)
+    meant = np.kron(rng.integers(0, 256, (4, 8, 1)).repeat(3, axis=2), np.ones((16, 16, 1))).astype("uint8")
+    back = {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 8, 7: 7, 8: 6}
+    for k in range(1, 9):
+        stored = pixels.upright(meant, back[k])
+        (tmp_path / f"{k}.jpg").write_bytes(jpeg(spark, stored, k, "<>"[k % 2]))
+    (tmp_path / "plain.jpg").write_bytes(jpeg(spark, meant))
+    (tmp_path / "w.webp").write_bytes(webp(b"VP8L", 30, 20))
+    good, skipped = I.quarantine(I.decoded(spark, str(tmp_path)))
+    rows = {r.path: r for r in good.collect()}
+    assert skipped.count() == 0 and len(rows) == 10
+    plain = rows["plain.jpg"]
+    for k in range(1, 9):
+        r = rows[f"{k}.jpg"]
+        assert (r.width, r.height, r.orientation) == (128, 64, k) and r.ahash == plain.ahash
+        assert np.abs(np.array(r.vector) - np.array(plain.vector)).max() < 0.01
+    w = rows["w.webp"]
+    assert (w.width, w.height, w.white) == (30, 20, None) and w.sha1 == hashlib.sha1((tmp_path / "w.webp").read_bytes()).hexdigest()
