@@ -14,6 +14,7 @@ from boxloom.plans.box_queries import COMPONENTS_SQL
 from boxloom.plans.catalog import query
 from boxloom.plans.inputs import Inputs
 from boxloom.plans.oracle_inputs import compose
+from boxloom.sources import descriptors
 from boxloom.sources import labels as L
 
 NUMERIC = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -99,6 +100,66 @@ def label_match_stats(i: Inputs):
     return stats.label_match_stats(matched, missing, L.parse_tolerant(matched), images)
 
 
+DEFAULT_NAMES = ["first", "second"]
+_QUOTES = "'''\"'"  # both kinds of quotation marks, as an SQL string
+NAMES_SQL = {
+    "written": """select 'd' || d || '.yaml' as file, k as line_no, case when k = 0 then 'train: images/' || p_type when k = 1 then '0: early'
+        when k = 2 then '' when k = 3 then case when d % 4 = 3 then 'labels:' else 'names:' end when k = 4 then '  # ' || p_name
+        when k = 12 then case when d % 3 = 0 then 'names:' else '  note' end
+        when k = 16 then case when d % 5 < 3 then 'val: ' || p_name else '  7 : ''' || p_brand || '''' end
+        when k = 17 then '  3: ' || p_name when k = 18 then '- ' || p_brand when d % 4 = 0 then '  ' || (k * 2 - 9) || ': "' || p_name || '"'
+        when d % 4 = 1 then '  - ''' || p_name || '''' when d % 4 = 2 then chr(9) || '''' || p_partkey % 7 || ''' : ' || p_brand
+        else '  ' || p_partkey % 5 || ': ' || p_brand end as value
+      from (select *, p_partkey // 24 as d, (p_partkey % 24)::int as k from part)""",
+    "parts": """select file, line_no, s, value like ' %' or value like chr(9) || '%' as inside, contains(s, ':') as colon,
+        trim(split_part(s, ':', 1)) as l, case when contains(s, ':') then trim(substr(s, strpos(s, ':') + 1)) else '' end as r
+      from (select *, trim(value, ' ' || chr(9)) as s from written)""",
+    "begun": """select * from (select *, min(case when s = 'names:' then line_no end) over (partition by file) as lo from parts
+      where s <> '' and s not like '#%') where line_no > lo and s <> 'names:'""",
+    "kinds": f"select *, colon and regexp_full_match(trim(l, {_QUOTES}), '[0-9]+') as mapped from begun",
+    "loose": """select * from (select *, min(case when not mapped and s not like '- %' and not inside then line_no end) over (partition by file) as hi
+      from kinds) where hi is null or line_no < hi""",
+    "ids": f"select file, trim(l, {_QUOTES})::int as class_id, arg_max(trim(r, {_QUOTES}), line_no) as label from loose where mapped group by all",
+    "tight": f"""select * from (select *, min(case when not inside then line_no end) over (partition by file) as hi from begun)
+      where (hi is null or line_no < hi) and colon and regexp_full_match(l, '[0-9]+') and trim(r, {_QUOTES}) <> ''""",
+    "ordered": f"select file, l::int as class_id, arg_max(trim(r, {_QUOTES}), line_no) as label from tight group by all",
+}
+
+
+@query("class_dictionaries", compose([], f"""
+select 'tolerant' as reader, e.file, e.class_id, coalesce(i.label, 'class_' || e.class_id) as label
+from (select file, unnest(range(0, max(class_id) + 1))::int as class_id from ids group by file) e left join ids i using (file, class_id) union all
+select 'tolerant', file, (row_number() over (partition by file order by line_no) - 1)::int, trim(trim(substr(s, 3)), {_QUOTES}) from loose
+where not mapped and s like '- %' and file not in (select file from ids) union all
+select 'scoped', file, (row_number() over (partition by file order by class_id) - 1)::int, label from ordered union all
+select 'scoped', file, k::int, ({DEFAULT_NAMES})[k + 1] from (select distinct file from written where file not in (select file from ordered)), range(0, 2) t(k)
+union all select 'strict', file, l::int, arg_max(r, line_no) from parts where colon and regexp_full_match(l, '[0-9]+') group by file, l::int""", NAMES_SQL))
+def class_dictionaries(i: Inputs):
+    """Descriptors of 24 lines, written from the parts, through the three readers of class names."""
+    lines = _descriptor_lines(i)
+    read = {"tolerant": descriptors.tolerant(lines), "scoped": descriptors.scoped(lines, DEFAULT_NAMES), "strict": descriptors.strict(lines)}
+    named = [df.select(F.lit(n).alias("reader"), "file", "class_id", "label") for n, df in read.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
+def _descriptor_lines(i: Inputs):
+    k, d, name, brand = F.col("p_partkey") % 24, F.floor(F.col("p_partkey") / 24), F.col("p_name"), F.col("p_brand")
+
+    def text(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+    other = (
+        F.when(d % 4 == 0, text("  ", k * 2 - 9, ': "', name, '"')).when(d % 4 == 1, text("  - '", name, "'"))
+        .when(d % 4 == 2, text("\t'", F.col("p_partkey") % 7, "' : ", brand)).otherwise(text("  ", F.col("p_partkey") % 5, ": ", brand)))
+    value = (
+        F.when(k == 0, text("train: images/", F.col("p_type"))).when(k == 1, "0: early").when(k == 2, "")
+        .when(k == 3, F.when(d % 4 == 3, "labels:").otherwise("names:")).when(k == 4, text("  # ", name))
+        .when(k == 12, F.when(d % 3 == 0, "names:").otherwise("  note"))
+        .when(k == 16, F.when(d % 5 < 3, text("val: ", name)).otherwise(text("  7 : '", brand, "'")))
+        .when(k == 17, text("  3: ", name)).when(k == 18, text("- ", brand)).otherwise(other))
+    return i.table("part").select(text("d", d, ".yaml").alias("file"), k.cast("int").alias("line_no"), value.alias("value"))
+
+
 @query("label_presence", compose(["detections", "classes"], """
 select class_id, c.label, count(distinct image_id) as images, count(image_id) as instances
 from classes c left join detections d on d.label = c.label group by class_id, c.label"""))

@@ -9,18 +9,23 @@ from pyspark.sql import functions as F
 
 from boxloom.functions import boxes as B
 from boxloom.functions import text as X
+from boxloom.sources import listing
 
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 SPACE = r"[\s\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 NUMBER = r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 
 
-def read_label_files(spark: SparkSession, root: str) -> DataFrame:
+def read_label_files(spark: SparkSession, root: str, shares: int = 4) -> DataFrame:
     """(path, text) of every .txt under ``root``, paths relative to it.
 
-    Spark's readers return no row for a zero-byte file, yet an empty label file means
-    "looked at, nothing there"; the file index Spark already holds adds them back.
+    Spark's readers return no row for a zero-byte file, yet an empty label file means "looked at, nothing there". In a
+    mounted folder the executors list and read the files themselves; the driver sees first-level folders only. In other
+    stores the file index that Spark holds on the driver adds the empty ones back.
     """
+    if folder := listing.mounted(spark, root):
+        spark.dataSource.register(listing.LabelFolder)
+        return spark.read.format(listing.NAME).option("shares", shares).load(folder)
     base = root.rstrip("/")
     found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(base, wholetext=True)
     full = found.select(relative(_decoded(F.col("_metadata.file_path")), base).alias("path"), F.col("value").alias("text"))

@@ -335,3 +335,51 @@ def test_character_references_decode_once(spark):
     got = {r.n: r.u for r in df.select("n", unescape(F.col("t")).alias("u")).collect()}
     assert got.pop(99) is None
     assert [got[n] for n in range(len(texts))] == [html.unescape(t) for t in texts]
+
+
+def test_class_dictionary_readers(spark):
+    from boxloom.sources import descriptors as N
+
+    def read(fn, text, *more):
+        rows = [("f", k, v) for k, v in enumerate(text.split("\n"))]
+        return [(r.class_id, r.label) for r in fn(spark.createDataFrame(rows, "file string, line_no int, value string"), *more).orderBy("class_id").collect()]
+
+    both = "nc: 2\n5: early\nnames:\n  # note\n\n  0: 'bed'\n  2: \"water: feature\"\nnames:\n1: flat\nval: x\n  4: late"
+    assert read(N.tolerant, both) == [(0, "bed"), (1, "flat"), (2, "water: feature")]
+    assert read(N.scoped, both, ["x"]) == [(0, "bed"), (1, "water: feature")]
+    assert read(N.strict, both) == [(0, "'bed'"), (1, "flat"), (2, '"water: feature"'), (4, "late"), (5, "early")]
+    listed = "names:\n- bed\n  - 'sofa'\n  odd\nend\n- late"
+    assert read(N.tolerant, listed) == [(0, "bed"), (1, "sofa")] and read(N.scoped, listed, ["x", "y"]) == [(0, "x"), (1, "y")]
+    assert read(N.tolerant, "names:\n  3: a\n  - b\n  3: c") == [(0, "class_0"), (1, "class_1"), (2, "class_2"), (3, "c")]
+    assert read(N.tolerant, "0: bed") == [] and read(N.scoped, "names:\n  0: \n", ["x"]) == [(0, "x")]
+    with pytest.raises(Exception, match="no class names in f"):
+        read(N.strict, listed)
+
+
+def test_label_listing_on_executors(spark, tmp_path, monkeypatch):
+    """Folders at any depth, names with blanks and other letters, empty and hidden files; no file name reaches the driver."""
+    import os
+
+    from boxloom.sources import listing
+
+    want = {}
+    for k in range(2000):
+        path = f"{['', 'a/', 'a/b c/', 'ü/'][k % 4]}{k} +%41é.txt"
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        want[path] = "" if k % 3 == 0 else f"{k} 0.5 0.5 0.1 0.1\n"
+        (tmp_path / path).write_text(want[path])
+    for path in ("a/_x.txt", ".y.txt", "a/z.TXT", "a/img.jpg", "_dir/w.txt"):
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / path).write_text("1")
+    (tmp_path / "a/bad.txt").write_bytes(b"\xff1")
+    want["a/bad.txt"] = "�1"
+    reader = listing.LabelReader({"path": str(tmp_path), "shares": "3"})
+    seen = []
+    real = os.scandir
+    monkeypatch.setattr(os, "scandir", lambda p: seen.append(str(p)) or real(p))
+    parts = reader.partitions()
+    assert seen == [str(tmp_path)] and {p.folder for p in parts} == {"", "a", "ü"} and len(parts) == 9
+    monkeypatch.undo()
+    got = L.read_label_files(spark, str(tmp_path), shares=3)
+    assert {r.path: r.text for r in got.collect()} == want and got.count() == len(want)
+    assert L.read_label_files(spark, f"file://{tmp_path}").count() == len(want)
