@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from boxloom import vocabulary as V
 from boxloom.cluster import cut
-from boxloom.functions import pixels
+from boxloom.functions import bitmaps, pixels
 from boxloom.functions import text as X
 from boxloom.operators import dedupe, detections as D, flags, manifests, neardup, splits, stats
 from boxloom.plans.box_queries import SAME_CLASS_BODY, nms_oracle
@@ -167,6 +167,48 @@ def dedupe_report(i: Inputs):
     return dedupe.report(dedupe.one_per_removed(_two_rounds(i)), renames, images.where(F.col("height") <= 300))
 
 
+# ---- pixels of bitmaps in a table ------------------------------------------
+
+BMP_HEAD = "424df6000000000000003600000028000000" + "08000000" + "08000000" + "01001800" + "00000000" + "c0000000" + "00" * 16
+GREY_SQL = "select vec_id as image_id, list_transform(embedding, lambda e: greatest(0, least(255, floor(128 + 500 * e::double)))::int) as v from embeddings"
+
+
+def _bitmaps(i: Inputs):
+    """(image_id, content): each vector as a grey bitmap of 8 x 8 points with 24 bits."""
+    grey = F.transform("embedding", lambda e: F.greatest(F.lit(0), F.least(F.lit(255), F.floor(128 + 500 * e.cast("double")))))
+    points = F.transform(grey, lambda v: F.repeat(F.lpad(F.hex(v.cast("long")), 2, "0"), F.lit(3)))
+    rows = F.transform(F.sequence(F.lit(7), F.lit(0), F.lit(-1)), lambda y: F.array_join(F.slice(points, y * 8 + 1, 8), ""))  # from the bottom
+    return i.table("embeddings").select(
+        F.col("vec_id").alias("image_id"), F.unhex(F.concat(F.lit(BMP_HEAD), F.array_join(rows, ""))).alias("content"))
+
+
+def _seen(i: Inputs):
+    return _bitmaps(i).select("image_id", bitmaps.image("content").alias("image"))
+
+
+@query("pixel_signature", compose([], """
+select image_id, 8 as width, 8 as height, sha1('8x8'::blob || unhex(array_to_string(list_transform(v, lambda x: repeat(printf('%02x', x), 3)), ''))) as signature
+from grey""", {"grey": GREY_SQL}))
+def pixel_signature(i: Inputs):
+    image = F.col("image")
+    return _seen(i).select("image_id", image["width"].alias("width"), image["height"].alias("height"), pixels.signature(image).alias("signature"))
+
+
+@query("average_hash", compose([], """
+select image_id, array_to_string([printf('%x', b[4 * i + 1] * 8 + b[4 * i + 2] * 4 + b[4 * i + 3] * 2 + b[4 * i + 4]) for i in range(0, 16)], '') as ahash
+from (select image_id, list_transform(v, lambda x: case when 64 * x >= list_sum(v) then 1 else 0 end) as b from grey)""", {"grey": GREY_SQL}))
+def average_hash(i: Inputs):
+    return _seen(i).select("image_id", pixels.features(F.col("image"))["ahash"].alias("ahash"))
+
+
+@query("pixel_features", compose([], """
+select image_id, len(list_filter(v, lambda x: x > 225)) / 64.0::double as white, len(list_filter(v, lambda x: x < 15)) / 64.0::double as dark,
+  round(sqrt(list_sum(list_transform(v, lambda x: (x - list_sum(v) / 64.0::double) ** 2)) * 16 / 1023), 6) as red_std from grey""", {"grey": GREY_SQL}))
+def pixel_features(i: Inputs):
+    f = pixels.features(F.col("image"))
+    return _seen(i).select("image_id", f.alias("f")).select("image_id", "f.white", "f.dark", F.round("f.red_std", 6).alias("red_std"))
+
+
 # ---- near duplicates -------------------------------------------------------
 
 MASKS = (1, 8, 32)

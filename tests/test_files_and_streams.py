@@ -345,3 +345,38 @@ def test_upright_pictures(spark, tmp_path):
         assert np.abs(np.array(r.vector) - np.array(plain.vector)).max() < 0.01
     w = rows["w.webp"]
     assert (w.width, w.height, w.white) == (30, 20, None) and w.sha1 == hashlib.sha1((tmp_path / "w.webp").read_bytes()).hexdigest()
+
+
+def test_pixels_of_a_byte_column(spark, folder, tmp_path):
+    """A table of bytes gives the same pixel facts as the folder; every row filter of PNG; what cannot be read is null."""
+    from boxloom.functions import bitmaps
+
+    rng = np.random.default_rng(4)
+    rgb = rng.integers(0, 256, (9, 13, 3)).astype("uint8")
+    assert bitmaps.decode(png(rgb)) == (9, 13, 3, rgb[:, :, ::-1].tobytes())
+    line = b"".join(bytes([0]) + r.tobytes() for r in rgb)
+    assert bitmaps.decode(png(rgb)[:-30]) is None and bitmaps.decode(b"BM") is None and bitmaps.decode(None) is None and len(line) == 9 * 40
+    for filtered in range(5):  # written with one filter, by the rules of the format
+        rows, above = b"", np.zeros(39, int)
+        for r in rgb.reshape(9, 39).astype(int):
+            left, corner = np.r_[0, 0, 0, r[:-3]], np.r_[0, 0, 0, above[:-3]]
+            near = left + above - corner
+            a, b, c = abs(near - left), abs(near - above), abs(near - corner)
+            guess = [0 * r, left, above, (left + above) // 2, np.where((a <= b) & (a <= c), left, np.where(b <= c, above, corner))][filtered]
+            rows, above = rows + bytes([filtered]) + ((r - guess) % 256).astype("uint8").tobytes(), r
+        head = png(rgb)[:33]
+        body = zlib.compress(rows)
+        data = head + struct.pack(">I", len(body)) + b"IDAT" + body + b"\0" * 4 + b"\0\0\0\0IEND\0\0\0\0"
+        assert bitmaps.decode(data) == (9, 13, 3, rgb[:, :, ::-1].tobytes())
+    wide = np.zeros((9, 40), "uint8")
+    wide[:, :39] = rgb[::-1, :, ::-1].reshape(9, 39)
+    bmp = b"BM" + struct.pack("<IHHI", 0, 0, 0, 54) + struct.pack("<IiiHHIIiiII", 40, 13, 9, 1, 24, 0, 0, 0, 0, 0, 0) + wide.tobytes()
+    assert bitmaps.decode(bmp) == bitmaps.decode(png(rgb))
+
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{png,PNG,jpg}").load(folder)
+    seen = raw.select(F.element_at(F.split("path", "/"), -1).alias("name"), bitmaps.image("content").alias("image"))
+    got = {r.name: r for r in seen.select("name", pixels.signature(F.col("image")).alias("signature"), pixels.features(F.col("image")).alias("f")).collect()}
+    for r in I.decoded(spark, folder).where("width > 0").collect():
+        one = got[r.path.split("/")[-1].replace(" ", "%20")] if r.path.split("/")[-1].replace(" ", "%20") in got else got[r.path.split("/")[-1]]
+        assert (one.signature, one.f.ahash, one.f.white, one.f.red_std) == (r.signature, r.ahash, r.white, r.red_std)
+    assert got["broken.jpg"].signature is None and got["broken.jpg"].f.ahash is None
