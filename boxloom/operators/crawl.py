@@ -20,6 +20,7 @@ MEDIA_PATTERNS = [
     r'mediaurl=(https%3a%2f%2f[^"&]+)',
 ]
 IMAGE_URL = r"(?i)\.(?:jpg|jpeg|png|webp)(?:$|\?)"
+HOUZZ_HOST = "hzcdn.com"
 HOUZZ_PATTERNS = [
     r'"url"\s*:\s*"(https://st\.hzcdn\.com/simgs/[^"]+)"',
     r'data-src="(https://st\.hzcdn\.com/simgs/[^"]+)"',
@@ -82,7 +83,11 @@ def media_urls(html: Column) -> Column:
 def houzz_urls(html: Column) -> Column:
     """Gallery URLs raised to 1000x666, first occurrence first."""
     raw = F.concat(*[_all(html, p) for p in HOUZZ_PATTERNS])
-    return F.array_distinct(F.transform(raw, lambda u: F.regexp_replace(u, r"_\d+_\d+\.(jpg|jpeg)", "_1000_666.$1")))
+    return F.array_distinct(F.transform(raw, _large))
+
+
+def _large(url: Column) -> Column:
+    return F.regexp_replace(url, r"_\d+_\d+\.(jpg|jpeg)", "_1000_666.$1")
 
 
 def flickr_json_urls(html: Column) -> Column:
@@ -164,6 +169,20 @@ def union_sources(urls: DataFrame) -> DataFrame:
     return dedupe_urls(ranked, ["query", "url"], ["source_rank", "rank"]).select("query", "url", "source", "source_rank", "rank")
 
 
+def with_fallback(own: DataFrame, other: DataFrame, target: int) -> DataFrame:
+    """(query, url, fallback, rank): a gallery's own URLs, filled up to ``target`` with its hits among other results.
+
+    Both sides have (query, page_no, pos, url). Hits are URLs of the gallery's image host, raised to its large size.
+    """
+    hits = other.where(F.col("url").contains(HOUZZ_HOST)).withColumn("url", _large(F.col("url")))
+    names = ["query", "page_no", "pos", "url"]
+    offers = own.select(*names, F.lit(False).alias("fallback")).unionByName(hits.select(*names, F.lit(True).alias("fallback")))
+    order = ["fallback", "page_no", "pos"]
+    once = dedupe_urls(offers, ["query", "url"], order)
+    rank = F.row_number().over(W.partitionBy("query").orderBy(*order, "url"))
+    return once.withColumn("rank", rank).where(F.col("rank") <= target).select("query", "url", "fallback", "rank")
+
+
 def unseen(arrivals: DataFrame, seen: DataFrame, key: str = "content_key", order: tuple[str, ...] = ("ts", "arrival_id")) -> DataFrame:
     """First arrival of each content that is not among the seen hashes, over all classes.
 

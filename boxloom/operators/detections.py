@@ -215,6 +215,12 @@ def conflicts(df: DataFrame, threshold: float = V.MERGE_IOU) -> DataFrame:
     return pairs.select("image_id", *side, F.bround("iou", 6).alias("overlap_ratio"))
 
 
+def conflict_rows(pairs: DataFrame, images: DataFrame) -> DataFrame:
+    """``conflicts`` as rows of a review table: ``image`` (its path) and ``source_folder`` ahead of the two boxes."""
+    named = images.select("image_id", F.col("path").alias("image"), "source_folder")
+    return named.join(pairs, "image_id").select("image", "source_folder", *[c for c in pairs.columns if c != "image_id"])
+
+
 def conflict_images(df: DataFrame, threshold: float = V.MERGE_IOU, bound: int = PAIR_BOUND) -> DataFrame:
     """Images with at least one conflict.
 

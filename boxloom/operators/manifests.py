@@ -92,6 +92,18 @@ def train_list(factored: DataFrame) -> DataFrame:
     return factored.select("image_id", F.explode(F.sequence(F.lit(1), F.col("repeat_factor"))).alias("copy"))
 
 
+def repeat_histogram(factored: DataFrame) -> DataFrame:
+    """(repeat_factor, images)."""
+    return factored.groupBy("repeat_factor").agg(F.count(F.lit(1)).alias("images"))
+
+
+def presence_by_noise(judged: DataFrame, classes: DataFrame) -> DataFrame:
+    """(class_id, label, clean, removed): images per class that stay in and leave the train list; zeros for absent classes."""
+    counts = judged.select(F.explode("class_ids").alias("class_id"), "noisy").groupBy("class_id").agg(
+        F.count_if(~F.col("noisy")).alias("clean"), F.count_if("noisy").alias("removed"))
+    return zero_filled(classes, counts, ["class_id"], ["clean", "removed"])
+
+
 def effective_presence(factored: DataFrame, classes: DataFrame) -> DataFrame:
     """(class_id, label, images, lines): presence before and after repetition."""
     counts = factored.select(F.explode("class_ids").alias("class_id"), "repeat_factor").groupBy("class_id").agg(

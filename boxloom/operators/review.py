@@ -173,6 +173,13 @@ def confusion(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     return cells.join(counts, ["true_label", "pred_label"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
+def overall_accuracy(matrix: DataFrame) -> DataFrame:
+    """One row (samples, correct, accuracy) from a confusion table; without samples the accuracy is 0."""
+    hit = F.when(F.col("true_label") == F.col("pred_label"), F.col("n")).otherwise(0)
+    sums = matrix.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("samples"), F.coalesce(F.sum(hit), F.lit(0)).alias("correct"))
+    return sums.withColumn("accuracy", F.col("correct") / F.greatest(F.lit(1), "samples"))
+
+
 def per_class_accuracy(matrix: DataFrame) -> DataFrame:
     """(true_label, total, correct, accuracy) from a confusion table; an empty class has accuracy 0."""
     hit = F.when(F.col("true_label") == F.col("pred_label"), F.col("n")).otherwise(0)

@@ -112,6 +112,27 @@ def source_union(i: Inputs):
     return C.union_sources(out)
 
 
+FILLED = 6
+FALLBACK_SQL = MEDIA_SQL | CDN_SQL | {
+    "hits": r"""select query, page_no, pos, regexp_replace(replace(url, 'https://img.example.com/', 'https://st.hzcdn.com/fimgs/'), '_\d+_\d+\.(jpg|jpeg)', '_1000_666.\1', 'g') as url
+      from media_urls where page_no % 2 = 0 and contains(url, 'https://img.example.com/')""",
+    "both_kinds": """select p.query, p.page_no, h.pos, h.url, false as fallback from houzz h join search_pages p using (page_id) where p.page_no = 0
+      union all select query, page_no, pos, url, true from hits""",
+    "once": "select * from (select *, row_number() over (partition by query, url order by fallback, page_no, pos) as rn from both_kinds) where rn = 1",
+}
+
+
+@query("fallback_urls", compose(["search_pages"], f"""
+select query, url, fallback, rank from (select *, (row_number() over (partition by query order by fallback, page_no, pos, url))::int as rank from once)
+where rank <= {FILLED}""", FALLBACK_SQL))
+def fallback_urls(i: Inputs):
+    """The gallery's first page, filled up with its hits among the other results."""
+    own = i.search_pages().where("page_no = 0").select("query", "page_no", F.posexplode(C.houzz_urls(F.col("cdn_html"))).alias("pos", "url"))
+    other = _media(i).where(F.col("page_no") % 2 == 0).withColumn(
+        "url", F.replace("url", F.lit("https://img.example.com/"), F.lit("https://st.hzcdn.com/fimgs/")))
+    return C.with_fallback(own, other, FILLED)
+
+
 CUTOFF = "2024-01-02 00:00:00"
 SEEN_SQL = {
     "seen": f"select distinct content_key from arrivals where ts < timestamp '{CUTOFF}'",

@@ -76,6 +76,23 @@ def quality_gate(i: Inputs):
     return table.select("image_id", pixels.verdict(min_bytes=2000).alias("verdict"))
 
 
+@query("reasons_by_group", compose(["images"], """
+select folder, case when file_size < 2000 then 'few_bytes' when least(width, height) < 512 then 'small_side' when image_id % 100 > 72 then 'white'
+  when image_id % 90 > 88 then 'dark' when image_id % 50 < 8 then 'flat' else 'ok' end as reason, count(*) as n from images group by all"""))
+def reasons_by_group(i: Inputs):
+    """How often each folder's images go to review for which reason."""
+    d = F.col("image_id")
+    table = i.images().withColumns({"white": (d % 100) / 100.0, "dark": (d % 90) / 100.0, "red_std": (d % 50).cast("double")})
+    return stats.reasons_by_group(table, "folder", pixels.verdict(min_bytes=2000))
+
+
+@query("per_class_limit", compose(["images"], """
+select image_id, folder, path from (select *, row_number() over (partition by folder order by md5('42|' || path)) as r from images) where r <= 5"""))
+def per_class_limit(i: Inputs):
+    """The feature is the limit: so many images of each folder, in seeded order."""
+    return splits.per_class_limit(i.images(), "folder", "path", 5).select("image_id", "folder", "path")
+
+
 @query("dup_flags", compose(["images"], """
 select image_id, case when n > 1 and lo <> hi then 'cross_class_duplicate;exact_duplicate' when n > 1 then 'exact_duplicate' else '' end as flags
 from (select image_id, count(*) over (partition by sha1) as n, min(label) over (partition by sha1) as lo,

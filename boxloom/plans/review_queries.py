@@ -110,6 +110,13 @@ def per_class_accuracy(i: Inputs):
     return R.per_class_accuracy(R.confusion(R.top_two(i.predictions())))
 
 
+@query("overall_accuracy", compose(["predictions"], """
+select sum(n)::bigint as samples, sum(case when true_label = pred_label then n else 0 end)::bigint as correct,
+  sum(case when true_label = pred_label then n else 0 end) / greatest(1, sum(n)) as accuracy from cells""", CONFUSION_SQL))
+def overall_accuracy(i: Inputs):
+    return R.overall_accuracy(R.confusion(R.top_two(i.predictions())))
+
+
 def _relabels(i: Inputs):
     """Four samples share a file name; the classes cycle over three, so places are taken and freed in turn."""
     d, names = F.col("doc_id"), V.GROUPS["plant"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from boxloom import vocabulary as V
 from boxloom.cluster import cut
 from boxloom.functions import text as X
+from boxloom.operators import dedupe
 from boxloom.operators import detections as D
 from boxloom.operators import manifests as M
 from boxloom.operators import stats
@@ -85,6 +86,20 @@ def resolve_image(i: Inputs):
     return L.resolve_images(*_label_paths(i)).select("path", F.coalesce("image_path", F.lit("")).alias("image_path"))
 
 
+@query("mirrored_files", compose(["label_files"], """
+select i.path, l.path as label_path, coalesce(e.extra_paths, '') as extra_paths
+from pictures i left join files l on l.image_id = i.image_id and l.image_id % 4 <> 1
+left join (select image_id, string_agg(path, ';' order by path) as extra_paths from files_extra group by image_id) e on e.image_id = i.image_id""", PATHS_SQL | {
+    "files_extra": "select image_id, 'd' || image_id % 7 || '/' || image_id || '.' || unnest(['json', 'xml']) as path from label_files where image_id % 3 = 0"}))
+def mirrored_files(i: Inputs):
+    """Each image with the label file and the other files of the same folder and stem."""
+    files, images = _label_paths(i)
+    extras = files.where(F.col("image_id") % 3 == 0).select(F.explode(F.array(*[
+        F.regexp_replace("path", "txt$", e) for e in ("json", "xml")])).alias("path"))
+    found = dedupe.attach_mirrors(images.select("path"), files.where(F.col("image_id") % 4 != 1).select("path"), extras)
+    return found.select("path", "label_path", F.array_join("extra_paths", ";").alias("extra_paths"))
+
+
 @query("label_match_stats", compose(["label_files", "fields"], f"""
 select count(distinct p.image_id) as total_images, (select count(*) from files) as total_label_files,
   (select count(*) from hit) as matched_images, (select count(*) from hit where valid = 0) as empty_label_files,
@@ -249,6 +264,20 @@ def effective_presence(i: Inputs):
     return M.effective_presence(M.repeat_factors(s, M.rarity(M.presence(s, _classes(i)))), _classes(i))
 
 
+@query("repeat_histogram", compose(STATS_NEEDS, "select repeat_factor, count(*) as images from factored group by 1", STATS_SQL))
+def repeat_histogram(i: Inputs):
+    s = _stats(i)
+    return M.repeat_histogram(M.repeat_factors(s, M.rarity(M.presence(s, _classes(i)))))
+
+
+@query("presence_by_noise", compose(STATS_NEEDS, """
+select c.class_id, c.label, count(case when not (r1 or r2 or r3) then 1 end) as clean, count(case when r1 or r2 or r3 then 1 end) as removed
+from classes c left join (select distinct image_id, class_id from boxes) b using (class_id) left join judged using (image_id) group by all""", STATS_SQL))
+def presence_by_noise(i: Inputs):
+    s = _stats(i)
+    return M.presence_by_noise(M.with_noise(s, M.thresholds(s)), _classes(i))
+
+
 # ---- the merged training set -----------------------------------------------
 
 STATUS_SQL = COMPONENTS_SQL | {
@@ -278,6 +307,14 @@ def conflict_free_split(i: Inputs):
     return M.training_status(_scenes(i), D.image_folds(i.mapped_boxes()))
 
 
+@query("conflict_rows", compose(STATUS_NEEDS, """
+select path as image, source_folder, a_line as box_a_index, a_source as box_a_source_class, a_target as box_a_target_class,
+  b_line as box_b_index, b_source as box_b_source_class, b_target as box_b_target_class, round_even(iou, 6) as overlap_ratio
+from clashes join pictures using (image_id)""", STATUS_SQL, recursive=True))
+def conflict_rows(i: Inputs):
+    return D.conflict_rows(D.conflicts(i.mapped_boxes()), _scenes(i))
+
+
 @query("split_counts", compose(STATUS_NEEDS, """
 select 'status' as section, status as key, count(*) as n from status group by status union all
 select 'source_folder', source_folder, count(*) from status group by source_folder""", STATUS_SQL, recursive=True))
