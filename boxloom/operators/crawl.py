@@ -29,6 +29,10 @@ HOUZZ_PATTERNS = [
 FLICKR_PHOTOS = r'(?s)"photos"\s*:\s*\{[^}]*"photo"\s*:\s*(\[.*?\])'
 FLICKR_INLINE = r'(?:src=|displayUrl\\":|url\\":)"?(?:https?:)?(//live\.staticflickr\.com/\d+/\d+_[a-z0-9]+_[a-z]\.jpg)'
 DEZEEN_PATTERN = r"""(https://static\.dezeen\.com/uploads/\d{4}/\d{2}/[^"'<>\s]+?\.(?:jpg|jpeg|webp))"""
+# in which part of an URL its size stands, and the large one
+HOUZZ_SIZE = (r"_\d+_\d+\.(jpg|jpeg)", r"_1000_666.\1")
+FLICKR_SIZE = (r"_[a-z]\.jpg$", "_b.jpg")
+DEZEEN_SIZE = (r"-\d+x\d+\.", "-1704x958.")
 NOISE = ["thumb", "small", "icon", "60x", "80x", "100x"]
 # source, per-query target, page limit, results a page needs for the next one to be fetched
 SOURCES = [("bing", 120, None, 20), ("houzz", 80, 2, 0), ("flickr", 60, 5, 0), ("dezeen", 40, 4, 0)]
@@ -87,7 +91,7 @@ def houzz_urls(html: Column) -> Column:
 
 
 def _large(url: Column) -> Column:
-    return F.regexp_replace(url, r"_\d+_\d+\.(jpg|jpeg)", "_1000_666.$1")
+    return F.regexp_replace(url, HOUZZ_SIZE[0], HOUZZ_SIZE[1].replace("\\", "$"))
 
 
 def flickr_json_urls(html: Column) -> Column:
@@ -110,11 +114,11 @@ def flickr_json_urls(html: Column) -> Column:
 
 def flickr_inline_urls(html: Column) -> Column:
     return F.transform(_all(html, FLICKR_INLINE),
-                       lambda u: F.regexp_replace(F.concat(F.lit("https:"), u), r"_[a-z]\.jpg$", "_b.jpg"))
+                       lambda u: F.regexp_replace(F.concat(F.lit("https:"), u), *FLICKR_SIZE))
 
 
 def dezeen_urls(html: Column) -> Column:
-    return F.transform(_all(html, DEZEEN_PATTERN), lambda u: F.regexp_replace(u, r"-\d+x\d+\.", "-1704x958."))
+    return F.transform(_all(html, DEZEEN_PATTERN), lambda u: F.regexp_replace(u, *DEZEEN_SIZE))
 
 
 def flickr_pages(pages: DataFrame, html: str = "html", bound: int = GROUP_BOUND) -> DataFrame:

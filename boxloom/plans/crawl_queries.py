@@ -9,14 +9,20 @@ from boxloom.plans.catalog import query
 from boxloom.plans.inputs import Inputs
 from boxloom.plans.oracle_inputs import compose
 
-MEDIA_RAW_SQL = r"""select page_id, query, page_no, list_concat(list_concat(
-    list_transform(regexp_extract_all(html, '"murl"\s*:\s*"(https?://[^"]+?\.(?:jpg|jpeg|png|webp))"', 1), lambda u: replace(u, '&amp;', '&')),
-    regexp_extract_all(html, 'murl&quot;:&quot;(https?://[^&]+)', 1)),
-    list_transform(regexp_extract_all(html, 'mediaurl=(https%3a%2f%2f[^"&]+)', 1), lambda u: url_decode(replace(u, '+', '%2B')))) as raw from search_pages"""
+
+def _all(html: str, pattern: str) -> str:
+    """SQL for the first group of all matches; the patterns stand in ``operators/crawl.py``."""
+    return f"regexp_extract_all({html}, '{pattern.replace("'", "''")}', 1)"
+
+
+NOISE_SQL = f"regexp_matches(lower(url), '{'|'.join(C.NOISE)}')"
+MEDIA_RAW_SQL = f"""select page_id, query, page_no, list_concat(list_concat(
+    list_transform({_all("html", C.MEDIA_PATTERNS[0])}, lambda u: replace(u, '&amp;', '&')), {_all("html", C.MEDIA_PATTERNS[1])}),
+    list_transform({_all("html", C.MEDIA_PATTERNS[2])}, lambda u: url_decode(replace(u, '+', '%2B')))) as raw from search_pages"""
 MEDIA_SQL = {
     "media_raw": MEDIA_RAW_SQL,
-    "media_all": r"""select page_id, query, page_no, url, n from (select page_id, query, page_no, unnest(raw) as url, unnest(range(len(raw))) as n from media_raw)
-      where regexp_matches(url, '\.(?:jpg|jpeg|png|webp)(?:$|\?)', 'i')""",
+    "media_all": f"""select page_id, query, page_no, url, n from (select page_id, query, page_no, unnest(raw) as url, unnest(range(len(raw))) as n from media_raw)
+      where regexp_matches(url, '{C.IMAGE_URL}')""",
     "media_urls": """select page_id, query, page_no, url, (row_number() over (partition by page_id order by min(n)) - 1)::int as pos
       from media_all group by page_id, query, page_no, url""",
 }
@@ -32,22 +38,18 @@ def extract_media_urls(i: Inputs):
 
 
 CDN_SQL = {
-    "houzz_raw": r"""select page_id, list_transform(list_concat(list_concat(
-        regexp_extract_all(cdn_html, '"url"\s*:\s*"(https://st\.hzcdn\.com/simgs/[^"]+)"', 1),
-        regexp_extract_all(cdn_html, 'data-src="(https://st\.hzcdn\.com/simgs/[^"]+)"', 1)),
-        regexp_extract_all(cdn_html, 'src="(https://st\.hzcdn\.com/simgs/[^"]+)"', 1)),
-        lambda u: regexp_replace(u, '_\d+_\d+\.(jpg|jpeg)', '_1000_666.\1', 'g')) as raw from search_pages""",
+    "houzz_raw": f"""select page_id, list_transform({"list_concat(" * (len(C.HOUZZ_PATTERNS) - 1)}{_all("cdn_html", C.HOUZZ_PATTERNS[0])}{"".join(
+        f", {_all('cdn_html', p)})" for p in C.HOUZZ_PATTERNS[1:])}, lambda u: regexp_replace(u, '{C.HOUZZ_SIZE[0]}', '{C.HOUZZ_SIZE[1]}', 'g')) as raw from search_pages""",
     "houzz": """select page_id, (row_number() over (partition by page_id order by min(n)) - 1)::int as pos, url
       from (select page_id, unnest(raw) as url, unnest(range(len(raw))) as n from houzz_raw) group by page_id, url""",
-    "flickr": r"""select page_id, query, page_no,
-        list_transform(regexp_extract_all(flickr_html, '(?:src=|displayUrl\\":|url\\":)"?(?:https?:)?(//live\.staticflickr\.com/\d+/\d+_[a-z0-9]+_[a-z]\.jpg)', 1),
-          lambda u: regexp_replace('https:' || u, '_[a-z]\.jpg$', '_b.jpg')) as inline_urls,
+    "flickr": f"""select page_id, query, page_no,
+        list_transform({_all("flickr_html", C.FLICKR_INLINE)}, lambda u: regexp_replace('https:' || u, '{C.FLICKR_SIZE[0]}', '{C.FLICKR_SIZE[1]}')) as inline_urls,
         case when page_id % 3 = 0 then ['https://farm' || (page_id % 9 + 1) || '.staticflickr.com/s' || page_id % 77 || '/' || page_id || '_x' || page_id * 7 || '_b.jpg'] else [] end as json_urls
       from search_pages""",
     "flickr_used": """select page_id, case when len(json_urls) = 0 and coalesce(max(case when len(json_urls) + len(inline_urls) > 0 then 1 else 0 end)
         over (partition by query order by page_no rows between unbounded preceding and 1 preceding), 0) = 0 then inline_urls else json_urls end as urls from flickr""",
-    "dezeen": r"""select page_id, list_transform(regexp_extract_all(cdn_html, '(https://static\.dezeen\.com/uploads/\d{4}/\d{2}/[^"''<>\s]+?\.(?:jpg|jpeg|webp))', 1),
-        lambda u: regexp_replace(u, '-\d+x\d+\.', '-1704x958.', 'g')) as urls from search_pages""",
+    "dezeen": f"""select page_id, list_transform({_all("cdn_html", C.DEZEEN_PATTERN)}, lambda u: regexp_replace(u, '{C.DEZEEN_SIZE[0]}', '{C.DEZEEN_SIZE[1]}', 'g')) as urls
+      from search_pages""",
 }
 
 
@@ -63,8 +65,8 @@ def extract_cdn_urls(i: Inputs):
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
-@query("url_filter", compose(["search_pages"], """
-select page_id, pos, url from media_urls where not regexp_matches(lower(url), 'thumb|small|icon|60x|80x|100x')""", MEDIA_SQL))
+@query("url_filter", compose(["search_pages"], f"""
+select page_id, pos, url from media_urls where not {NOISE_SQL}""", MEDIA_SQL))
 def url_filter(i: Inputs):
     return _media(i).where(~C.is_noise(F.col("url"))).select("page_id", "pos", "url")
 
@@ -75,9 +77,9 @@ def url_dedupe(i: Inputs):
     return C.dedupe_urls(_media(i).drop("page_id"), ["query", "url"], ["page_no", "pos"])
 
 
-@query("page_take_while", compose(["search_pages"], """
+@query("page_take_while", compose(["search_pages"], f"""
 select query, page_no, found, kept from (select *, coalesce(min(found) over w, 20) as low, coalesce(sum(kept) over w, 0) as had
-  from (select query, page_no, count(url) as found, count(case when not regexp_matches(lower(url), 'thumb|small|icon|60x|80x|100x') then 1 end) as kept
+  from (select query, page_no, count(url) as found, count(case when not {NOISE_SQL} then 1 end) as kept
     from (select p.query, p.page_no, m.url from search_pages p left join media_urls m using (page_id)) group by query, page_no)
   window w as (partition by query order by page_no rows between unbounded preceding and 1 preceding)) where low >= 5 and had < 20""", MEDIA_SQL))
 def page_take_while(i: Inputs):
@@ -89,11 +91,12 @@ def page_take_while(i: Inputs):
 
 
 UNION_SQL = MEDIA_SQL | CDN_SQL | {
-    "offers": """select query, 'bing' as source, 1 as source_rank, 120 as target, page_no, pos, url from media_urls where not regexp_matches(lower(url), 'thumb|small|icon|60x|80x|100x')
-      union all select p.query, 'houzz', 2, 80, p.page_no, h.pos, h.url from houzz h join search_pages p using (page_id)
-      union all select p.query, 'flickr', 3, 60, p.page_no, f.pos, f.url from (select page_id, unnest(range(len(urls)))::int as pos, unnest(urls) as url from flickr_used) f join search_pages p using (page_id)
-      union all select p.query, 'dezeen', 4, 40, p.page_no, d.pos, d.url from (select page_id, unnest(range(len(urls)))::int as pos, unnest(urls) as url from dezeen) d join search_pages p using (page_id)""",
-    "firsts": "select * from (select *, row_number() over (partition by query, source, url order by page_no, pos) as rn from offers) where rn = 1",
+    "offers": f"""select query, 'bing' as source, page_no, pos, url from media_urls where not {NOISE_SQL}
+      union all select p.query, 'houzz', p.page_no, h.pos, h.url from houzz h join search_pages p using (page_id)
+      union all select p.query, 'flickr', p.page_no, f.pos, f.url from (select page_id, unnest(range(len(urls)))::int as pos, unnest(urls) as url from flickr_used) f join search_pages p using (page_id)
+      union all select p.query, 'dezeen', p.page_no, d.pos, d.url from (select page_id, unnest(range(len(urls)))::int as pos, unnest(urls) as url from dezeen) d join search_pages p using (page_id)""",
+    "sources": f"select * from (values {', '.join(f"('{n}', {k + 1}, {t})" for k, (n, t, *_) in enumerate(C.SOURCES))}) s(source, source_rank, target)",
+    "firsts": "select * from (select *, row_number() over (partition by query, source, url order by page_no, pos) as rn from offers join sources using (source)) where rn = 1",
     "ranked_offers": "select *, row_number() over (partition by query, source order by page_no, pos, url)::int as rank from firsts",
 }
 
@@ -114,7 +117,7 @@ def source_union(i: Inputs):
 
 FILLED = 6
 FALLBACK_SQL = MEDIA_SQL | CDN_SQL | {
-    "hits": r"""select query, page_no, pos, regexp_replace(replace(url, 'https://img.example.com/', 'https://st.hzcdn.com/fimgs/'), '_\d+_\d+\.(jpg|jpeg)', '_1000_666.\1', 'g') as url
+    "hits": f"""select query, page_no, pos, regexp_replace(replace(url, 'https://img.example.com/', 'https://st.hzcdn.com/fimgs/'), '{C.HOUZZ_SIZE[0]}', '{C.HOUZZ_SIZE[1]}', 'g') as url
       from media_urls where page_no % 2 = 0 and contains(url, 'https://img.example.com/')""",
     "both_kinds": """select p.query, p.page_no, h.pos, h.url, false as fallback from houzz h join search_pages p using (page_id) where p.page_no = 0
       union all select query, page_no, pos, url, true from hits""",
