@@ -33,8 +33,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: a text without these in any case has no assignment
 KEYWORDS = ("passw", "secret", "token", "api")
-PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#(?:x([0-9A-Fa-f]{1,6})|([0-9]{1,7}));")
+#: a percent sign that was encoded again and again is unwrapped at once
+PERCENT = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+")
+PERCENT_BYTE = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})")
+ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#(?:x([0-9A-Fa-f]{1,6})|([0-9]{1,7}));|\\u\{([0-9A-Fa-f]{1,6})\}|\\([0-3][0-7]{2})")
+#: escaped bytes that may be packed or UTF-8
+BYTES = re.compile(r"(?:\\x[0-9A-Fa-f]{2}|\\[0-3][0-7]{2}){2,}")
+BYTE = re.compile(r"\\x([0-9A-Fa-f]{2})|\\([0-3][0-7]{2})")
 #: token=abcdef, the shortest finding, encodes to 16 characters
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: runs that are parted by single line breaks only
@@ -44,6 +49,12 @@ LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 MOST_UNPACKED = 1 << 26
 
 
+#: a stretch of readable UTF-8 within other bytes, as long as the shortest finding
+READABLE = re.compile(rb"(?:[\t\r\n\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){12,}")
+#: how packed streams begin
+PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]1AY|\xfd7zXZ\x00", re.S)
+
+
 def scan(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind) of the findings in one layer; leftmost, not overlapping within a kind."""
     out = []
@@ -97,10 +108,40 @@ def characters(raw: bytes, place) -> tuple[str, list[tuple[int, int]]] | None:
     return text, places
 
 
-def unpercent(layer: Layer) -> Layer | None:
+def opened(raw: bytes, most: int) -> bytes | None:
+    """What the packed streams at the beginning of ``raw`` unpack to, through all layers of packing; None if it is not packed."""
+    found, met = None, set()  # a stream can unpack to itself
+    while raw not in met and (inner := unpacked(raw, most)) is not None:
+        met.add(raw)
+        found = raw = inner
+    return found
+
+
+def replacement(raw: bytes, units: list[tuple[int, int]], most: int) -> tuple[str, list[tuple[int, int]]] | None:
+    """Characters for the bytes that stand in ``units`` of a layer: text as it is, or the content of a packed stream."""
+    if (inner := opened(raw, most)) is not None:
+        whole = units[0][0], units[-1][1]
+        return characters(inner, lambda i: whole)
+    return characters(raw, lambda i: units[i])
+
+
+def unpercent(layer: Layer, most: int) -> Layer | None:
     parts = []
     for m in PERCENT.finditer(layer.text):
-        got = characters(bytes.fromhex(m[0].replace("%", "")), lambda i, s=m.start(): (s + 3 * i, s + 3 * i + 3))
+        units = [(u[1], u.span()) for u in PERCENT_BYTE.finditer(m[0])]
+        places = [(m.start() + a, m.start() + b) for _, (a, b) in units]
+        got = replacement(bytes.fromhex("".join(h for h, _ in units)), places, most)
+        if got:
+            parts.append((*m.span(), *got))
+    return layer.replaced(parts) if parts else None
+
+
+def unbyte(layer: Layer, most: int) -> Layer | None:
+    """Escaped bytes read together: UTF-8 of several bytes, or packed streams."""
+    parts = []
+    for m in BYTES.finditer(layer.text):
+        units = [(int(u[1], 16) if u[1] else int(u[2], 8), (m.start() + u.start(), m.start() + u.end())) for u in BYTE.finditer(m[0])]
+        got = replacement(bytes(v for v, _ in units), [p for _, p in units], most)
         if got:
             parts.append((*m.span(), *got))
     return layer.replaced(parts) if parts else None
@@ -109,7 +150,7 @@ def unpercent(layer: Layer) -> Layer | None:
 def unescape(layer: Layer) -> Layer | None:
     parts, held = [], None
     for m in ESCAPE.finditer(layer.text):
-        code = int(m[1] or m[2] or m[3] or "0", 16) or int(m[4] or "0")
+        code = int(m[1] or m[2] or m[3] or m[5] or "0", 16) or int(m[4] or "0") or int(m[6] or "0", 8)
         if held and held[1] == m.start() and 0xDC00 <= code < 0xE000:  # the second half of a pair
             parts.append((held[0], m.end(), chr(0x10000 + ((held[2] - 0xD800) << 10) + code - 0xDC00), [(held[0], m.end())]))
         elif 0 < code < 0x110000 and not 0xD800 <= code < 0xE000:
@@ -128,8 +169,8 @@ def _machine(raw: bytes):
 
 
 def unpacked(raw: bytes, most: int) -> bytes | None:
-    """The content of zlib, gzip, bz2 or xz streams, one behind the other, as far as they are whole and have ``most``
-    bytes together; None if the first is none of them, is damaged or is longer."""
+    """The content of zlib, gzip, bz2 or xz streams, one behind the other, as far as they have ``most`` bytes together,
+    the last as far as it goes if it is cut off; None if the first is none of them, is damaged or is longer."""
     out, left = [], most
     while (machine := _machine(raw)) is not None:
         try:
@@ -138,7 +179,8 @@ def unpacked(raw: bytes, most: int) -> bytes | None:
             break
         left -= len(out[-1])
         if left < 0 or not machine.eof:
-            out.pop()
+            if left < 0 or not out[-1]:
+                out.pop()  # too long, or cut off before anything came out; what else was cut off is read as far as it goes
             break
         raw = machine.unused_data.lstrip(b"\0")  # members may be padded
     return b"".join(out) if out else None
@@ -165,26 +207,52 @@ def stretches(text: str):
                 yield "".join(text[a:b] for a, b in some), [k for a, b in some for k in range(a, b)], some[0][0], end
 
 
+def _decoded(body: str) -> bytes | None:
+    body = body[:-1] if len(body) % 4 == 1 else body
+    try:
+        return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
+    except (binascii.Error, ValueError):
+        return None
+
+
 def unbase64(layer: Layer, most: int) -> list[Layer]:
-    """One layer for each stretch that decodes to text, or to packed text."""
+    """One layer for each stretch that decodes to text, or to packed text.
+
+    A run may have other characters in front, such as a path or a prefix, and behind: it is decoded at each of the four
+    alignments, and what is readable or packed within the bytes is taken too.
+    """
     out = []
-    for body, at, begin, end in stretches(layer.text):
-        if len(body) % 4 == 1:
-            continue
-        try:
-            raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        packed = False
-        inside = set()  # a stream can unpack to itself
-        while raw not in inside and (inner := unpacked(raw, most)) is not None:
-            inside.add(raw)
-            raw, packed = inner, True
-        got = characters(raw, (lambda i, w=(begin, end): w) if packed else (
-            lambda i, at=at, n=len(body): (at[i * 8 // 6], at[min(n - 1, (i * 8 + 7) // 6)] + 1)))
-        if got and got[0] and sum(c.isprintable() or c in "\t\r\n" for c in got[0]) >= 0.95 * len(got[0]):
+
+    def take(raw: bytes, place, packed: bool) -> None:
+        got = characters(raw, place)
+        if got and got[0] and (packed or sum(c.isprintable() or c in "\t\r\n" for c in got[0]) >= 0.95 * len(got[0])):
             text, places = got
             out.append(Layer(text, [layer.starts[a] for a, _ in places], [layer.ends[b - 1] for _, b in places]))
+
+    for body, at, begin, end in stretches(layer.text):
+        for skip in range(min(4, len(body) - 15)):
+            raw = _decoded(body[skip:])
+            if raw is None:
+                continue
+            n = len(body)
+
+            def place(i, at=at, skip=skip, n=n):
+                return at[min(n - 1, skip + i * 8 // 6)], at[min(n - 1, skip + (i * 8 + 7) // 6)] + 1
+
+            inner = opened(raw, most)
+            if inner is not None:
+                take(inner, lambda i, w=(at[skip], end): w, True)
+                continue
+            if skip == 0 and len(body) % 4 != 1:
+                before = len(out)
+                take(raw, place, False)
+                if len(out) > before:
+                    break  # all of the run is text: other alignments are not
+            for m in READABLE.finditer(raw):
+                take(m[0], lambda i, s=m.start(), place=place: place(s + i), False)
+            for m in PACKED.finditer(raw, 1):
+                if (inner := opened(raw[m.start():], most)) is not None:
+                    take(inner, lambda i, w=(place(m.start())[0], end): w, True)
     return out
 
 
@@ -198,7 +266,7 @@ def spans_of(text: str, most: int = MOST_UNPACKED) -> tuple[list[tuple[int, int,
         while work:
             layer = work.popleft()
             above = layer.above | {layer.text}
-            for new in [unpercent(layer), unescape(layer), *unbase64(layer, most)]:
+            for new in [unpercent(layer, most), unbyte(layer, most), unescape(layer), *unbase64(layer, most)]:
                 # the same text from another place has spans of its own
                 if new is not None and new.text not in above and (key := new.key()) not in seen:
                     seen.add(key)
@@ -217,7 +285,8 @@ def find_secrets(docs: DataFrame, most: int = MOST_UNPACKED) -> DataFrame:
 
     Counts and digest are of the findings in the text itself; ``spans`` has those of all layers, mapped to the text.
     Null and empty texts have none: counts 0 and the digest of the empty string. Findings of one kind that map to the
-    same stretch are listed once. Packed streams that unpack to more than ``most`` bytes stay packed.
+    same stretch are listed once. Packed streams that unpack to more than ``most`` bytes stay packed. An empty table gives no
+    rows; columns not named do not matter. Texts may be of any length: time and memory grow with it.
     """
     columns = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
