@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from boxloom.cluster import cut
 from boxloom.llm.catalog import query, table
-from boxloom.llm.words import NOT_WORD, lower_ascii, runs, split_words
+from boxloom.llm.words import NOT_WORD, columns_apart, lower_ascii, runs, split_words
 
 WINDOW, SHINGLE = 13, 5
 #: benchmark shingles are broadcast up to this number of rows (16 bytes each), else shuffled with the corpus' shingles
@@ -61,13 +61,23 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return _report(verified.select(F.col("doc_id").alias("_doc"), "_n_words", "_n_hit", "_wins"), held)
 
 
+#: working columns of ``with_hits``
+WORKING = ("_to", "_met", "_w", "_true", "_n_words", "_n_hit", "_wins", "_clean")
+
+
 def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the benchmark does not contaminate, with all their columns, after one shuffle of them."""
+    """The rows of ``docs`` that the benchmark does not contaminate, with all their columns, after one shuffle of them.
+
+    Columns may have any names; an empty table stays empty.
+    """
+    names = docs.columns
+    clashing = {c: aside for c, aside in zip(names, columns_apart(docs, *[f"_own{k}" for k in range(len(names))])) if c.lower() in WORKING}
+    docs = docs.withColumnsRenamed(clashing)
     verified = with_hits(docs, candidates(docs, benchmark)[0])
     clean = (F.col("_n_hit") == 0) | (SHARE * F.col("_n_hit") < F.col("_n_words"))
     # always true, but a filter on it stays above the steps that count the hits
     kept = verified.withColumn("_clean", clean & (F.monotonically_increasing_id() >= 0))
-    return kept.where("_clean").select(*docs.columns)
+    return kept.where("_clean").select(*docs.columns).withColumnsRenamed({aside: c for c, aside in clashing.items()})
 
 
 def candidates(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame | None, DataFrame]:
@@ -120,7 +130,7 @@ def with_hits(docs: DataFrame, met: DataFrame | None) -> DataFrame:
     if met is None:
         return docs.withColumn("_n_words", F.size(token_words(F.col("text"))).cast("long")).withColumn(
             "_n_hit", F.lit(0).cast("long")).withColumn("_wins", F.array().cast("array<bigint>"))
-    own = [c for c in docs.columns if c.lower() not in ("_to", "_met", "_w", "_true", "_n_words", "_n_hit", "_wins")]
+    own = [c for c in docs.columns if c.lower() not in WORKING]
     there = lambda m: F.concat_ws(" ", F.slice("_w", m["_at"] + 1, m["_k"])) == m["_line"]
     return (
         # candidates grow with the documents: never a broadcast

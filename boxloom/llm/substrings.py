@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from boxloom.cluster import cut
 from boxloom.llm.catalog import query, table
+from boxloom.llm.words import columns_apart
 
 #: sentences within a line that are shorter ("Licensed.", "the end.") are left alone; lines are units whatever their length
 MIN_WORDS = 6
@@ -104,13 +105,16 @@ def repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 def without_repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``text`` cleared of repeats and ``removed``: (start, end, first_doc_id, first_start) in the old text.
 
-    Columns of ``docs`` named ``removed`` or ``row`` are replaced; a null text stays null.
+    Columns of ``docs`` named ``removed`` or ``row`` are replaced, others may have any names; a null text stays null, an
+    empty table empty.
     """
-    rows = cut(docs.drop("removed", "row").withColumn("row", F.monotonically_increasing_id()))
-    spans = repeats(rows, least).groupBy(F.col("row").alias("_row")).agg(
+    docs = docs.drop("removed", "row")
+    (of,) = columns_apart(docs, "_row")
+    rows = cut(docs.withColumn("row", F.monotonically_increasing_id()))
+    spans = repeats(rows, least).groupBy(F.col("row").alias(of)).agg(
         F.sort_array(F.collect_list(F.struct("start", "end", "first_doc_id", "first_start"))).alias("removed")
     )
-    with_spans = rows.join(spans, F.col("row") == F.col("_row"), "left").drop("row", "_row").withColumn(
+    with_spans = rows.join(spans, F.col("row") == F.col(of), "left").drop("row", of).withColumn(
         "removed", F.coalesce("removed", F.array().cast(spans.schema["removed"].dataType))
     )
     kept = F.aggregate(
