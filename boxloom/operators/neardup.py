@@ -277,11 +277,13 @@ def _thin(nodes: DataFrame, threshold: float, crowd: int) -> tuple[DataFrame, Da
 def _labels(edges: DataFrame, one_task: int) -> DataFrame:
     """(folder, n, root) for every node of ``edges`` (folder, a, b): the component that it lies in.
 
-    Each task first reduces its edges to a spanning forest. If at most ``one_task`` edges are left, one task joins the
-    forests; beyond that they go through rounds of joins. Either way the roots are the smallest nodes.
+    Up to ``one_task`` edges are joined by one task. Of more, each task first reduces its own to a spanning forest; if these
+    still have more edges than that, they go through rounds of joins. Either way the roots are the smallest nodes.
     """
     kind = edges.schema["a"].dataType.simpleString()
-    forest = cut(edges.select("folder", "a", "b").mapInPandas(_forest, f"folder string, a {kind}, b {kind}"))
+    forest = edges.select("folder", "a", "b")
+    if edges.count() > one_task:
+        forest = cut(forest.mapInPandas(_forest, f"folder string, a {kind}, b {kind}"))
     if forest.count() <= one_task:
         return forest.coalesce(1).mapInPandas(_forest, f"folder string, a {kind}, b {kind}").select("folder", F.col("b").alias("n"), F.col("a").alias("root"))
     pairs = forest.where(F.col("a") != F.col("b"))
@@ -318,14 +320,16 @@ def _resolve(edges: DataFrame, local_edges: int) -> DataFrame:
     edges are dealt to tasks, many to each, and walked in order. Larger ones go through a round (see ``_round``), which
     breaks them up, and so on.
     """
-    edges = cut(edges.distinct())
+    edges = cut(edges)
     kind = edges.schema["a"].dataType.simpleString()
     removed = None
     while True:
         labels = _labels(edges, ONE_TASK)
-        labelled = cut(edges.join(labels.select("folder", F.col("n").alias("a"), "root"), ["folder", "a"]))
-        large = labelled.groupBy("folder", "root").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > local_edges).drop("_n")
-        some = bool(large.head(1))
+        labelled, some = edges.join(labels.select("folder", F.col("n").alias("a"), "root"), ["folder", "a"]), False
+        if edges.count() > local_edges:  # else no component can have more
+            labelled = cut(labelled)
+            large = labelled.groupBy("folder", "root").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > local_edges).drop("_n")
+            some = bool(large.head(1))
         small = labelled.join(large, ["folder", "root"], "left_anti") if some else labelled
         walked = small.repartition("folder", "root").sortWithinPartitions("folder", "root").mapInPandas(
             _walk_components, f"folder string, remove_id {kind}, keep_id {kind}")
