@@ -380,3 +380,17 @@ def test_pixels_of_a_byte_column(spark, folder, tmp_path):
         one = got[r.path.split("/")[-1].replace(" ", "%20")] if r.path.split("/")[-1].replace(" ", "%20") in got else got[r.path.split("/")[-1]]
         assert (one.signature, one.f.ahash, one.f.white, one.f.red_std) == (r.signature, r.ahash, r.white, r.red_std)
     assert got["broken.jpg"].signature is None and got["broken.jpg"].f.ahash is None
+
+
+def test_detection_cache_grows_and_is_read_back(spark, tmp_path):
+    """Entries written in two goes; only images whose stem, SHA-1 and class all agree count as done."""
+    from boxloom.operators import manifests
+
+    path, schema = str(tmp_path / "cache"), "export_stem string, sha1 string, source_class string, flags string"
+    sinks.write_cache(spark.createDataFrame([("a", "1", "bed", "")], schema), path)
+    sinks.write_cache(spark.createDataFrame([("b", "2", "bed", "dark"), ("a", "1", "bed", "")], schema), path)
+    cache = spark.read.schema(schema).parquet(path)
+    images = spark.createDataFrame([(1, "a", "1", "bed"), (2, "b", "2", "sofa"), (3, "b", "9", "bed"), (4, "b", "2", "bed")],
+                                   "image_id int, export_stem string, sha1 string, source_class string")
+    cached, pending = manifests.split_cache(images, cache)
+    assert sorted(r.image_id for r in cached.collect()) == [1, 4] and sorted(r.image_id for r in pending.collect()) == [2, 3]
