@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -15,8 +18,11 @@ FEATURES = T.StructType([
     T.StructField("red_std", T.DoubleType()), T.StructField("ahash", T.StringType()),
     T.StructField("vector", T.ArrayType(T.FloatType())),
 ])
+#: pictures handled at once: Spark's batches have up to 10,000 rows, and a thumbnail has 3,072 numbers
+SLICE = 256
 
 
+@lru_cache(16)
 def _weights(old: int, new: int) -> np.ndarray:
     """Rows of area weights that average ``old`` pixels down (or spread them up) to ``new``."""
     edges = np.linspace(0, old, new + 1)
@@ -32,8 +38,8 @@ def shrink(pixels: np.ndarray, size: int) -> np.ndarray:
     return np.einsum("ih,hwc,jw->ijc", rows, pixels.astype("float64"), cols, optimize=True)
 
 
-def describe(data: bytes, width: int, height: int, channels: int) -> tuple | None:
-    """(white share, dark share, stdev of red, average hash, unit vector) of BGR bytes."""
+def measure(data: bytes, width: int, height: int, channels: int) -> tuple | None:
+    """(white share, dark share, stdev of red, average hash, thumbnail) of BGR bytes."""
     if not data or width <= 0 or height <= 0:
         return None
     bgr = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
@@ -41,18 +47,39 @@ def describe(data: bytes, width: int, height: int, channels: int) -> tuple | Non
     thumb = np.round(shrink(rgb, 32))
     white, dark = (thumb > 225).all(axis=2).mean(), (thumb < 15).all(axis=2).mean()
     grey = np.round(shrink((rgb * [0.299, 0.587, 0.114]).sum(axis=2, keepdims=True), 8)).ravel()
-    bits = "".join("1" if g >= grey.mean() else "0" for g in grey)
-    flat = thumb.transpose(2, 0, 1).ravel() / 255.0
+    bits = "".join("1" if g else "0" for g in grey >= grey.mean())
+    return float(white), float(dark), float(thumb[:, :, 0].std(ddof=1)), f"{int(bits, 2):016x}", thumb
+
+
+def describe(data: bytes, width: int, height: int, channels: int) -> tuple | None:
+    """(white share, dark share, stdev of red, average hash, unit vector) of BGR bytes."""
+    found = measure(data, width, height, channels)
+    if found is None:
+        return None
+    flat = found[4].transpose(2, 0, 1).ravel() / 255.0
     flat = flat / max(np.linalg.norm(flat), 1e-12)
-    return float(white), float(dark), float(thumb[:, :, 0].std(ddof=1)), f"{int(bits, 2):016x}", flat.astype("float32")
+    return *found[:4], flat.astype("float32")
+
+
+def _by_slices(frames: Iterator[pd.DataFrame], how, names: list[str]) -> Iterator[pd.DataFrame]:
+    """What ``how`` gives for each picture, in frames of up to ``SLICE`` rows."""
+    empty = (None,) * len(names)
+    for frame in frames:
+        for at in range(0, len(frame), SLICE):
+            rows = [how(r.data, r.width, r.height, r.nChannels) or empty for r in frame.iloc[at:at + SLICE].itertuples()]
+            yield pd.DataFrame([r[:len(names)] for r in rows], columns=names)
 
 
 @F.pandas_udf(FEATURES)
-def features(image: pd.DataFrame) -> pd.DataFrame:
+def features(image: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """All pixel statistics in one pass over Spark's ``image`` struct (bytes, height, width, channels)."""
-    rows = [describe(r.data, r.width, r.height, r.nChannels) for r in image.itertuples()]
-    empty = (None,) * 5
-    return pd.DataFrame([r or empty for r in rows], columns=[f.name for f in FEATURES])
+    yield from _by_slices(image, describe, FEATURES.names)
+
+
+@F.pandas_udf(T.StructType(FEATURES.fields[:4]))
+def statistics(image: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``features`` without the vector, for those who do not compare pictures: no thumbnail leaves the task's Python."""
+    yield from _by_slices(image, measure, FEATURES.names[:4])
 
 
 def upright(grid: np.ndarray, orientation: int) -> np.ndarray:
@@ -63,16 +90,18 @@ def upright(grid: np.ndarray, orientation: int) -> np.ndarray:
 
 
 @F.pandas_udf(T.StructType(FEATURES.fields[3:]))
-def turned(ahash: pd.Series, vector: pd.Series, orientation: pd.Series) -> pd.DataFrame:
+def turned(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     """Hash and thumbnail of the upright picture: both are grids of means, so turning moves their cells."""
-    out = []
-    for bits, flat, how in zip(ahash, vector, orientation):
-        if bits is not None and how and how > 1:
-            grid = upright(np.array(list(f"{int(bits, 16):064b}")).reshape(8, 8), int(how))
-            bits = f"{int("".join(grid.ravel()), 2):016x}"
-            flat = np.concatenate([upright(c, int(how)).ravel() for c in np.asarray(flat).reshape(3, 32, 32)])
-        out.append((bits, flat))
-    return pd.DataFrame(out, columns=["ahash", "vector"])
+    for part in parts:
+        for at in range(0, len(part[0]), SLICE):
+            out = []
+            for bits, flat, how in zip(*(c.iloc[at:at + SLICE] for c in part)):
+                if bits is not None and how and how > 1:
+                    grid = upright(np.array(list(f"{int(bits, 16):064b}")).reshape(8, 8), int(how))
+                    bits = f"{int("".join(grid.ravel()), 2):016x}"
+                    flat = np.concatenate([upright(c, int(how)).ravel() for c in np.asarray(flat).reshape(3, 32, 32)])
+                out.append((bits, flat))
+            yield pd.DataFrame(out, columns=["ahash", "vector"])
 
 
 def signature(image: Column) -> Column:

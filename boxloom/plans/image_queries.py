@@ -222,7 +222,7 @@ def average_hash(i: Inputs):
 select image_id, len(list_filter(v, lambda x: x > 225)) / 64.0::double as white, len(list_filter(v, lambda x: x < 15)) / 64.0::double as dark,
   round(sqrt(list_sum(list_transform(v, lambda x: (x - list_sum(v) / 64.0::double) ** 2)) * 16 / 1023), 6) as red_std from grey""", {"grey": GREY_SQL}))
 def pixel_features(i: Inputs):
-    f = pixels.features(F.col("image"))
+    f = pixels.statistics(F.col("image"))
     return _seen(i).select("image_id", f.alias("f")).select("image_id", "f.white", "f.dark", F.round("f.red_std", 6).alias("red_std"))
 
 
