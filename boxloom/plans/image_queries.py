@@ -215,7 +215,7 @@ def pixel_signature(i: Inputs):
 select image_id, array_to_string([printf('%x', b[4 * i + 1] * 8 + b[4 * i + 2] * 4 + b[4 * i + 3] * 2 + b[4 * i + 4]) for i in range(0, 16)], '') as ahash
 from (select image_id, list_transform(v, lambda x: case when 64 * x >= list_sum(v) then 1 else 0 end) as b from grey)""", {"grey": GREY_SQL}))
 def average_hash(i: Inputs):
-    return _seen(i).select("image_id", pixels.features(F.col("image"))["ahash"].alias("ahash"))
+    return _seen(i).select("image_id", pixels.statistics(F.col("image"))["ahash"].alias("ahash"))
 
 
 @query("pixel_features", compose([], """
