@@ -28,19 +28,23 @@ def canonical_label(
     aliases = V.ALIASES if aliases is None else aliases
     order = [n for n in (priority or V.ALIAS_PRIORITY) if n in aliases]
     order += [n for n in aliases if n not in order]
-    text = normalize_text(raw)
-    found = None
-    for name in order:
-        phrases = [p for p in map(_plain, aliases[name]) if p]
-        if not phrases:
-            continue
-        # an alias that contains a shorter one of its class adds nothing
-        short = [p for p in phrases if not any(q != p and q in p for q in phrases)]
-        hit = F.lit(False)
-        for phrase in dict.fromkeys(short):
-            hit = hit | text.contains(phrase)
-        found = F.when(hit, name) if found is None else found.when(hit, name)
-    return F.lit(None).cast("string") if found is None else found
+
+    def first(text: Column) -> Column:
+        found = None
+        for name in order:
+            phrases = [p for p in map(_plain, aliases[name]) if p]
+            if not phrases:
+                continue
+            # an alias that contains a shorter one of its class adds nothing
+            short = [p for p in phrases if not any(q != p and q in p for q in phrases)]
+            hit = F.lit(False)
+            for phrase in dict.fromkeys(short):
+                hit = hit | text.contains(phrase)
+            found = F.when(hit, name) if found is None else found.when(hit, name)
+        return F.lit(None).cast("string") if found is None else found
+
+    # as an element of an array the text is normalised once per row; else it would be once per alias
+    return F.transform(F.array(normalize_text(raw)), first)[0]
 
 
 def suffix(path: Column) -> Column:

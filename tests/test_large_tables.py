@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from boxloom.functions import bitmaps, pixels
+from boxloom.functions import text as X
 
 
 def test_pixel_facts_leave_python_in_small_frames(spark):
@@ -28,3 +29,12 @@ def test_pixel_facts_leave_python_in_small_frames(spark):
                                   "id int, image struct<height:int,width:int,nChannels:int,data:binary>").coalesce(1)
     got = {x.id: x.h for x in table.select("id", pixels.statistics(F.col("image"))["ahash"].alias("h")).collect()}
     assert got == dict(enumerate(h if isinstance(h, str) else None for h in pd.concat(lean)["ahash"]))
+
+
+def test_label_text_is_normalised_once(spark):
+    """Each alias looks into one normalised text; the regular expression must not run once per alias."""
+    label = X.canonical_label(F.col("t"))
+    df = spark.createDataFrame([("A  BED-side!",), ("nothing",), (None,), ("",)], "t string")
+    plan = df.select(label.alias("l"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+    assert [r.l for r in df.select(label.alias("l")).collect()] == ["bed", None, None, None]
