@@ -95,15 +95,15 @@ def _grid_pairs(df: DataFrame, keys: list[str], threshold: float, order: str) ->
 
 # ---- suppression -----------------------------------------------------------
 
-def suppress(df: DataFrame, threshold: float = V.NMS_IOU, bound: int = PAIR_BOUND) -> DataFrame:
+def suppress(df: DataFrame, threshold: float = V.NMS_IOU, bound: int = PAIR_BOUND, counted: DataFrame | None = None) -> DataFrame:
     """Class-wise greedy suppression over (image_id, label, score, pos, x1, y1, x2, y2).
 
     By score from high to low (ties by ``pos``) a box stays when its IoU with
     every kept box of its image and label is below ``threshold``. Other columns
-    ride along.
+    ride along. ``counted`` may name a cheaper frame that has at least these boxes: crowded images are looked for in it.
     """
     keys = ["image_id", "label"]
-    cold, hot = split_hot(df, keys, bound)
+    cold, hot = split_hot(df, keys, bound, ["image_id"], counted)
     rest = [c for c in df.columns if c not in keys]
     row = F.struct((-F.col("score")).alias("_neg"), F.col("pos").alias("_pos"), *rest)
 
@@ -148,7 +148,7 @@ def merge_overlaps(df: DataFrame, threshold: float = V.MERGE_IOU, bound: int = P
     """
     keys = ["image_id", "target_class"]
     df = with_corners(df)
-    cold, hot = split_hot(df, keys, bound)
+    cold, hot = split_hot(df, keys, bound, ["image_id"])
     rest = [c for c in df.columns if c not in keys]
     row = F.struct((F.col("w") * F.col("h")).alias("_area"), (-F.col("line_no")).alias("_back"), *rest)
 
@@ -322,7 +322,7 @@ def same_class_overlaps(df: DataFrame, bound: int = PAIR_BOUND) -> DataFrame:
     """
     keys = ["image_id", "class_id"]
     df = with_corners(df).select(*keys, "line_no", *CORNERS)
-    cold, hot = split_hot(df, keys, bound)
+    cold, hot = split_hot(df, keys, bound, ["image_id"])
 
     def corners(s: Column) -> B.Corners:
         return tuple(s[c] for c in CORNERS)
@@ -370,12 +370,12 @@ def in_area_range(df: DataFrame, low: float = V.AREA_RANGE[0], high: float = V.A
     return df.where(B.area_in_range(B.corner_columns(), F.col("width"), F.col("height"), low, high))
 
 
-def top_instances(df: DataFrame, k: int = V.TOP_INSTANCES, iou: float = V.NMS_IOU) -> DataFrame:
-    """Area filter, suppression, then the k best boxes of each image with their rank.
+def top_instances(df: DataFrame, k: int = V.TOP_INSTANCES, iou: float = V.NMS_IOU, counted: DataFrame | None = None) -> DataFrame:
+    """Area filter, suppression (see there for ``counted``), then the k best boxes of each image with their rank.
 
     The bound on the rank lets Spark cut each image to k rows before the shuffle.
     """
-    kept = suppress(in_area_range(df), iou)
+    kept = suppress(in_area_range(df), iou, counted=counted)
     order = W.partitionBy("image_id").orderBy(F.desc("score"), V.position(V.COLLECTION_CLASSES, F.col("label")), "pos")
     return kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

@@ -17,13 +17,29 @@ GROUP_BOUND = 4096
 _MID, _BLOCK = "_mid", "_block"
 
 
-def split_hot(df: DataFrame, keys: list[str], bound: int = GROUP_BOUND) -> tuple[DataFrame, DataFrame | None]:
+def split_hot(df: DataFrame, keys: list[str], bound: int = GROUP_BOUND, outer: list[str] | None = None,
+              counted: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """(rows of keys with at most ``bound`` rows, rows of the larger keys or None).
 
     Only the keys are counted; the counts are combined map-side. The larger keys
     number at most rows / bound.
+
+    Where most keys differ from row to row, combining holds nearly all rows of a task. ``outer`` names some of the
+    keys that have few rows each too, but fewer values: they are counted first, and all keys only within those above
+    ``bound``. ``counted`` is a cheaper frame with at least the rows of ``df`` for that first count.
     """
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bound).drop("_n")
+    over = F.col("_n") > bound
+
+    def above(rows: DataFrame, by: list[str]) -> DataFrame:
+        return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(over).drop("_n")
+
+    some = df
+    if outer is not None and outer != keys:
+        large = above(df if counted is None else counted, outer)
+        if not large.head(1):
+            return df, None
+        some = df.join(cut(large), outer, "left_semi")
+    hot = above(some, keys)
     if not hot.head(1):
         return df, None
     hot = cut(hot)

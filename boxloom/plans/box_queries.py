@@ -214,7 +214,7 @@ where rank <= 5""", {"allowed": """select d.* from detections d join scenes usin
   where (x2 - x1) * (y2 - y1) / greatest(1, width * height)::double between 0.002 and 0.95"""}))
 def topk_instances(i: Inputs):
     d = i.detections().join(i.scenes().drop("expected_class"), "image_id")
-    return D.top_instances(d).select("image_id", "label", "score", "pos", "rank")
+    return D.top_instances(d, counted=i.detections()).select("image_id", "label", "score", "pos", "rank")
 
 
 @query("best_detection", nms_oracle(["detections", "scenes"], "allowed", f"""

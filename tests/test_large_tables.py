@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from boxloom.functions import bitmaps, pixels
 from boxloom.functions import text as X
+from boxloom.operators import ranking
 
 
 def test_pixel_facts_leave_python_in_small_frames(spark):
@@ -38,3 +39,15 @@ def test_label_text_is_normalised_once(spark):
     plan = df.select(label.alias("l"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace") == 1
     assert [r.l for r in df.select(label.alias("l")).collect()] == ["bed", None, None, None]
+
+
+def test_crowded_keys_are_looked_for_in_crowded_images_only(spark):
+    """Classes are counted within crowded images alone; with none, no class is even read."""
+    rows = [(1, "a")] * 3 + [(1, "b")] * 2 + [(2, "a")] * 5 + [(3, n) for n in "abcde"] + [(4, "a")]
+    df = spark.createDataFrame(rows, "image_id int, label string")
+    keys = ["image_id", "label"]
+    for counted in (None, df.unionAll(df)):
+        cold, hot = ranking.split_hot(df, keys, 3, ["image_id"], counted)
+        assert {tuple(r) for r in hot.collect()} == {(2, "a")} and hot.count() == 5 and cold.count() == 11
+    unread = df.withColumn("label", F.raise_error(F.lit("label read")).cast("string"))
+    assert ranking.split_hot(unread, keys, 5, ["image_id"])[1] is None
