@@ -132,6 +132,13 @@ def training_status(images: DataFrame, folds: DataFrame, seed: int = 42) -> Data
     )
 
 
+def conflict_status(images: DataFrame, folds: DataFrame) -> DataFrame:
+    """(image_id, status): ``review_conflicts`` as in ``training_status``, else ``exported``; no split is planned for it."""
+    clashing = folds.where(F.col("clash_pairs") > 0).select("image_id", F.lit(True).alias("_clash")).distinct()
+    return images.select("image_id").join(clashing, "image_id", "left").select(
+        "image_id", F.when(F.col("_clash"), "review_conflicts").otherwise("exported").alias("status"))
+
+
 def training_summary(status: DataFrame, folds: DataFrame) -> DataFrame:
     """(section, key, value) of the merged set: totals, splits, folders under review, dropped boxes, classes kept.
 

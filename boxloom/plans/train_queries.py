@@ -326,8 +326,9 @@ def split_counts(i: Inputs):
 select source_class || '->' || target_class as pair, count(distinct image_id) as images from mapped_boxes
 where image_id in (select image_id from status where status <> 'review_conflicts') group by 1""", STATUS_SQL, recursive=True))
 def source_target_presence(i: Inputs):
-    folds = cut(D.image_folds(i.mapped_boxes()))
-    return M.source_target_presence(M.training_status(_scenes(i), folds), folds)
+    """Only conflicts and class mappings are asked for, so neither merged boxes nor splits are worked out."""
+    folds = cut(D.image_folds(i.mapped_boxes()).select("image_id", "clash_pairs", "mappings"))
+    return M.source_target_presence(M.conflict_status(_scenes(i), folds), folds)
 
 
 @query("dataset_summary", compose(STATUS_NEEDS, """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from boxloom.functions import bitmaps, pixels
 from boxloom.functions import text as X
-from boxloom.operators import ranking
+from boxloom.operators import manifests, ranking
 
 
 def test_pixel_facts_leave_python_in_small_frames(spark):
@@ -51,3 +51,17 @@ def test_crowded_keys_are_looked_for_in_crowded_images_only(spark):
         assert {tuple(r) for r in hot.collect()} == {(2, "a")} and hot.count() == 5 and cold.count() == 11
     unread = df.withColumn("label", F.raise_error(F.lit("label read")).cast("string"))
     assert ranking.split_hot(unread, keys, 5, ["image_id"])[1] is None
+
+
+def test_presence_needs_no_split(spark):
+    """Images with a conflict are left out as by the whole status, though no split is planned."""
+    images = spark.createDataFrame([(n, f"f{n % 2}/{n}.jpg", f"f{n % 2}") for n in range(6)], "image_id long, path string, source_folder string")
+    m = "array<struct<source_class:string,target_class:string>>"
+    folds = spark.createDataFrame([(0, 1, 0, [("a", "x")]), (1, 2, 1, [("a", "x"), ("b", "y")]), (2, None, 0, None), (2, None, 3, None), (2, 9, None, [("b", "y")]),
+                                   (3, 1, None, [("a", "x"), ("b", "y")]), (9, 1, 0, [("a", "x")])],
+                                  f"image_id long, boxes long, clash_pairs long, mappings {m}").withColumn("merged", F.array(F.lit(1)))
+    brief, full = manifests.conflict_status(images, folds), manifests.training_status(images, folds)
+    assert {r.image_id for r in brief.where("status = 'review_conflicts'").collect()} == {1, 2} and brief.count() == 6
+    want = {"a->x": 2, "b->y": 1}
+    for status in (brief, full):
+        assert {r.pair: r.images for r in manifests.source_target_presence(status, folds).collect()} == want
