@@ -12,8 +12,11 @@ import numpy as np
 BLOCK, WIDE, HIDDEN, ROWS = 16, 16, 16, 4096
 DISTANCE = np.arange(BLOCK)[:, None] + BLOCK - np.arange(2 * BLOCK)[None, :]
 VISIBLE = DISTANCE >= 0
+FAR = np.maximum(DISTANCE, 0)
 #: blocks handled at once
 BATCH = 512
+#: made and freed once: from then on glibc keeps the pages of freed arrays up to this size for the arrays of the next batch
+np.empty(24 << 20, np.uint8)
 
 
 def fresh(outputs: int, log_share: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
@@ -52,102 +55,144 @@ def blocks_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=-1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=-1, keepdims=True)
-    return x
+    """Shares along the last axis. Its maximum is taken off only where exp() would leave the range of numbers."""
+    ones = np.ones(x.shape[-1], x.dtype)
+    if x.max(initial=0) < 60:
+        e = np.exp(x)
+        total = e @ ones
+        if total.min(initial=1) > 1e-25:
+            e /= total[..., None]
+            return e
+    e = np.exp(x - x.max(axis=-1, keepdims=True))
+    e /= (e @ ones)[..., None]
+    return e
 
 
-def _before(x: np.ndarray, starts: np.ndarray, carried: np.ndarray) -> np.ndarray:
-    """Each block behind the one before it (zeros at the start of a text)."""
-    last = np.concatenate([carried[None], x[:-1]])
-    last[starts] = 0
-    return np.concatenate([last, x], axis=1)
+def _joined(p: dict) -> np.ndarray:
+    return np.concatenate([p["q"], p["k"], p["v"]], axis=1)
+
+
+def _flat(m: np.ndarray) -> np.ndarray:
+    return m.reshape(-1, m.shape[-1])
 
 
 def forward(p: dict, first: np.ndarray, last: np.ndarray, starts: np.ndarray, carried=None):
     """Log shares (blocks, BLOCK, outputs) and what the backward pass needs; inputs are rows of the embedding."""
-    x = p["e"][first] + p["e"][last]
-    q, k, v = x @ p["q"], x @ p["k"], x @ p["v"]
-    ck, cv = carried if carried is not None else (np.zeros_like(k[0]), np.zeros_like(v[0]))
-    kk, vv = _before(k, starts, ck), _before(v, starts, cv)
-    scores = q @ kk.transpose(0, 2, 1)
+    x = p["e"].take(first.ravel(), axis=0)
+    x += p["e"].take(last.ravel(), axis=0)
+    # one product over all positions for each weight: numpy would make one for each block
+    qkv = (x @ _joined(p)).reshape(len(first), BLOCK, 3 * WIDE)
+    q, kv = qkv[:, :, :WIDE], np.empty((len(first), 2 * BLOCK, 2 * WIDE), x.dtype)
+    kv[:, BLOCK:] = qkv[:, :, WIDE:]
+    kv[1:, :BLOCK] = qkv[:-1, :, WIDE:]  # each block behind the one before it; at the start of a text that has no weight
+    kv[0, :BLOCK] = 0 if carried is None else carried
+    scores = q @ kv[:, :, :WIDE].transpose(0, 2, 1)
     scores *= np.float32(WIDE**-0.5)
-    scores += np.where(VISIBLE, p["near"][np.clip(DISTANCE, 0, 2 * BLOCK - 1)], np.float32(-1e9))
+    near = p["near"][FAR]
+    near[~VISIBLE] = -1e9
+    scores += near
     scores[starts, :, :BLOCK] = -1e9
     a = _softmax(scores)
-    mixed = a @ vv
-    h = x + mixed @ p["o"]
-    u = np.maximum(h @ p["w1"] + p["b1"], 0)
-    h2 = h + u @ p["w2"]
-    logits = h2 @ p["out"] + p["bias"]
-    return logits, (x, q, kk, vv, a, mixed, h, u, h2), (k[-1], v[-1])
+    mixed = _flat(a @ kv[:, :, WIDE:])
+    h = mixed @ p["o"]
+    h += x
+    u = h @ p["w1"]
+    u += p["b1"]
+    np.maximum(u, 0, out=u)
+    h2 = u @ p["w2"]
+    h2 += h
+    logits = h2 @ p["out"]
+    logits += p["bias"]
+    return logits.reshape(len(first), BLOCK, -1), (x, q, kv, a, mixed, h, u, h2), qkv[-1, :, WIDE:]
+
+
+def _chosen(m: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Where the target outputs of each position lie in the flat ``m``."""
+    return np.arange(0, m.size, m.shape[-1]) + target.ravel()
 
 
 def log_share(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log probability of the target output at each position."""
+    ones = np.ones(logits.shape[-1], logits.dtype)
+    if logits.max(initial=0) < 60:  # as in _softmax
+        total = np.exp(logits) @ ones
+        if total.min(initial=1) > 1e-25:
+            return logits.ravel()[_chosen(logits, target)].reshape(target.shape) - np.log(total)
     top = logits.max(axis=-1)
-    chosen = np.take_along_axis(logits, target[..., None], -1)[..., 0]
-    return chosen - top - np.log(np.exp(logits - top[..., None]).sum(axis=-1))
+    return logits.ravel()[_chosen(logits, target)].reshape(target.shape) - top - np.log(np.exp(logits - top[..., None]) @ ones)
 
 
 def gradients(p: dict, first, last, starts, target, real) -> tuple[float, dict]:
     """Mean loss over real positions and its gradients. Blocks before this batch are not looked at."""
     starts = starts.copy()
     starts[0] = True
-    logits, (x, q, kk, vv, a, mixed, h, u, h2), _ = forward(p, first, last, starts)
-    n = max(1, int(real.sum()))
-    loss = -float(log_share(logits, target)[real].sum()) / n
-    d = _softmax(logits)
-    np.put_along_axis(d, target[..., None], np.take_along_axis(d, target[..., None], -1) - 1, -1)
-    d *= (real[..., None] / np.float32(n))
-    flat = lambda m: m.reshape(-1, m.shape[-1])
-    g = {"out": flat(h2).T @ flat(d), "bias": flat(d).sum(axis=0)}
+    logits, (x, q, kv, a, mixed, h, u, h2), _ = forward(p, first, last, starts)
+    n, real = max(1, int(real.sum())), real.ravel()
+    d = _flat(_softmax(logits))
+    at = _chosen(d, target)
+    share = d.ravel()[at]
+    loss = -float(np.log(share[real]).sum()) / n
+    d.ravel()[at] = share - 1
+    d[~real] = 0
+    d *= np.float32(1 / n)
+    ones = np.ones(len(d) + BLOCK, d.dtype)
+    g = {"out": h2.T @ d, "bias": ones[: len(d)] @ d}
     dh2 = d @ p["out"].T
-    g["w2"] = flat(u).T @ flat(dh2)
-    du = (dh2 @ p["w2"].T) * (u > 0)
-    g["w1"], g["b1"] = flat(h).T @ flat(du), flat(du).sum(axis=0)
-    dh = dh2 + du @ p["w1"].T
-    g["o"] = flat(mixed).T @ flat(dh)
-    dmixed = dh @ p["o"].T
-    dvv = a.transpose(0, 2, 1) @ dmixed
-    da = dmixed @ vv.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=-1, keepdims=True))
-    per = ds.sum(axis=0)
+    g["w2"] = u.T @ dh2
+    du = dh2 @ p["w2"].T
+    du *= u > 0
+    g["w1"], g["b1"] = h.T @ du, ones[: len(d)] @ du
+    dh = du @ p["w1"].T
+    dh += dh2
+    g["o"] = mixed.T @ dh
+    dmixed = (dh @ p["o"].T).reshape(q.shape)
+    ds = dmixed @ kv[:, :, WIDE:].transpose(0, 2, 1)
+    ds -= ((ds * a) @ ones[: 2 * BLOCK])[..., None]
+    ds *= a
+    per = (ones[: len(ds)] @ ds.reshape(len(ds), -1)).reshape(DISTANCE.shape)
     g["near"] = np.bincount(DISTANCE[VISIBLE], per[VISIBLE], 2 * BLOCK).astype(np.float32)
     ds *= np.float32(WIDE**-0.5)
-    dq, dkk = ds @ kk, ds.transpose(0, 2, 1) @ q
-
-    def back(dd):  # what the next block owes to this one
-        own = dd[:, BLOCK:].copy()
-        follows = ~starts[1:]
-        own[:-1][follows] += dd[1:, :BLOCK][follows]
-        return own
-
-    dk, dv = back(dkk), back(dvv)
-    g["q"], g["k"], g["v"] = flat(x).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
-    dx = flat(dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T)
-    g["e"] = np.zeros_like(p["e"])
+    dkv = np.concatenate([ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dmixed], axis=2)
+    dqkv = np.concatenate([ds @ kv[:, :, :WIDE], dkv[:, BLOCK:]], axis=2)
+    dqkv[:-1, :, WIDE:] += dkv[1:, :BLOCK]  # what the next block owes to this one; the start of a text owes nothing
+    dqkv = _flat(dqkv)
+    g["q"], g["k"], g["v"] = np.split(x.T @ dqkv, 3, axis=1)
+    dx = dqkv @ _joined(p).T
+    dx += dh
+    dx, wide = dx.ravel().astype(float), np.arange(WIDE)
+    g["e"] = np.zeros(p["e"].size)
     for rows in (first, last):
-        order = np.argsort(rows.ravel(), kind="stable")
-        kinds, at = np.unique(rows.ravel()[order], return_index=True)
-        g["e"][kinds] += np.add.reduceat(dx[order], at, axis=0)
+        g["e"] += np.bincount((rows.reshape(-1, 1) * WIDE + wide).ravel(), dx, p["e"].size)
+    g["e"] = g["e"].astype(p["e"].dtype).reshape(p["e"].shape)
     return loss, g
 
 
 class Adam:
+    """Works in place on all weights as one array, of which ``p`` has views from then on."""
+
     def __init__(self, p: dict, rate: float):
-        self.p, self.rate, self.t = p, rate, 0
-        self.m = {k: np.zeros_like(v) for k, v in p.items()}
-        self.v = {k: np.zeros_like(v) for k, v in p.items()}
+        self.names, self.rate, self.t = sorted(p), rate, 0
+        self.p, at = packed(p), 0
+        self.m, self.v, self.spare = np.zeros_like(self.p), np.zeros_like(self.p), np.empty_like(self.p)
+        for k in self.names:
+            p[k], at = self.p[at : at + p[k].size].reshape(p[k].shape), at + p[k].size
 
     def step(self, g: dict) -> None:
         self.t += 1
         rate = np.float32(self.rate * np.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t))
-        for k, d in g.items():
-            self.m[k] += np.float32(0.1) * (d - self.m[k])
-            self.v[k] += np.float32(0.01) * (d * d - self.v[k])
-            self.p[k] -= rate * self.m[k] / (np.sqrt(self.v[k]) + np.float32(1e-6))
+        d, spare = packed(g), self.spare
+        np.subtract(d, self.m, out=spare)
+        spare *= np.float32(0.1)
+        self.m += spare
+        d *= d
+        d -= self.v
+        d *= np.float32(0.01)
+        self.v += d
+        np.sqrt(self.v, out=spare)
+        spare += np.float32(1e-6)
+        np.divide(self.m, spare, out=spare)
+        spare *= rate
+        self.p -= spare
 
 
 def laid_out(codes: np.ndarray, lengths: np.ndarray, classes: np.ndarray, end: int, rows: int = ROWS):
@@ -173,12 +218,18 @@ def laid_out(codes: np.ndarray, lengths: np.ndarray, classes: np.ndarray, end: i
 
 
 def train(p: dict, laid, rate: float, batch: int = 64) -> None:
-    """One pass of Adam over the blocks, in place."""
+    """One pass of Adam over the blocks, in place. Rows of the embedding that do not occur in them stay as they are."""
     first, last, starts, target, real, _ = laid
-    adam = Adam(p, rate)
+    seen = np.zeros(len(p["e"]), bool)
+    seen[first] = seen[last] = True
+    used, number = np.flatnonzero(seen), np.cumsum(seen) - 1
+    first, last, few = number[first], number[last], {**p, "e": p["e"][used]}
+    adam = Adam(few, rate)
     for at in range(0, len(first), batch):
         s = slice(at, at + batch)
-        adam.step(gradients(p, first[s], last[s], starts[s], target[s], real[s])[1])
+        adam.step(gradients(few, first[s], last[s], starts[s], target[s], real[s])[1])
+    p["e"][used] = few.pop("e")
+    p.update(few)
 
 
 def position_scores(p: dict, laid) -> tuple[np.ndarray, np.ndarray]:

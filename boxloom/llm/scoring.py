@@ -15,9 +15,9 @@ table grows with the corpus), while the trained part stays small and every token
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +35,14 @@ ROUNDS, RATE = 2, 0.004
 #: training documents are dealt by hash into so many shares, one for each round, so that each of them teaches once
 SHARE = ROUNDS
 MERGERS = 32
-#: words whose subwords a task remembers before it forgets them
+#: words whose subwords a Python worker remembers; those that come later are encoded each time
 REMEMBERED = 400_000
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: how a text is split before byte pairs are merged: a word is one piece here
 WHOLE = r"[^\r\n]+|[\r\n]"
 
 
 class Subwords(dict):
-    """First subword id * 65536 + last one, by word. A word is encoded with the space before it when first asked for."""
+    """First subword id * 65536 + last one, by word in UTF-8. A word is encoded with the space before it when first asked for."""
 
     def __init__(self, path: str):
         import base64
@@ -55,17 +54,23 @@ class Subwords(dict):
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.coder = tiktoken.Encoding(os.path.basename(path), pat_str=WHOLE, mergeable_ranks=ranks, special_tokens={})
 
-    def __missing__(self, word: str) -> int:
-        ids = self.coder.encode_ordinary(" " + word)
-        self[word] = code = (ids[0] << 16) + ids[-1]
+    def __missing__(self, word: bytes) -> int:
+        ids = self.coder._encode_single_piece(b" " + word)
+        code = (ids[0] << 16) + ids[-1]
+        if len(self) < REMEMBERED:
+            self[word] = code
         return code
 
-    def codes(self, words: list[str]) -> np.ndarray:
-        if len(self) > REMEMBERED:
-            self.clear()
+    def codes(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
+@functools.cache
+def subwords(path: str) -> Subwords:
+    """One for each Python worker, which outlives its tasks: it is read once, and words stay encoded."""
+    return Subwords(path)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over the training rows of (held_out, text); ends are not words."""
     worded = docs.where(~F.col("held_out")).select(split_words("text").alias("_w"))
@@ -78,9 +83,9 @@ def by_first_subword(counts: DataFrame, path: str) -> list:
     """(first subword id, words, tokens) over the vocabulary; at most one row for each id."""
 
     def made(batches):
-        coder = Subwords(path)
+        coder = subwords(path)
         for b in batches:
-            first = coder.codes(b.column(0).to_pylist()) >> 16
+            first = coder.codes(b.column(0).cast(pa.binary()).to_pylist()) >> 16
             yield pa.RecordBatch.from_arrays([pa.array(first), b.column(1)], ["id", "n"])
 
     return (
@@ -105,10 +110,11 @@ def classes_of(found: list, classes: int) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def texts(batch, column: int, size: int = 256):
-    """Slices of a batch with the words of their texts: (slice, all words, number of words of each text)."""
+    """Slices of a batch with the words of their texts, in UTF-8: (slice, all words, number of words of each text)."""
     for at in range(0, batch.num_rows, size):
         part = batch.slice(at, size)
-        lists = [WORD.findall(t) for t in part.column(column).to_pylist()]
+        # without an argument, split() on bytes takes the six blanks for ends of words and nothing else
+        lists = [t.split() for t in part.column(column).cast(pa.binary()).to_pylist()]
         yield part, list(itertools.chain.from_iterable(lists)), np.fromiter(map(len, lists), np.int64, len(lists))
 
 
@@ -128,7 +134,7 @@ def trained(docs: DataFrame, start: dict, of: np.ndarray, path: str, rounds: int
         flat = attention.packed(p)
 
         def learn(batches, flat=flat):
-            own, seen, coder = attention.unpacked(flat, start), 0, Subwords(path)
+            own, seen, coder = attention.unpacked(flat, start), 0, subwords(path)
             for b in batches:
                 for _, words, lengths in texts(b, 0):
                     attention.train(own, attention.laid_out(coder.codes(words), lengths, of, end), RATE)
@@ -184,14 +190,14 @@ def score(docs: DataFrame, path: str = TOKENIZER, classes: int = CLASSES, freque
     p = trained(docs, start, of, path, rounds, share)
     gain_of = -np.log10(mass / base_of)
     often = counts.where(F.col("n") * frequent > n_all)
-    known = {r["word"]: r["n"] for r in often.collect()}  # fewer than ``frequent`` rows
+    known = {r["word"].encode(): r["n"] for r in often.collect()}  # fewer than ``frequent`` rows
     sent = docs.sparkSession.sparkContext.broadcast((attention.packed(p), known))
     log_base, end_log = np.log10(base_of), np.log10((n_docs + 1) / base_of)
     columns = "doc_id long, held_out boolean, n_tokens long, known long, sure double, gain double, rare array<string>"
 
     def made(batches):
         weights, table_of = sent.value
-        own, coder = attention.unpacked(weights, start), Subwords(path)
+        own, coder = attention.unpacked(weights, start), subwords(path)
         for b in batches:
             for part, words, lengths in texts(b, 2):
                 laid = attention.laid_out(coder.codes(words), lengths, of, classes)

@@ -611,6 +611,31 @@ def test_attention_is_causal_and_its_gradients_hold():
     assert where.min() > 30 + 2  # two texts, and so two ends, come before word 30
 
 
+def test_words_are_encoded_once_in_a_worker(monkeypatch):
+    import pyarrow as pa
+
+    odd = "A\x1cb\u00a0c\u2003d\x85e  f\tg\nh\x0bi\x0cj\rk "
+    (_, found, lengths), = scoring.texts(pa.RecordBatch.from_arrays([pa.array([odd, "", "x"])], ["text"]), 0)
+    assert [w.decode() for w in found] == words(odd) + ["x"] and list(lengths) == [len(words(odd)), 0, 1]
+    coder = scoring.subwords(scoring.TOKENIZER)
+    assert coder is scoring.subwords(scoring.TOKENIZER)
+    monkeypatch.setattr(scoring, "REMEMBERED", 0)  # what is not remembered is encoded all the same
+    fresh = scoring.Subwords(scoring.TOKENIZER)
+    for w in found:
+        ids = coder.coder.encode_ordinary(" " + w.decode())
+        assert coder[w] == fresh[w] == ids[0] * 65536 + ids[-1] and not fresh
+
+
+def test_shares_hold_for_extreme_numbers():
+    x = np.array([[3.0, 1.0, -2.0], [500.0, 499.0, -400.0], [-500.0, -501.0, -900.0]], np.float32)
+    want = x - x.max(axis=1, keepdims=True)
+    want = want - np.log(np.exp(want).sum(axis=1, keepdims=True))
+    for rows in ([0], [0, 1], [0, 2], [0, 1, 2]):
+        assert np.allclose(attention._softmax(x[rows]), np.exp(want[rows]), atol=1e-6)
+        for k in range(3):
+            assert np.allclose(attention.log_share(x[rows], np.full(len(rows), k)), want[rows, k], rtol=1e-5)
+
+
 def test_columns_with_working_names(spark):
     """Columns named like those used inside ride along unharmed."""
     base = " ".join(f"w{k}" for k in range(30))
