@@ -101,26 +101,45 @@ def suppress(df: DataFrame, threshold: float = V.NMS_IOU, bound: int = PAIR_BOUN
     By score from high to low (ties by ``pos``) a box stays when its IoU with
     every kept box of its image and label is below ``threshold``. Other columns
     ride along. ``counted`` may name a cheaper frame that has at least these boxes: crowded images are looked for in it.
+
+    Images of up to ``bound`` boxes are folded whole, so the result stays dealt by image. In larger ones each label is
+    folded for itself, and labels of more boxes than that take the way without pairs.
     """
+    large = (df if counted is None else counted).groupBy("image_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bound).drop("_n")
+    if not large.head(1):
+        return _suppress_folded(df, ["image_id"], threshold)
+    large = cut(large)
+    out = _suppress_folded(df.join(large, "image_id", "left_anti"), ["image_id"], threshold)
     keys = ["image_id", "label"]
-    cold, hot = split_hot(df, keys, bound, ["image_id"], counted)
+    cold, hot = split_hot(df.join(large, "image_id", "left_semi"), keys, bound)
+    out = out.unionByName(_suppress_folded(cold, keys, threshold))
+    return out if hot is None else out.unionByName(_suppress_hot(hot, keys, threshold))
+
+
+def _suppress_folded(df: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """The rule within an array of all boxes of a key."""
     rest = [c for c in df.columns if c not in keys]
     row = F.struct((-F.col("score")).alias("_neg"), F.col("pos").alias("_pos"), *rest)
 
     def corners(s: Column) -> B.Corners:
         return tuple(s[c] for c in CORNERS)
 
+    def blocks(k: Column, box: Column) -> Column:
+        near = B.iou(corners(k), corners(box)) >= threshold
+        return k["label"].eqNullSafe(box["label"]) & near if "label" in rest else near
+
     def step(kept: Column, box: Column) -> Column:
-        blocked = F.exists(kept, lambda k: B.iou(corners(k), corners(box)) >= threshold)
-        return F.when(blocked, kept).otherwise(F.concat(kept, F.array(box)))
+        return F.when(F.exists(kept, lambda k: blocks(k, box)), kept).otherwise(F.concat(kept, F.array(box)))
 
-    folded = F.when(F.size("_all") == 1, F.col("_all")).otherwise(F.aggregate("_all", F.slice("_all", 1, 0), step))
-    out = (
-        cold.repartition(*keys).groupBy(*keys).agg(F.collect_list(row).alias("_raw"))
-        .withColumn("_all", F.when(F.size("_raw") == 1, F.col("_raw")).otherwise(F.array_sort("_raw")))
+    # boxes of labels that are all different do not block each other
+    labels = F.size(F.array_distinct("_raw.label")) if "label" in rest else F.lit(1)
+    folded = F.when(F.col("_alone"), F.col("_all")).otherwise(F.aggregate("_all", F.slice("_all", 1, 0), step))
+    return (
+        df.repartition(*keys).groupBy(*keys).agg(F.collect_list(row).alias("_raw"))
+        .withColumn("_alone", labels == F.size("_raw"))
+        .withColumn("_all", F.when(F.col("_alone"), F.col("_raw")).otherwise(F.sort_array("_raw")))
         .select(*keys, F.inline(folded)).select(*df.columns)
     )
-    return out if hot is None else out.unionByName(_suppress_hot(hot, keys, threshold))
 
 
 def _suppress_hot(df: DataFrame, keys: list[str], threshold: float, fold_boxes: int = crowded.FOLD_BOXES) -> DataFrame:
