@@ -152,17 +152,20 @@ def gradients(p: dict, first, last, starts, target, real) -> tuple[float, dict]:
     per = (ones[: len(ds)] @ ds.reshape(len(ds), -1)).reshape(DISTANCE.shape)
     g["near"] = np.bincount(DISTANCE[VISIBLE], per[VISIBLE], 2 * BLOCK).astype(np.float32)
     ds *= np.float32(WIDE**-0.5)
-    dkv = np.concatenate([ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dmixed], axis=2)
-    dqkv = np.concatenate([ds @ kv[:, :, :WIDE], dkv[:, BLOCK:]], axis=2)
+    dkv, dqkv = np.empty_like(kv), np.empty((*q.shape[:2], 3 * WIDE), q.dtype)
+    np.matmul(ds.transpose(0, 2, 1), q, out=dkv[:, :, :WIDE])
+    np.matmul(a.transpose(0, 2, 1), dmixed, out=dkv[:, :, WIDE:])
+    np.matmul(ds, kv[:, :, :WIDE], out=dqkv[:, :, :WIDE])
+    dqkv[:, :, WIDE:] = dkv[:, BLOCK:]
     dqkv[:-1, :, WIDE:] += dkv[1:, :BLOCK]  # what the next block owes to this one; the start of a text owes nothing
     dqkv = _flat(dqkv)
-    g["q"], g["k"], g["v"] = np.split(x.T @ dqkv, 3, axis=1)
+    joined = x.T @ dqkv
+    g["q"], g["k"], g["v"] = joined[:, :WIDE], joined[:, WIDE : 2 * WIDE], joined[:, 2 * WIDE :]
     dx = dqkv @ _joined(p).T
     dx += dh
-    dx, wide = dx.ravel().astype(float), np.arange(WIDE)
-    g["e"] = np.zeros(p["e"].size)
-    for rows in (first, last):
-        g["e"] += np.bincount((rows.reshape(-1, 1) * WIDE + wide).ravel(), dx, p["e"].size)
+    twice, rows = np.empty((2, *dx.shape)), np.concatenate([first.ravel(), last.ravel()])
+    twice[:] = dx  # what the first subword is owed, and the last one
+    g["e"] = np.bincount((rows[:, None] * WIDE + np.arange(WIDE)).ravel(), twice.ravel(), p["e"].size)
     g["e"] = g["e"].astype(p["e"].dtype).reshape(p["e"].shape)
     return loss, g
 

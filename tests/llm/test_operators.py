@@ -626,6 +626,56 @@ def test_words_are_encoded_once_in_a_worker(monkeypatch):
         assert coder[w] == fresh[w] == ids[0] * 65536 + ids[-1] and not fresh
 
 
+def test_texts_are_encoded_once_for_all_passes(spark):
+    """Training and scoring read ids: a text itself is read for the counts and to be encoded, whatever the number of rounds."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    rows = [(i, " ".join(f"W{(i * k) % 17}\x0b" for k in range(i))) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert scoring.score(frame.withColumn("text", counted("text")), rounds=3, share=3).count() == 60
+    assert 60 <= read.value <= 120
+
+
+def test_words_of_a_slice_are_encoded_together(monkeypatch):
+    found = [w.encode() for w in ["sun", "\x85", "l\u2028m", "漢字", "sun", "a" * 3000, "\x00", "ééux."]]
+    for kept in (3, 400_000):
+        monkeypatch.setattr(scoring, "REMEMBERED", kept)
+        coder = scoring.Subwords(scoring.TOKENIZER)
+        want = [ids[0] * 65536 + ids[-1] for w in found for ids in [coder.coder.encode_ordinary(" " + w.decode())]]
+        for part in (found[:3], found, found, []):
+            assert list(coder.codes(part)) == want[: len(part)]
+        assert len(coder) == min(kept, 7) and all(coder[w] == c for w, c in zip(found, want, strict=True))
+
+
+def test_encoded_rows(spark, odd):
+    docs = odd.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.lit(False).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
+    texts, known = [r["text"] for r in docs.collect()], {}
+    low = docs.withColumn("text", F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    hashes = collections.Counter(r["h"] for r in low.select(scoring.row_hash().alias("h")).collect())
+    worded = [words(t, lower=True) for t in texts]
+    for w in itertools.islice(itertools.chain.from_iterable(worded), 0, None, 2):
+        known[w.encode()] = len(known) + 1
+    got = scoring.encoded(docs, scoring.TOKENIZER, known, 1000.0, 9).orderBy("_row").collect()
+    assert len(got) == len(texts) and scoring.word_counts(docs.limit(0)).count() == 0
+    assert collections.Counter(r["hash"] for r in got) == hashes
+    coder = scoring.subwords(scoring.TOKENIZER)
+    by_text = collections.Counter()
+    for w in worded:
+        sure = sum(math.log10((known[x.encode()] + 1) / 1000) for x in w if x.encode() in known) + math.log10(10 / 1000)
+        by_text[len(w) + 1, sum(x.encode() in known for x in w) + 1, round(sure, 6), tuple(x for x in w if x.encode() not in known),
+                tuple(coder[x.encode()] for x in w)] += 1
+    assert by_text == collections.Counter(
+        (r["n_tokens"], r["known"], round(r["sure"], 6), tuple(r["rare"]), tuple(c % 2**32 for c in r["codes"])) for r in got)
+    want = collections.Counter(itertools.chain.from_iterable(worded))
+    assert {r["word"]: r["n"] for r in scoring.word_counts(docs).collect()} == want
+
+
 def test_shares_hold_for_extreme_numbers():
     x = np.array([[3.0, 1.0, -2.0], [500.0, 499.0, -400.0], [-500.0, -501.0, -900.0]], np.float32)
     want = x - x.max(axis=1, keepdims=True)
